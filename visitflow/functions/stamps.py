@@ -8,13 +8,6 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STYLES = {
-    "stamp": "yyyy-MM-dd HH:mm:ss",
-    "minute": "yyyy-MM-dd HH:mm",
-    "us_date": "MM/dd/yyyy",
-    "clock": "HH:mm:ss",
-}
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -47,7 +40,18 @@ def minutes_between(start, end) -> Column:
 
 
 def stamp_text(c, style: str = "stamp", blank: bool = True) -> Column:
-    text = F.date_format(_col(c), _STYLES[style])
+    """Text of a stamp; null becomes '' unless `blank` is off.
+
+    Styles: "stamp" 2024-03-09 14:05:07, "minute" 2024-03-09 14:05, "us_date" 03/09/2024 and
+    "clock" 14:05:07. Built from the zone-less cast, so no session time zone is involved.
+    """
+    full = _col(c).cast("timestamp_ntz").cast("string")
+    if style == "us_date":
+        text = F.concat_ws("/", full.substr(6, 2), full.substr(9, 2), full.substr(1, 4))
+        text = F.when(full.isNotNull(), text)
+    else:
+        begin, width = {"stamp": (1, 19), "minute": (1, 16), "clock": (12, 8)}[style]
+        text = full.substr(begin, width)
     return F.coalesce(text, F.lit("")) if blank else text
 
 
