@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow import codes
 from visitflow.functions.labels import administration_status, user_label
 from visitflow.functions.stamps import stamp_text
+from visitflow.functions.text import clip, escape_markup
 from visitflow.operators.cohort import in_window
-from visitflow.operators.lists import enumerate_distinct
 
 # Display lookups of an administration: table -> (its key, administration column, output name)
 LABELS = {
@@ -37,7 +37,9 @@ def infusion_administrations(
 
     The order and encounter joins are inner: rows without either fail the filters anyway.
     """
-    orders = order_info.filter(F.col("MAR_ADMIN_TYPE_C") == codes.INFUSION_ORDER_TYPE)
+    orders = order_info.filter(F.col("MAR_ADMIN_TYPE_C") == codes.INFUSION_ORDER_TYPE).select(
+        "ORDER_MED_ID", "MAR_ADMIN_TYPE_C", "INFUSION_TYPE_C"
+    )
     visits = encounters.filter(F.col("DEPARTMENT_ID").isin(*departments)).select(
         F.col("PAT_ENC_CSN_ID").alias("MAR_ENC_CSN"), "PAT_ID", "INPATIENT_DATA_ID", "DEPARTMENT_ID"
     )
@@ -77,10 +79,11 @@ def med_administrations(
         stamp_text("TAKEN_TIME", "clock", blank=False).alias("HHMMSS"),
         "MAR_ACTION_C", "MAR_ACTION_NAME", "INFUSION_RATE", "MAR_DURATION", "MAR_DURATION_NAME",
         administration_status("DUE_ACTION_C", "MAR_ACTION_NAME").alias("MAR_Status"),
-        F.col("SIG").alias("Dose"), "DOSE_UNIT_NAME", "USER_ID",
+        F.col("SIG").alias("Dose"), "DOSE_UNIT_NAME", "REASON_NAME", "USER_ID",
         user_label("USER_ID", "_emp", "_emp_name").alias("MAR_User"),
         F.col("COMMENTS").alias("MAR_Comments"), "MEDICATION_ID", "MEDICATION_NAME", "PAT_ID",
-        "INPATIENT_DATA_ID", "PAT_NAME", "MAR_ADMIN_TYPE_C", "MAR_ADMIN_TYPE_NAME",
+        "INPATIENT_DATA_ID", "PAT_NAME", "INFUSION_TYPE_NAME", "MAR_ADMIN_TYPE_C",
+        "MAR_ADMIN_TYPE_NAME",
     )
 
 
@@ -151,25 +154,46 @@ def infusion_intervals(
 ) -> DataFrame:
     """Per encounter with a complete interval: span, plan count, and plan and provider lists.
 
-    `orders` are order intervals with their treatment plan. The lists cover every order of the
-    encounter; span and count only those with both points.
+    `orders` are order intervals with their treatment plan. The lists name each plan once and
+    cover every order of the encounter; span and count use only orders with both points. Orders
+    are first reduced to one row per plan, then everything comes from a single grouping.
     """
     complete = F.col("next_time").isNotNull()
-    plans = enumerate_distinct(
-        orders, [encounter], ["TREATMENT_PLAN_ID"], "PLAN_NAME", "plan_names", plan_chars,
-        escape=False,
-    )
-    providers = enumerate_distinct(
-        orders, [encounter], ["TREATMENT_PLAN_ID"], "PLAN_PROV_NAME", "plan_providers",
-        provider_chars,
-    )
-    spans = (
-        orders.filter(complete)
-        .groupBy(encounter)
+    per_plan = orders.groupBy(
+        encounter, "TREATMENT_PLAN_ID", "PLAN_NAME", "PLAN_PROV_NAME"
+    ).agg(
+        F.min(F.when(complete, F.col("first_time"))).alias("first_time"),
+        F.max("next_time").alias("next_time"),
+    )
+
+    def place(name: str) -> Column:
+        window = Window.partitionBy(encounter).orderBy("TREATMENT_PLAN_ID", name)
+        return F.dense_rank().over(window)
+
+    ranked = per_plan.withColumn("_plan_no", place("PLAN_NAME")).withColumn(
+        "_provider_no", place("PLAN_PROV_NAME")
+    )
+    interval = F.col("next_time").isNotNull()
+    return (
+        ranked.groupBy(encounter)
         .agg(
             F.min("first_time").alias("start_time"),
             F.max("next_time").alias("stop_time"),
-            F.count_distinct("TREATMENT_PLAN_ID").alias("plan_count"),
+            F.count_distinct(F.when(interval, F.col("TREATMENT_PLAN_ID"))).alias("plan_count"),
+            _distinct_list("_plan_no", "PLAN_NAME", plan_chars, False).alias("plan_names"),
+            _distinct_list("_provider_no", "PLAN_PROV_NAME", provider_chars, True).alias(
+                "plan_providers"
+            ),
         )
+        .filter(F.col("stop_time").isNotNull())
     )
-    return spans.join(plans, encounter, "left").join(providers, encounter, "left")
+
+
+def _distinct_list(place: str, value: str, width: int, escape: bool) -> Column:
+    """Aggregate: one item per place, in order; each item adds at least its separator."""
+    item = clip(F.coalesce(value, F.lit("")), width)
+    if escape:
+        item = escape_markup(item)
+    shown = F.when(F.col(place) <= width, F.struct(F.col(place).alias("o"), item.alias("item")))
+    items = F.array_sort(F.collect_set(shown))
+    return clip(F.array_join(F.transform(items, lambda i: F.concat(i["item"], F.lit("|"))), ""), width)

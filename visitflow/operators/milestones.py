@@ -19,16 +19,17 @@ def visit_measures(
     """Flowsheet rows of the visits that satisfy the predicate, with their template name.
 
     `visits` holds one row per visit with INPATIENT_DATA_ID. The predicate is applied to the
-    measurements before any join.
+    measurements before any join, and the visits are reduced to their flowsheet records first, so
+    the measurements are shuffled once.
     """
     rows = measurements.filter(predicate)
     if templates is not None:
         names = templates.select(F.col("TEMPLATE_ID").alias("FLT_ID"), "TEMPLATE_NAME")
         rows = rows.join(names, "FLT_ID", "left")
     return (
-        rows.join(groups.select("FLO_MEAS_ID"), "FLO_MEAS_ID")
-        .join(records.select("FSD_ID", "INPATIENT_DATA_ID"), "FSD_ID")
+        records.select("FSD_ID", "INPATIENT_DATA_ID")
         .join(visits, "INPATIENT_DATA_ID")
+        .join(rows.join(groups.select("FLO_MEAS_ID"), "FLO_MEAS_ID"), "FSD_ID")
     )
 
 
@@ -47,24 +48,22 @@ def last_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
-def milestone_pivot(
+def milestone_columns(
     df: DataFrame,
     keys: Sequence[str],
-    code: str,
     time: str,
-    wanted: Mapping[str, tuple[str, str]],
+    wanted: Mapping[str, tuple[Column, str]],
 ) -> DataFrame:
-    """One column per wanted code with its first or last time; other codes only keep the row.
+    """One row per group with the first or last time of the rows meeting each condition.
 
-    `wanted` maps a code to (column name, "first" or "last"). A missing time sorts before every
-    other, so it makes a "first" milestone null.
+    `wanted` maps a column name to (condition, "first" or "last"). Rows meeting no condition only
+    keep their group's row. A missing time sorts before every other, so it makes a "first" null.
     """
     columns = []
-    for value, (name, which) in wanted.items():
-        mine = F.col(code) == value
-        stamp = F.when(mine, F.col(time))
+    for name, (condition, which) in wanted.items():
+        stamp = F.when(condition, F.col(time))
         if which == "first":
-            undated = F.coalesce(F.bool_or(mine & F.col(time).isNull()), F.lit(False))
+            undated = F.coalesce(F.bool_or(condition & F.col(time).isNull()), F.lit(False))
             column = F.when(~undated, F.min(stamp))
         else:
             column = F.max(stamp)
@@ -72,6 +71,20 @@ def milestone_pivot(
     return df.groupBy(*keys).agg(*columns)
 
 
+def milestone_pivot(
+    df: DataFrame,
+    keys: Sequence[str],
+    code: str,
+    time: str,
+    wanted: Mapping[str, tuple[str, str]],
+) -> DataFrame:
+    """Milestone columns by code: `wanted` maps a code to (column name, "first" or "last")."""
+    conditions = {
+        name: (F.col(code) == value, which) for value, (name, which) in wanted.items()
+    }
+    return milestone_columns(df, keys, time, conditions)
+
+
 def with_counts(
     df: DataFrame,
     counts: Mapping[str, tuple[Sequence[str], str | None]],
