@@ -217,10 +217,10 @@ def table_rows(rows: DataFrame, site: str = "") -> DataFrame:
     """Report rows as the sink table takes them."""
     return rows.withColumns(
         {
-            "Treatment Plan": clip_list("`Treatment Plan`", 200),
-            "Treatment Plan Provider": clip_list("`Treatment Plan Provider`", 18),
-            "Appointment Resource": clip_list("`Appointment Resource`", 200),
-            "Appointment Note": quote_list("`Appointment Note`", 1000),
+            "Treatment Plan": clip_list("`Treatment Plan`", 200, trim=False),
+            "Treatment Plan Provider": clip_list("`Treatment Plan Provider`", 18, trim=False),
+            "Appointment Resource": clip_list("`Appointment Resource`", 200, trim=False),
+            "Appointment Note": quote_list("`Appointment Note`", 1000, trim=False),
         }
     ).select(*[f"`{c}`" for c in contract(site).names])
 
@@ -229,10 +229,10 @@ def flat_rows(rows: DataFrame, site: str = "") -> DataFrame:
     """Report rows as all text for the flat file, lists in quotes."""
     quoted = rows.withColumns(
         {
-            "Treatment Plan": quote_list("`Treatment Plan`", 255),
-            "Treatment Plan Provider": quote_list("`Treatment Plan Provider`", 255),
-            "Appointment Resource": quote_list("`Appointment Resource`", 255),
-            "Appointment Note": quote_list("`Appointment Note`", 1000),
+            "Treatment Plan": quote_list("`Treatment Plan`", 255, trim=False),
+            "Treatment Plan Provider": quote_list("`Treatment Plan Provider`", 255, trim=False),
+            "Appointment Resource": quote_list("`Appointment Resource`", 255, trim=False),
+            "Appointment Note": quote_list("`Appointment Note`", 1000, trim=False),
             "Appointment ID": blank("`Appointment ID`", 18),
         }
     )
