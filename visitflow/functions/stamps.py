@@ -79,3 +79,13 @@ def report_window(
             last = date(year, month + 1, calendar.monthrange(year, month + 1)[1])
         end = datetime.combine(last + timedelta(days=1), midnight)
     return start, end
+
+
+def report_window_columns(
+    run_date, back_days: int, fwd_months: int | None = None
+) -> tuple[Column, Column]:
+    """The default window of `report_window`, for a column of run dates."""
+    day = _col(run_date)
+    last = day if fwd_months is None else F.last_day(F.add_months(day, fwd_months))
+    start, end = F.date_sub(day, back_days), F.date_add(last, 1)
+    return start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
