@@ -39,16 +39,18 @@ def _(wh):
     )
 
 
-# Every line of the table on one parent: the list is cut in each task before it is shuffled.
+# A third of all lines on one parent.
 @query(
-    "list_lines_one_parent",
-    f"""SELECT source, left(string_agg({escaped("coalesce(text, '')")}, '|' ORDER BY doc_id) || '|',
+    "list_lines_busy_parent",
+    f"""SELECT parent, left(string_agg({escaped("coalesce(text, '')")}, '|' ORDER BY doc_id) || '|',
           1200) AS items
-        FROM (SELECT 'all' AS source, doc_id, text FROM documents) x GROUP BY source""",
+        FROM (SELECT CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id END AS parent, doc_id, text
+              FROM documents) x GROUP BY parent""",
 )
 def _(wh):
-    docs = wh["documents"].withColumn("source", F.lit("all"))
-    return enumerate_lines(docs, ["source"], "doc_id", "text", "items", 1200, unique_lines=True)
+    parent = F.when(F.col("doc_id") % 3 == 0, 0).otherwise(F.col("doc_id"))
+    docs = wh["documents"].withColumn("parent", parent)
+    return enumerate_lines(docs, ["parent"], "doc_id", "text", "items", 1200, unique_lines=True)
 
 
 @query(

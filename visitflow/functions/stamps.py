@@ -13,6 +13,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def stamp_literal(value: datetime) -> Column:
+    # As text: a datetime literal would be a zoned timestamp.
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _drop_seconds(c: Column) -> Column:
     # Interval arithmetic, because date_trunc would go through the session time zone.
     zero = F.lit(0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 class KeyViolation(ValueError):
-    """A key is repeated, or null where it must not be."""
+    """A key is held by more than one row."""
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,10 +22,3 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if found:
         raise KeyViolation(f"duplicate key {list(keys)}: {found[0].asDict()}")
     return df
-
-
-def assert_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    for column in columns:
-        if df.filter(F.col(column).isNull()).take(1):
-            raise KeyViolation(f"null in required column {column!r}")
-    return df

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitflow.functions.stamps import stamp_literal
+
 
 def in_scope(
     departments: Sequence = (),
@@ -23,9 +25,7 @@ def in_scope(
 
 
 def in_window(time: str, start: datetime, end: datetime) -> Column:
-    return F.col(time).between(
-        F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    )
+    return F.col(time).between(stamp_literal(start), stamp_literal(end))
 
 
 def patient_day_cohort(

@@ -1,40 +1 @@
-"""The extracts and reviews, each a composition of operators over the source tables.
-
-A plan passes every frame that several later steps read through a `stage` function, by name:
-
-- `inline` leaves everything in one lazy plan;
-- `written(folder)` stores such frames as parquet in a folder all executors share, so later steps
-  neither recompute them nor depend on executors that may be lost;
-- `verified(keys)` additionally refuses duplicate keys, as the source system did at each stage.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable, Mapping, Sequence
-
-from pyspark.sql import DataFrame
-
-from visitflow.operators.checks import assert_unique
-
-Stage = Callable[[str, DataFrame], DataFrame]
-
-
-def inline(name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
-def written(folder: str) -> Stage:
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{name}.parquet"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-
-    return stage
-
-
-def verified(keys: Mapping[str, Sequence[str]], then: Stage = inline) -> Stage:
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        kept = then(name, df)
-        return assert_unique(kept, keys[name]) if name in keys else kept
-
-    return stage
+"""The extracts and reviews, each a composition of operators over the source tables."""

@@ -24,10 +24,10 @@ from visitflow.operators.linking import link_previous
 from visitflow.operators.lists import enumerate_lines
 from visitflow.operators.milestones import milestone_columns, visit_measures
 from visitflow.operators.ordered import find_large_groups
-from visitflow.plans import Stage, inline
 from visitflow.sources.contracts import infusion as contract
 from visitflow.sources.contracts import summary_heading
 from visitflow.sources.load import flat_file, with_audit
+from visitflow.sources.staging import Stage, inline
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS, FORWARD_MONTHS = 1, 2

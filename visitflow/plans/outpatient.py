@@ -18,10 +18,10 @@ from visitflow.operators.linking import link_next
 from visitflow.operators.lists import enumerate_lines, measure_history
 from visitflow.operators.milestones import milestone_pivot, visit_measures
 from visitflow.operators.ordered import find_large_groups
-from visitflow.plans import Stage, inline
 from visitflow.sources.contracts import clinics as contract
 from visitflow.sources.contracts import summary_heading, vitals_heading
 from visitflow.sources.load import flat_file, with_audit
+from visitflow.sources.staging import Stage, inline
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS, FORWARD_MONTHS = 3, 6

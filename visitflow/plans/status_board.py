@@ -18,9 +18,9 @@ from visitflow.operators.cohort import expand_cohort, in_scope, patient_day_coho
 from visitflow.operators.conditions import active_condition_list, element_values
 from visitflow.operators.events import attach_events, visit_events
 from visitflow.operators.lists import enumerate_lines
-from visitflow.plans import Stage, inline
 from visitflow.sources.contracts import status_board as contract
 from visitflow.sources.load import flat_file, with_audit
+from visitflow.sources.staging import Stage, inline
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS = 3

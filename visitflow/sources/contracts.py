@@ -31,10 +31,6 @@ class Contract:
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
-    @property
-    def required(self) -> list[str]:
-        return [c.name for c in self.columns if c.required]
-
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(c.name, c.type, not c.required) for c in self.columns])
 

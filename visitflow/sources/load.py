@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.functions.stamps import round_to_minute, stamp_text
+from visitflow.functions.stamps import round_to_minute, stamp_literal, stamp_text
 from visitflow.functions.text import blank
-from visitflow.operators.checks import assert_not_null, assert_unique
-from visitflow.sources.contracts import Contract
+from visitflow.operators.checks import assert_unique
+from visitflow.session import shared_dir
+from visitflow.sources.contracts import Contract, SinkColumn
+from visitflow.sources.staging import written
 
 
 def with_audit(df: DataFrame, tag: str, load_ts: datetime) -> DataFrame:
-    return df.withColumns(
-        {"ETL_guid": F.lit(tag), "Load_Dte": F.lit(load_ts).cast("timestamp_ntz")}
-    )
+    return df.withColumns({"ETL_guid": F.lit(tag), "Load_Dte": stamp_literal(load_ts)})
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Columns in contract order and type. Text wider than its column fails the job."""
+    """Columns in contract order and type.
+
+    Text wider than its column, and null in a required column, fail the job that reads the rows.
+    """
     out = []
     for column in contract.columns:
         value = F.col(f"`{column.name}`")
@@ -29,21 +33,25 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
             value = round_to_minute(value)
         value = value.cast(column.type)
         if column.width is not None:
-            too_wide = F.raise_error(
-                F.concat(F.lit(f"text exceeds {column.width} in {column.name}: "), value)
-            ).cast("string")
-            value = F.when(F.length(value) > column.width, too_wide).otherwise(value)
+            message = F.concat(F.lit(f"text exceeds {column.width} in {column.name}: "), value)
+            value = F.when(F.length(value) > column.width, _fail(message, column)).otherwise(value)
+        if column.required:
+            value = F.coalesce(value, _fail(F.lit(f"null in required {column.name}"), column))
         out.append(value.alias(column.name))
     return df.select(*out)
 
 
+def _fail(message: Column, column: SinkColumn) -> Column:
+    return F.raise_error(message).cast(column.type)
+
+
 def _checked(df: DataFrame, contract: Contract, check: bool) -> DataFrame:
+    """Conformed rows; with a key to check they are stored once, and the key is read from there."""
     rows = conform(df, contract)
-    if check:
-        assert_not_null(rows, contract.required)
-        if contract.key:
-            assert_unique(rows, contract.key)
-    return rows
+    if not (check and contract.key):
+        return rows
+    path = f"{shared_dir(df.sparkSession)}/{contract.name}-{uuid.uuid4().hex}"
+    return assert_unique(written(path)("rows", rows), contract.key)
 
 
 def create_table(spark: SparkSession, contract: Contract, table: str) -> None:
