@@ -101,8 +101,9 @@ def previous_sql(table: str, patient: str, day: str) -> str:
       SELECT p.{CSN},
         CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE q.{CSN} END AS previous_id,
         CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE {minute("q.APPT_DTTM")} END AS previous_time,
-        CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE q.APPT_LENGTH END AS previous_length
-      FROM plus p LEFT JOIN (SELECT rid, {CSN}, APPT_DTTM, APPT_LENGTH FROM rec) q
+        CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE q.APPT_LENGTH END AS previous_length,
+        CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE q.DEPARTMENT_ID END AS previous_department
+      FROM plus p LEFT JOIN (SELECT rid, {CSN}, APPT_DTTM, APPT_LENGTH, DEPARTMENT_ID FROM rec) q
         ON q.rid = p.prid"""
 
 
@@ -132,6 +133,7 @@ def previous_carry():
         "previous_id": F.col(CSN),
         "previous_time": round_to_minute("APPT_DTTM"),
         "previous_length": F.col("APPT_LENGTH"),
+        "previous_department": F.col("DEPARTMENT_ID"),
     }
 
 

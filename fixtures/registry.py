@@ -37,9 +37,20 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_OPEN: dict[tuple[str, str], TestWarehouse] = {}
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> TestWarehouse:
+    """One set of table definitions per application and folder; no data is kept."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OPEN or _OPEN[key].spark is not spark:
+        _OPEN[key] = TestWarehouse(spark, sf_dir)
+    return _OPEN[key]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(build):
-        return lambda spark, sf_dir: build(TestWarehouse(spark, sf_dir))
+        return lambda spark, sf_dir: build(_warehouse(spark, sf_dir))
 
     return {name: runner(build) for name, build in _BUILDERS.items()}
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
+from datetime import time as dt_time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ def in_window(time: str, start: datetime, end: datetime) -> Column:
     return F.col(time).between(stamp_literal(start), stamp_literal(end))
 
 
+def on_window_days(time: str, start: datetime, end: datetime) -> Column:
+    """Times on any day the window touches: what an expanded cohort can hold, as a scan filter."""
+    first = datetime.combine(start.date(), dt_time())
+    after = datetime.combine(end.date() + timedelta(days=1), dt_time())
+    return (F.col(time) >= stamp_literal(first)) & (F.col(time) < stamp_literal(after))
+
+
 def patient_day_cohort(
     appointments: DataFrame,
     patients: DataFrame,
@@ -56,6 +64,14 @@ def expand_cohort(
     patient: str = "PAT_ID",
     time: str = "APPT_DTTM",
 ) -> DataFrame:
-    """Every appointment of a cohort patient on a cohort day, in any department unless scoped."""
+    """Every appointment of a cohort patient on a cohort day, in any department unless scoped.
+
+    Give appointments already limited to `on_window_days`; the join cannot infer that bound.
+    """
     rows = appointments if scope is None else appointments.filter(scope)
     return rows.withColumn("appt_date", F.to_date(time)).join(cohort, [patient, "appt_date"])
+
+
+def rows_of(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of a large table that belong to the given ids, before they are joined or folded."""
+    return table.join(ids.select(key), key, "left_semi")

@@ -169,12 +169,16 @@ def reconcile_timeline(
     )
     stamped = unpivot_stamps(appointments, stamps)
     same = (F.col("e_csn") == F.col(CSN)) & (F.col("e_time") == F.col("TimeDTTM"))
-    return happened.join(stamped, same, "full_outer").select(
-        F.coalesce("e_csn", CSN).alias("CSN"),
-        "EVENT_DISPLAY_NAME",
-        "TimeType",
-        F.coalesce("e_time", "TimeDTTM").alias("TimeDTTM"),
+    columns = (CSN, "EVENT_DISPLAY_NAME", "TimeType", "TimeDTTM")
+    # A full join as left join plus the unmatched stamps: these two can be split when one
+    # encounter dominates, a full join cannot.
+    with_event = happened.join(stamped, same, "left").select(
+        F.col("e_csn").alias(CSN), "EVENT_DISPLAY_NAME", "TimeType", F.col("e_time").alias("TimeDTTM")
     )
+    without = stamped.join(happened, same, "left_anti").select(
+        CSN, F.lit(None).cast("string").alias("EVENT_DISPLAY_NAME"), "TimeType", "TimeDTTM"
+    )
+    return with_event.unionByName(without).select(*columns).withColumnRenamed(CSN, "CSN")
 
 
 def open_and_used_slots(

@@ -19,7 +19,13 @@ from visitflow.operators.administrations import (
     infusion_intervals,
     order_intervals,
 )
-from visitflow.operators.cohort import expand_cohort, in_scope, in_window, patient_day_cohort
+from visitflow.operators.cohort import (
+    expand_cohort,
+    in_scope,
+    on_window_days,
+    patient_day_cohort,
+    rows_of,
+)
 from visitflow.operators.linking import link_previous
 from visitflow.operators.lists import enumerate_lines
 from visitflow.operators.milestones import milestone_columns, visit_measures
@@ -64,10 +70,12 @@ def linked_visits(
     if patient is not None:
         appt = appt.filter(F.col("PAT_ID") == patient)
     cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
-    dated = appt.withColumn("appt_date", F.to_date("APPT_DTTM"))
-    large = find_large_groups(dated.filter(in_window("APPT_DTTM", start, end)), LINK_PART, LINK_ORDER)
+    near = appt.filter(on_window_days("APPT_DTTM", start, end))
+    large = find_large_groups(
+        near.withColumn("appt_date", F.to_date("APPT_DTTM")), LINK_PART, LINK_ORDER
+    )
     linked = link_previous(
-        expand_cohort(appt, cohort),
+        expand_cohort(near, cohort),
         LINK_PART,
         LINK_ORDER,
         "APPT_STATUS_C",
@@ -99,7 +107,10 @@ def medication_spans(
 
 
 def milestones(wh: Warehouse, visits: DataFrame, site: str = "") -> DataFrame:
-    """Nurse assignment, visit summary, intake and checked-out stamps in one pass over the measures."""
+    """Nurse assignment, visit summary, intake and checked-out stamps in one pass over the measures.
+
+    `visits` holds the encounter id and INPATIENT_DATA_ID of each visit.
+    """
     measure, template, value = F.col("FLO_MEAS_ID"), F.col("FLT_ID"), F.col("MEAS_VALUE")
     by_template = (measure.isin(*codes.MEASURES_SUMMARY_GIVEN) & (value == "Yes")) | (
         template == codes.TEMPLATE_NURSE_ASSIGNMENT
@@ -108,7 +119,7 @@ def milestones(wh: Warehouse, visits: DataFrame, site: str = "") -> DataFrame:
         codes.TRACK_INTAKE, codes.TRACK_CHECKED_OUT
     )
     rows = visit_measures(
-        visits.select(CSN, "INPATIENT_DATA_ID").distinct(),
+        visits,
         wh["IP_FLWSHT_REC"],
         wh["IP_FLWSHT_MEAS"],
         wh["IP_FLO_GP_DATA"],
@@ -145,22 +156,21 @@ def report(
     start, end = report_window(run_date, BACK_DAYS, FORWARD_MONTHS, start, end)
     visits = linked_visits(wh, departments, start, end, stage, patient)
     ids = visits.select(CSN)
-    encounters = wh["PAT_ENC"].select(CSN, "INPATIENT_DATA_ID")
+    encounters = rows_of(wh["PAT_ENC"], ids, CSN).select(CSN, "INPATIENT_DATA_ID")
     providers = wh["CLARITY_SER"].select("PROV_ID", "PROV_NAME")
     resources = enumerate_lines(
-        wh["PAT_ENC_APPT"]
+        rows_of(wh["PAT_ENC_APPT"], ids, CSN)
         .select(CSN, "LINE", "PROV_ID")
-        .join(ids, CSN, "left_semi")
         .join(providers, "PROV_ID", "left"),
         [CSN], "LINE", "PROV_NAME", "Appointment Resource", 255, unique_lines=True,
     )
     notes = enumerate_lines(
-        wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")).join(ids, CSN, "left_semi"),
+        rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
         [CSN], "LINE", "APPT_NOTE", "Appointment Note", 1000, unique_lines=True,
     )
     spans = medication_spans(wh, departments, start, end, stage)
-    marks = milestones(wh, visits.select(CSN).join(encounters, CSN), site)
-    updates = wh["F_SCHED_APPT"].select(CSN, "UPDATE_DATE")
+    marks = milestones(wh, encounters, site)
+    updates = rows_of(wh["F_SCHED_APPT"], ids, CSN).select(CSN, "UPDATE_DATE")
     units = wh["CLARITY_DEP"].select("DEPARTMENT_ID", "DEPARTMENT_NAME")
     previous_units = units.select(
         F.col("DEPARTMENT_ID").alias("previous_department"),

@@ -13,7 +13,13 @@ from visitflow import codes
 from visitflow.functions.labels import canonical_code, face_to_face, link_flag
 from visitflow.functions.stamps import report_window, round_to_minute
 from visitflow.functions.text import blank, clip, comma_safe, non_empty, pseudonym, sanitize_list
-from visitflow.operators.cohort import expand_cohort, in_scope, in_window, patient_day_cohort
+from visitflow.operators.cohort import (
+    expand_cohort,
+    in_scope,
+    on_window_days,
+    patient_day_cohort,
+    rows_of,
+)
 from visitflow.operators.linking import link_next
 from visitflow.operators.lists import enumerate_lines, measure_history
 from visitflow.operators.milestones import milestone_pivot, visit_measures
@@ -59,12 +65,11 @@ def linked_visits(
     scope = in_scope(departments, providers)
     cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
     linkable = scope | F.col("DEPARTMENT_ID").isin(*target) if keep_target else scope
-    dated = appt.withColumn("appt_date", F.to_date("APPT_DTTM"))
-    large = find_large_groups(
-        dated.filter(in_window("APPT_DTTM", start, end) & linkable), LINK_PART, LINK_ORDER
-    )
+    near = appt.filter(on_window_days("APPT_DTTM", start, end))
+    dated = near.filter(linkable).withColumn("appt_date", F.to_date("APPT_DTTM"))
+    large = find_large_groups(dated, LINK_PART, LINK_ORDER)
     linked = link_next(
-        expand_cohort(appt, cohort, linkable),
+        expand_cohort(near, cohort, linkable),
         LINK_PART,
         LINK_ORDER,
         "APPT_STATUS_C",
@@ -162,28 +167,28 @@ def report(
     """
     start, end = report_window(run_date, back_days, forward_months, start, end)
     visits = linked_visits(wh, departments, providers, target, start, end, keep_target, stage)
-    encounters = wh["PAT_ENC"].select(
+    ids = visits.select(CSN)
+    encounters = rows_of(wh["PAT_ENC"], ids, CSN).select(
         CSN, "INPATIENT_DATA_ID", "ENC_TYPE_C", F.col(CSN).alias("enc_csn"),
         F.col("APPT_STATUS_C").alias("enc_status"),
     )
-    ids = visits.select(CSN)
     reasons = enumerate_lines(
-        wh["PAT_ENC_RSN_VISIT"]
+        rows_of(wh["PAT_ENC_RSN_VISIT"], ids, CSN)
         .select(CSN, "LINE", F.col("ENC_REASON_ID").alias("REASON_VISIT_ID"))
-        .join(ids, CSN, "left_semi")
         .join(wh["CL_RSN_FOR_VISIT"], "REASON_VISIT_ID", "left"),
         [CSN], "LINE", "REASON_VISIT_NAME", "reasons", 1200, trailing=False, unique_lines=True,
     )
     notes = enumerate_lines(
-        wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")).join(ids, CSN, "left_semi"),
+        rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
         [CSN], "LINE", "APPT_NOTE", "notes", 1200, trailing=False, unique_lines=True,
     )
-    measured = ids.join(encounters.select(CSN, "INPATIENT_DATA_ID"), CSN)
+    measured = encounters.select(CSN, "INPATIENT_DATA_ID")
+    updates = rows_of(wh["F_SCHED_APPT"], ids, CSN).select(CSN, "UPDATE_DATE")
     status = wh["ZC_APPT_STATUS"].select(
         F.col("APPT_STATUS_C").alias("enc_status"), F.col("NAME").alias("APPT_STATUS_NAME")
     )
     detail = (
-        visits.join(wh["F_SCHED_APPT"].select(CSN, "UPDATE_DATE"), CSN, "left")
+        visits.join(updates, CSN, "left")
         .join(encounters, CSN, "left")
         .join(reasons, CSN, "left")
         .join(notes, CSN, "left")

@@ -14,7 +14,13 @@ from visitflow.functions.durations import cycle_time, earliest_after, time_in_ro
 from visitflow.functions.labels import face_to_face
 from visitflow.functions.stamps import report_window, round_to_minute
 from visitflow.functions.text import blank, non_empty, pseudonym, sanitize_list
-from visitflow.operators.cohort import expand_cohort, in_scope, patient_day_cohort
+from visitflow.operators.cohort import (
+    expand_cohort,
+    in_scope,
+    on_window_days,
+    patient_day_cohort,
+    rows_of,
+)
 from visitflow.operators.conditions import active_condition_list, element_values
 from visitflow.operators.events import attach_events, visit_events
 from visitflow.operators.lists import enumerate_lines
@@ -68,10 +74,11 @@ def visits_with_details(
         ),
     )
     days = cohort.select("PAT_ID", "appt_date", "PAT_MRN_ID", "LANGUAGE_C").distinct()
-    visits = stage("visits", expand_cohort(appt, days, scope))
+    near = appt.filter(on_window_days("APPT_DTTM", start, end))
+    visits = stage("visits", expand_cohort(near, days, scope))
     ids = visits.select(CSN)
     notes = enumerate_lines(
-        wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")).join(ids, CSN, "left_semi"),
+        rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
         [CSN], "LINE", "APPT_NOTE", "APPT_NOTES", 1200, trailing=False, unique_lines=True,
     )
     comments = enumerate_lines(
@@ -80,7 +87,8 @@ def visits_with_details(
         ).withColumnRenamed("CONTACT_SERIAL_NUM", CSN),
         [CSN], "LINE", "SMRTDTA_ELEM_VALUE", "SDE_VALUES", 1200, trailing=False, unique_lines=True,
     )
-    conditions = wh["HSP_INFECTION_PL"].join(
+    patients = days.select("PAT_ID").distinct()
+    conditions = rows_of(wh["HSP_INFECTION_PL"], patients, "PAT_ID").join(
         wh["ZC_INFECTION"].select("INFECTION_C", F.col("NAME").alias("INFECTION_NAME")),
         "INFECTION_C",
         "left",
@@ -88,10 +96,10 @@ def visits_with_details(
     infections = active_condition_list(
         days, conditions, "INFECTION_NAME", "INFECTION_NAMES", 1200
     ).withColumnRenamed("PAT_ID", "enc_pat")
-    durations = with_durations(
-        wh["F_SCHED_APPT"].select(CSN, "CHECKIN_DTTM", *ROOM_STAMPS, "VISIT_END_DTTM", "CHECKOUT_DTTM")
-    ).select(CSN, "TIME_TO_ROOM_MINUTES", "TIME_IN_ROOM_MINUTES", "CYCLE_TIME_MINUTES")
-    encounters = wh["PAT_ENC"].select(
+    durations = with_durations(rows_of(wh["F_SCHED_APPT"], ids, CSN)).select(
+        CSN, "TIME_TO_ROOM_MINUTES", "TIME_IN_ROOM_MINUTES", "CYCLE_TIME_MINUTES"
+    )
+    encounters = rows_of(wh["PAT_ENC"], ids, CSN).select(
         CSN, F.col(CSN).alias("enc_csn"), F.col("PAT_ID").alias("enc_pat"), "ENC_TYPE_C",
         F.col("APPT_STATUS_C").alias("enc_status"), "INTERPRETER_NEED_YN", "INTRP_ASSIGNMENT_C",
         "ASGND_INTERP_TYPE_C", "INTERPRETER_VEND_C",
@@ -185,13 +193,18 @@ def _texts(rows: DataFrame) -> DataFrame:
     return rows.withColumns(cleaned)
 
 
-def table_rows(rows: DataFrame, legacy_blanks: bool = False) -> DataFrame:
+def table_rows(
+    rows: DataFrame, legacy_blanks: bool = False, first_revision: bool = False
+) -> DataFrame:
     """Report rows as the sink table takes them.
 
     Missing numbers and visit times stay null. `legacy_blanks` writes them as the source system
-    did, where a blank text became 0 or 1900-01-01.
+    did, where a blank text became 0 or 1900-01-01. `first_revision` cuts lists at 254 characters
+    and leaves their commas, as the first version of the extract did.
     """
     out = _texts(rows)
+    if first_revision:
+        out = out.withColumns({name: blank(rows[name], 254) for name in _LISTS})
     if legacy_blanks:
         epoch = F.to_timestamp_ntz(F.lit("1900-01-01 00:00:00"))
         filled = {n: F.coalesce(n, F.lit(0)) for n in _NUMBERS}
