@@ -162,12 +162,13 @@ def test_every_neighbour_kind_agrees(spark):
 def test_large_group_is_split_over_many_windows(spark):
     df = visits(spark, [(0, START, csn, 2, 1) for csn in range(3000)])
     large = find_large_groups(df, ["pat"], ["t", "csn"], max_rows=300)
-    (bounds,) = [r["_bounds"] for r in large.collect()]
+    (bounds,) = [r["_bounds"] for r in large.bounds.collect()]
+    assert large.longest == len(bounds)
     edges = [-1, *sorted(b["csn"] for b in bounds), 3000]
     sizes = [b - a for a, b in zip(edges, edges[1:], strict=False)]
     assert len(bounds) >= 5 and max(sizes) < 2000
 
 
 def test_empty_input(spark):
-    assert linked_previous(visits(spark, [])) == {}
+    assert linked_previous(visits(spark, []), "detect") == {}
     assert find_large_groups(visits(spark, []), ["pat"], ["t", "csn"]) is None

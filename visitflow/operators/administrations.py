@@ -87,24 +87,35 @@ def med_administrations(
     )
 
 
-def treatment_plans(
-    orders: DataFrame, plan_orders: DataFrame, providers: DataFrame, order: str = "ORDER_MED_ID"
-) -> DataFrame:
-    """Plan and plan provider of each distinct order; orders without a plan are left out."""
-    plans = plan_orders.select(
+def _plan_columns(plan_orders: DataFrame, order: str) -> DataFrame:
+    return plan_orders.select(
         F.col("ORDER_ID").alias(order), "TREATMENT_PLAN_ID", "PLAN_NAME", "PLAN_PROV_ID"
     )
+
+
+def _with_plan_provider(df: DataFrame, providers: DataFrame) -> DataFrame:
     named = providers.select(
         F.col("PROV_ID").alias("PLAN_PROV_ID"), F.col("PROV_NAME").alias("PLAN_PROV_NAME")
     )
+    return df.join(named, "PLAN_PROV_ID", "left")
+
+
+def treatment_plans(
+    orders: DataFrame, plan_orders: DataFrame, providers: DataFrame, order: str = "ORDER_MED_ID"
+) -> DataFrame:
+    """Plan and plan provider of each distinct order; orders without a plan are left out."""
     wanted = orders.select(order).distinct()
-    return plans.join(wanted, order, "left_semi").join(named, "PLAN_PROV_ID", "left")
+    plans = _plan_columns(plan_orders, order).join(wanted, order, "left_semi")
+    return _with_plan_provider(plans, providers)
 
 
 def attach_treatment_plan(
     rows: DataFrame, plan_orders: DataFrame, providers: DataFrame, order: str = "ORDER_MED_ID"
 ) -> DataFrame:
-    return rows.join(treatment_plans(rows, plan_orders, providers, order), order, "left")
+    """Rows with their order's plan and plan provider, null where the order has no plan."""
+    return _with_plan_provider(
+        rows.join(_plan_columns(plan_orders, order), order, "left"), providers
+    )
 
 
 def first_action(df: DataFrame, keys, time: str, code: str, wanted, name: str) -> DataFrame:

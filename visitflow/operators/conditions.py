@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions.text import non_empty
-from visitflow.operators.lists import enumerate_lines, first_lines
+from visitflow.operators.lists import GROUP, enumerate_lines, first_lines
 
 
 def unresolved(conditions: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def active_condition_list(
     before conditions meet visit days.
     """
     needed = first_lines(unresolved(conditions), [patient, "_added"], ["LINE"], max_chars + 1)
-    active = active_conditions_asof(visits, needed.drop("_added"), patient, day)
+    active = active_conditions_asof(visits, needed.drop("_added", GROUP), patient, day)
     return enumerate_lines(
         active, [patient, day], "LINE", value, name, max_chars, trailing=False, unique_lines=True
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from visitflow import codes
 from visitflow.operators.ordered import (
+    LargeGroups,
     first_after,
     following,
     last_before,
@@ -35,7 +36,7 @@ def link_previous(
     carry: Mapping[str, Column],
     skip: Sequence = codes.INACTIVE_STATUSES,
     active: Sequence = codes.ACTIVE_STATUSES,
-    large: DataFrame | None | str = "detect",
+    large: LargeGroups | None | str = "detect",
 ) -> DataFrame:
     """Carry values from the visit before this one in its group.
 
@@ -71,7 +72,7 @@ def link_next(
     carry: Mapping[str, Column],
     skip: Sequence = codes.INACTIVE_STATUSES,
     active: Sequence = codes.ACTIVE_STATUSES,
-    large: DataFrame | None | str = "detect",
+    large: LargeGroups | None | str = "detect",
 ) -> DataFrame:
     """Carry values from the next active visit to a target department.
 

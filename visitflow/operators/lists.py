@@ -17,10 +17,18 @@ from visitflow.functions.stamps import stamp_text
 from visitflow.functions.text import clip, escape_markup
 
 
+# The keys as one column. Grouping by it makes Spark move the rows even when a join has already
+# placed them by key, and so cut each group in the tasks that hold parts of it.
+GROUP = "_group"
+
+
 def first_lines(df: DataFrame, keys: Sequence[str], order: Sequence, n: int) -> DataFrame:
-    """The first n rows of each group."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n).drop("_n")
+    """The first n rows of each group, with the group's keys also as the column `GROUP`."""
+    grouped = df.withColumn(GROUP, F.struct(*keys))
+    window = Window.partitionBy(GROUP).orderBy(*order)
+    return (
+        grouped.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n).drop("_n")
+    )
 
 
 def joined(order: Sequence[Column], item: Column, sep: str, trailing: bool, width: int) -> Column:
@@ -54,19 +62,20 @@ def enumerate_lines(
     `unique_lines=True` when lines are known to be unique, which saves an exchange.
     """
     keys = list(keys)
-    lines = df.select(*keys, F.col(line).alias("_line"), F.col(value).alias("_value"))
+    # Clipping keeps the order of texts, so it may come before the greatest is taken.
+    lines = df.select(*keys, F.col(line).alias("_line"), clip(value, max_chars).alias("_value"))
     if not unique_lines:
         lines = lines.groupBy(*keys, "_line").agg(F.max("_value").alias("_value"))
+    order = ["_line"]
     if nulls == "empty":
         lines = lines.withColumn("_value", F.coalesce("_value", F.lit("")))
-    # Null values sort last, so they never displace a line that shows.
-    shown_first = [F.col("_value").isNull(), F.col("_line")]
-    lines = first_lines(lines, keys, shown_first, max_chars + 1)
-    item = clip("_value", max_chars)
-    if escape:
-        item = clip(escape_markup(item), max_chars)
+    else:
+        # Skipped lines sort last, so they never displace a line that shows.
+        order = [F.col("_value").isNull(), *order]
+    lines = first_lines(lines, keys, order, max_chars + 1)
+    item = clip(escape_markup("_value"), max_chars) if escape else F.col("_value")
     text = joined([F.col("_line")], item, sep, trailing, max_chars)
-    return lines.groupBy(*keys).agg(text.alias(name))
+    return lines.groupBy(GROUP).agg(text.alias(name)).select(f"{GROUP}.*", name)
 
 
 def enumerate_distinct(
@@ -81,13 +90,14 @@ def enumerate_distinct(
 ) -> DataFrame:
     """Like `enumerate_lines` over the distinct (`by`, value) pairs, ordered by them, null first."""
     keys, by = list(keys), list(by)
-    pairs = df.select(*keys, *by, F.col(value).alias("_value")).distinct()
+    pairs = df.select(*keys, *by, clip(value, max_chars).alias("_value")).distinct()
     pairs = first_lines(pairs, keys, [*by, "_value"], max_chars + 1)
-    item = clip(F.coalesce("_value", F.lit("")), max_chars)
+    item = F.coalesce("_value", F.lit(""))
     if escape:
         item = clip(escape_markup(item), max_chars)
     order = [*[F.col(c) for c in by], F.col("_value")]
-    return pairs.groupBy(*keys).agg(joined(order, item, sep, True, max_chars).alias(name))
+    text = joined(order, item, sep, True, max_chars)
+    return pairs.groupBy(GROUP).agg(text.alias(name)).select(f"{GROUP}.*", name)
 
 
 def attach_lines(
@@ -120,7 +130,7 @@ def measure_history(
     """
     keys = list(keys)
     points = (
-        df.withColumn("_value", F.coalesce(value, F.lit(missing)))
+        df.withColumn("_value", clip(F.coalesce(value, F.lit(missing)), max_chars))
         .groupBy(*keys, measure, time)
         .agg(F.max("_value").alias("_value"))
     )
@@ -128,7 +138,7 @@ def measure_history(
     lists = []
     for code, (values, stamps) in names.items():
         mine = F.col(measure) == code
-        text = clip(escape_markup(clip("_value", max_chars)), max_chars)
+        text = clip(escape_markup("_value"), max_chars)
         stamp = stamp_text(time, "minute", blank=False)
         at = [F.col(time)]
         lists.append(joined(at, F.when(mine, text), "|", False, max_chars).alias(values))

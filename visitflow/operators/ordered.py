@@ -21,7 +21,15 @@ MAX_ROWS = 2_000_000
 MAX_GROUPS = 500
 MAX_SLICES = 256
 
-_SLICE, _HASH, _BOUNDS = "_slice", "_group_hash", "_bounds"
+_SLICE, _HASH, _BOUNDS, _PART = "_slice", "_group_hash", "_bounds", "_part"
+
+
+@dataclass(frozen=True)
+class LargeGroups:
+    """Slice boundaries per key hash, in order, and the longest list of them."""
+
+    bounds: DataFrame
+    longest: int
 
 
 @dataclass(frozen=True)
@@ -71,7 +79,7 @@ def find_large_groups(
     max_rows: int = MAX_ROWS,
     max_groups: int = MAX_GROUPS,
     max_slices: int = MAX_SLICES,
-) -> DataFrame | None:
+) -> LargeGroups | None:
     """Slice boundaries of the largest groups, or None when every group is of ordinary size.
 
     Sizes come from a frequent-items sketch over the key hash. A group missed by the sketch, or
@@ -103,7 +111,10 @@ def find_large_groups(
     schema = T.StructType(
         [T.StructField(_HASH, T.LongType()), T.StructField(_BOUNDS, T.ArrayType(at_type))]
     )
-    return spark.createDataFrame(sorted(bounds.items(), key=lambda kv: kv[0]), schema)
+    table = spark.createDataFrame(sorted(bounds.items(), key=lambda kv: kv[0]), schema)
+    return LargeGroups(
+        table.withColumn(_BOUNDS, F.array_sort(_BOUNDS)), max(map(len, bounds.values()))
+    )
 
 
 def with_neighbours(
@@ -111,7 +122,7 @@ def with_neighbours(
     keys: Sequence[str],
     order: Sequence[str],
     wanted: Mapping[str, Neighbour],
-    large: DataFrame | None | str = "detect",
+    large: LargeGroups | None | str = "detect",
 ) -> DataFrame:
     """Add the wanted neighbour values; `order` must be unique within a group.
 
@@ -122,16 +133,11 @@ def with_neighbours(
     if large is None:
         return _windowed(df, list(keys), order, wanted)
 
-    at = F.struct(*order)
-    slice_no = F.size(F.filter(F.col(_BOUNDS), lambda bound: bound <= at))
-    sliced = (
-        df.withColumn(_HASH, F.xxhash64(*keys))
-        .join(F.broadcast(large), _HASH, "left")  # at most MAX_GROUPS rows
-        .withColumn(_SLICE, F.when(F.col(_BOUNDS).isNotNull(), slice_no).otherwise(-1))
-        .drop(_HASH, _BOUNDS)
-    )
-    carried = _carry(sliced.filter(F.col(_SLICE) >= 0), list(keys), at, wanted)
-    local = _windowed(sliced, [*keys, _SLICE], order, wanted)
+    sliced = _sliced(df, keys, order, large, "left")
+    carried = _carry(_sliced(df, keys, order, large, "inner"), list(keys), order, wanted)
+    # One column for key and slice: rows already placed by key alone must still move by slice.
+    placed = sliced.withColumn(_PART, F.struct(*keys, _SLICE))
+    local = _windowed(placed, [_PART], order, wanted)
     same = [local[k].eqNullSafe(carried[f"_k_{k}"]) for k in [*keys, _SLICE]]
     joined = local.join(F.broadcast(carried), same, "left")  # one row per slice
     out = [F.col(c) for c in df.columns]
@@ -144,6 +150,25 @@ def with_neighbours(
     return joined.select(*out)
 
 
+def _sliced(df, keys, order, large: LargeGroups, how: str) -> DataFrame:
+    """Number rows by slice: how many boundaries are not after the row, found by bisection.
+
+    Rows of ordinary groups get -1 (or go, with an inner join).
+    """
+    out = (
+        df.withColumn(_HASH, F.xxhash64(*keys))
+        .join(F.broadcast(large.bounds), _HASH, how)  # at most MAX_GROUPS rows
+        .withColumn(_SLICE, F.when(F.col(_BOUNDS).isNotNull(), 0).otherwise(-1))
+    )
+    at = F.struct(*order)
+    step = 1 << (large.longest.bit_length() - 1)
+    while step:
+        bound = F.get(_BOUNDS, F.col(_SLICE) + (step - 1))
+        out = out.withColumn(_SLICE, F.col(_SLICE) + F.when(bound <= at, step).otherwise(0))
+        step //= 2
+    return out.drop(_HASH, _BOUNDS)
+
+
 def _unwrap(boxed: Column) -> Column:
     return boxed.getField("v")
 
@@ -152,7 +177,7 @@ def _windowed(df, keys, order, wanted) -> DataFrame:
     """One window per direction; a slice keeps values boxed so an absent row differs from a null."""
     ahead = Window.partitionBy(*keys).orderBy(*order)
     behind = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    boxed = _SLICE in keys
+    boxed = keys == [_PART]
     columns = {}
     for name, step in wanted.items():
         window = behind if step.kind in _BACKWARD else ahead
@@ -169,8 +194,9 @@ def _windowed(df, keys, order, wanted) -> DataFrame:
     return df.withColumns(columns)
 
 
-def _carry(rows, keys, at, wanted) -> DataFrame:
+def _carry(rows, keys, order, wanted) -> DataFrame:
     """Per slice: what its first (or last) row must take from the slices before (or after) it."""
+    at = F.struct(*order)
     edges = []
     for name, step in wanted.items():
         if step.value is None:

@@ -182,15 +182,16 @@ _LISTS = ("INFECTION_STATUS", "APPT_NOTES", "VISIT_FLOW_COMMENTS")
 _NUMBERS = ("APPT_LENGTH", "TIME_TO_ROOM_MINUTES", "TIME_IN_ROOM_MINUTES", "CYCLE_TIME_MINUTES")
 
 
-def _texts(rows: DataFrame) -> DataFrame:
-    cleaned = {
-        c.name: sanitize_list(c.name, c.width, strip_last=False)
-        if c.name in _LISTS
-        else blank(c.name, c.width)
-        for c in contract().columns
-        if c.width is not None
-    }
-    return rows.withColumns(cleaned)
+def _texts(rows: DataFrame, first_revision: bool = False) -> DataFrame:
+    def shaped(column):
+        if column.name not in _LISTS:
+            return blank(column.name, column.width)
+        if first_revision:
+            return blank(column.name, 254)
+        return sanitize_list(column.name, column.width, strip_last=False)
+
+    texts = [c for c in contract().columns if c.width is not None]
+    return rows.withColumns({c.name: shaped(c) for c in texts})
 
 
 def table_rows(
@@ -202,9 +203,7 @@ def table_rows(
     did, where a blank text became 0 or 1900-01-01. `first_revision` cuts lists at 254 characters
     and leaves their commas, as the first version of the extract did.
     """
-    out = _texts(rows)
-    if first_revision:
-        out = out.withColumns({name: blank(rows[name], 254) for name in _LISTS})
+    out = _texts(rows, first_revision)
     if legacy_blanks:
         epoch = F.to_timestamp_ntz(F.lit("1900-01-01 00:00:00"))
         filled = {n: F.coalesce(n, F.lit(0)) for n in _NUMBERS}
