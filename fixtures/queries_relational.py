@@ -157,21 +157,21 @@ def _(wh):
 
 @query(
     "join_expression_key",
-    f"""SELECT a.{CSN}, e.event_id FROM V_SCHED_APPT a JOIN events e
-        ON a.PAT_ID = 'Z' || CAST(e.user_id AS VARCHAR) AND CAST(a.APPT_DTTM AS DATE) = CAST(e.ts AS DATE)""",
-)
-def _(wh):
-    events = wh["events"].select(
-        "event_id",
-        F.concat(F.lit("Z"), F.col("user_id").cast("string")).alias("PAT_ID"),
-        F.to_date("ts").alias("appt_date"),
-    )
-    return (
-        appt(wh)
-        .withColumn("appt_date", F.to_date("APPT_DTTM"))
-        .join(events, ["PAT_ID", "appt_date"])
-        .select(CSN, "event_id")
+    f"""SELECT a.{CSN}, e.day FROM V_SCHED_APPT a JOIN (
+          SELECT DISTINCT 'Z' || CAST(user_id AS VARCHAR) AS PAT_ID, CAST(ts AS DATE) AS day
+          FROM events) e ON a.PAT_ID = e.PAT_ID AND CAST(a.APPT_DTTM AS DATE) = e.day""",
+)
+def _(wh):
+    active_days = (
+        wh["events"]
+        .select(
+            F.concat(F.lit("Z"), F.col("user_id").cast("string")).alias("PAT_ID"),
+            F.to_date("ts").alias("day"),
+        )
+        .distinct()
     )
+    dated = appt(wh).withColumn("day", F.to_date("APPT_DTTM"))
+    return dated.join(active_days, ["PAT_ID", "day"]).select(CSN, "day")
 
 
 @query(

@@ -10,7 +10,12 @@ from visitflow.operators.administrations import (
     infusion_intervals,
     order_intervals,
 )
-from visitflow.operators.cohort import expand_cohort, in_scope, patient_day_cohort
+from visitflow.operators.cohort import (
+    expand_cohort,
+    in_scope,
+    left_to_many,
+    patient_day_cohort,
+)
 from visitflow.operators.conditions import (
     active_condition_list,
     active_conditions_asof,
@@ -220,6 +225,15 @@ def test_cohort_and_expansion(spark):
     assert sorted(r.PAT_ENC_CSN_ID for r in scoped.collect()) == [1, 4]
 
 
+def test_left_to_many_equals_left_join(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, l string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "n")], "k int, r string")
+    many = left_to_many(left, right, "k")
+    plain = left.join(right, "k", "left")
+    assert many.columns == plain.columns
+    assert sorted(map(str, many.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_timeline_and_reconciliation(spark):
     appt = frame(
         spark, [(1, "2024-01-01 09:00", None), (2, "2024-01-01 09:30", "2024-01-01 10:00")],

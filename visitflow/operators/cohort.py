@@ -75,3 +75,18 @@ def expand_cohort(
 def rows_of(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of a large table that belong to the given ids, before they are joined or folded."""
     return table.join(ids.select(key), key, "left_semi")
+
+
+def left_to_many(
+    parents: DataFrame, children: DataFrame, key: str, having: DataFrame | None = None
+) -> DataFrame:
+    """Left join to a table that may hold a large share of its rows under one key.
+
+    Spark can split such a key in an inner join but not on the right of a left join. So parents
+    meet their children in an inner join, and parents without any are added with nulls. `having`
+    is a cheaper frame with the same keys as `children`, if there is one.
+    """
+    found = parents.join(children, key)
+    keys = (children if having is None else having).select(key).distinct()
+    childless = parents.join(keys, key, "left_anti")
+    return found.unionByName(childless, allowMissingColumns=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions.text import non_empty
+from visitflow.operators.cohort import left_to_many
 from visitflow.operators.lists import GROUP, enumerate_lines, first_lines
 
 
@@ -69,8 +70,7 @@ def element_values(
     lines = values.filter(non_empty("SMRTDTA_ELEM_VALUE")).select(
         "HLV_ID", "SMRTDTA_ELEM_VALUE", "LINE"
     )
-    return (
-        recorded.join(wanted, "CONTACT_SERIAL_NUM", "left_semi")
-        .join(lines, "HLV_ID", "left")
-        .select("CONTACT_SERIAL_NUM", "SMRTDTA_ELEM_VALUE", "LINE")
+    kept = recorded.join(wanted, "CONTACT_SERIAL_NUM", "left_semi")
+    return left_to_many(kept, lines, "HLV_ID").select(
+        "CONTACT_SERIAL_NUM", "SMRTDTA_ELEM_VALUE", "LINE"
     )

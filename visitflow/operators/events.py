@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow import codes
+from visitflow.operators.cohort import left_to_many
 
 CSN = "PAT_ENC_CSN_ID"
 
@@ -63,29 +64,17 @@ def event_templates(
     return template_catalogue(tables).filter(rule)
 
 
-def visit_events(
+def recorded_events(
     tables: Mapping[str, DataFrame],
     encounters: DataFrame,
     types: Sequence[str] = codes.BOARD_EVENT_TYPES,
 ) -> DataFrame:
-    """Events of the encounters, restricted to the given types, with template, class and details.
+    """Events of the encounters, restricted to the given types; one row per event entry.
 
     The type filter runs on the event scan and the encounter filter on the patient-event scan, so
-    both sides of their join are already reduced. One template catalogue serves both roles. An
-    event repeats for each line of its note.
+    both sides of their join are already reduced.
     """
     wanted = encounters.select(CSN).distinct()
-    catalogue = template_catalogue(tables)
-
-    def in_role(role: str) -> DataFrame:
-        return catalogue.select(
-            F.col("RECORD_ID").alias(f"RECORD_ID_{role}"),
-            F.col("RECORD_NAME").alias(f"RECORD_NAME_{role}"),
-            F.col("EVENT_NAME").alias(f"EVENT_NAME_{role}"),
-            F.col("EVT_TMPLT_CLASS_C").alias(f"EVT_TMPLT_CLASS_C_{role}"),
-            F.col("CLASS_NAME").alias(f"EVT_TMPLT_CLASS_C_name_{role}"),
-        )
-
     by_patient = tables["ED_IEV_PAT_INFO"].join(wanted, CSN, "left_semi").select(
         "PAT_ID", CSN, F.col("TYPE_ID").alias("TYPE_ID_pat"), "EVENT_ID",
         F.col("EVENT_ID").alias("EVENT_ID_pat"), "DEPT_EVENT_DEP_ID",
@@ -101,33 +90,65 @@ def visit_events(
             )
         ],
     )
+    return by_patient.join(events, "EVENT_ID").withColumnRenamed("EVENT_ID", "EVENT_ID_iev")
+
+
+def with_note_lines(events: DataFrame, notes: DataFrame) -> DataFrame:
+    """Events repeated for each line of their note; events without a note stay."""
+    lines = notes.select(
+        F.col("NOTE_ID").alias("EVENT_NOTE_ID_iev"), F.col("LINE").alias("NOTE_LINE"), "NOTE_TEXT"
+    )
+    return left_to_many(events, lines, "EVENT_NOTE_ID_iev")
+
+
+def visit_events(
+    tables: Mapping[str, DataFrame],
+    encounters: DataFrame,
+    types: Sequence[str] = codes.BOARD_EVENT_TYPES,
+) -> DataFrame:
+    """Recorded events with note lines, template and class in both roles, and other details.
+
+    One template catalogue serves the role of the event and the role of the patient's event type.
+    """
+    catalogue = template_catalogue(tables)
+
+    def in_role(role: str) -> DataFrame:
+        return catalogue.select(
+            F.col("RECORD_ID").alias(f"RECORD_ID_{role}"),
+            F.col("RECORD_NAME").alias(f"RECORD_NAME_{role}"),
+            F.col("EVENT_NAME").alias(f"EVENT_NAME_{role}"),
+            F.col("EVT_TMPLT_CLASS_C").alias(f"EVT_TMPLT_CLASS_C_{role}"),
+            F.col("CLASS_NAME").alias(f"EVT_TMPLT_CLASS_C_name_{role}"),
+        )
+
     departments = tables["CLARITY_DEP"].select(
         F.col("DEPARTMENT_ID").alias("DEPT_EVENT_DEP_ID"), "DEPARTMENT_NAME"
     )
-    notes = tables["HNO_NOTE_TEXT"].select(
-        F.col("NOTE_ID").alias("EVENT_NOTE_ID_iev"), F.col("LINE").alias("NOTE_LINE"), "NOTE_TEXT"
-    )
     providers = tables["CLARITY_SER"].select(
         F.col("PROV_ID").alias("EVENT_PROV_ID"), F.col("PROV_NAME").alias("EVENT_PROV_NAME")
     )
     places = tables["CL_PLC"].select(
-        F.col("LOCATION_EVNT_ID").alias("LOCATION_ID_iev"), F.col("COMMENTS").alias("LOCATION_COMMENTS")
+        F.col("LOCATION_EVNT_ID").alias("LOCATION_ID_iev"),
+        F.col("COMMENTS").alias("LOCATION_COMMENTS"),
     )
+    events = recorded_events(tables, encounters, types)
     return (
-        by_patient.join(events, "EVENT_ID")
-        .withColumnRenamed("EVENT_ID", "EVENT_ID_iev")
+        with_note_lines(events, tables["HNO_NOTE_TEXT"])
         .join(in_role("iev"), F.col("EVENT_TYPE_iev") == F.col("RECORD_ID_iev"), "left")
         .join(in_role("pat"), F.col("TYPE_ID_pat") == F.col("RECORD_ID_pat"), "left")
         .join(departments, "DEPT_EVENT_DEP_ID", "left")
-        .join(notes, "EVENT_NOTE_ID_iev", "left")
         .join(providers, F.col("EVENT_PROV_ID_iev") == F.col("EVENT_PROV_ID"), "left")
         .join(places, "LOCATION_ID_iev", "left")
     )
 
 
 def attach_events(appointments: DataFrame, events: DataFrame, on: str = CSN) -> DataFrame:
-    """Each appointment with each of its events; appointments without events stay."""
-    return appointments.join(events, on, "left")
+    """Each appointment with each of its events; appointments without events stay.
+
+    Events meet the bare ids first, so the appointments' details are computed once.
+    """
+    ids = appointments.select(on).distinct()
+    return left_to_many(ids, events, on).join(appointments, on)
 
 
 def unpivot_stamps(
@@ -175,7 +196,8 @@ def reconcile_timeline(
     with_event = happened.join(stamped, same, "left").select(
         F.col("e_csn").alias(CSN), "EVENT_DISPLAY_NAME", "TimeType", F.col("e_time").alias("TimeDTTM")
     )
-    without = stamped.join(happened, same, "left_anti").select(
+    taken = happened.select("e_csn", "e_time").distinct()
+    without = stamped.join(taken, same, "left_anti").select(
         CSN, F.lit(None).cast("string").alias("EVENT_DISPLAY_NAME"), "TimeType", "TimeDTTM"
     )
     return with_event.unionByName(without).select(*columns).withColumnRenamed(CSN, "CSN")
@@ -191,5 +213,9 @@ def open_and_used_slots(
         .select(F.col("CONTACT_DATE").alias("SLOT_DATE"))
         .distinct()
     )
-    unbooked = slots.filter(F.col("APPT_NUMBER") == 0).join(dates, "SLOT_DATE", "left_semi")
+    # Few dates hold all slots, so shuffling by date would pile them up. The dates themselves are
+    # bounded by the calendar: a thousand years are 365,000 rows.
+    unbooked = slots.filter(F.col("APPT_NUMBER") == 0).join(
+        F.broadcast(dates), "SLOT_DATE", "left_semi"
+    )
     return used.unionByName(unbooked)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from visitflow.functions.stamps import stamp_text
 from visitflow.functions.text import clip, escape_markup
+from visitflow.operators.cohort import left_to_many
+from visitflow.session import cut_groups_early
 
 
 # The keys as one column. Grouping by it makes Spark move the rows even when a join has already
@@ -24,6 +26,7 @@ GROUP = "_group"
 
 def first_lines(df: DataFrame, keys: Sequence[str], order: Sequence, n: int) -> DataFrame:
     """The first n rows of each group, with the group's keys also as the column `GROUP`."""
+    cut_groups_early(df.sparkSession, n)
     grouped = df.withColumn(GROUP, F.struct(*keys))
     window = Window.partitionBy(GROUP).orderBy(*order)
     return (
@@ -110,7 +113,7 @@ def attach_lines(
     """Lines of each distinct parent; a parent without lines keeps one row of nulls."""
     if lookup is not None:
         child = child.join(lookup, lookup_on, "left")
-    return parents.select(on).distinct().join(child, on, "left")
+    return left_to_many(parents.select(on).distinct(), child, on)
 
 
 def measure_history(

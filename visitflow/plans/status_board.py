@@ -17,12 +17,13 @@ from visitflow.functions.text import blank, non_empty, pseudonym, sanitize_list
 from visitflow.operators.cohort import (
     expand_cohort,
     in_scope,
+    left_to_many,
     on_window_days,
     patient_day_cohort,
     rows_of,
 )
 from visitflow.operators.conditions import active_condition_list, element_values
-from visitflow.operators.events import attach_events, visit_events
+from visitflow.operators.events import recorded_events, with_note_lines
 from visitflow.operators.lists import enumerate_lines
 from visitflow.sources.contracts import status_board as contract
 from visitflow.sources.load import flat_file, with_audit
@@ -55,15 +56,10 @@ def _named(wh: Warehouse, table: str, key: str, code: str, name: str) -> DataFra
     return wh[table].select(F.col(key).alias(code), F.col("NAME").alias(name))
 
 
-def visits_with_details(
-    wh: Warehouse,
-    departments: Sequence,
-    start: datetime,
-    end: datetime,
-    element: str,
-    stage: Stage = inline,
-) -> DataFrame:
-    """Scoped visits with names, durations, note, comment and infection lists; one row per visit."""
+def scoped_visits(
+    wh: Warehouse, departments: Sequence, start: datetime, end: datetime, stage: Stage = inline
+) -> tuple[DataFrame, DataFrame]:
+    """The cohort of encounters, and the scoped visits on its patient-days."""
     appt = wh["V_SCHED_APPT"].select(*_APPT)
     scope = in_scope(departments)
     cohort = stage(
@@ -75,7 +71,13 @@ def visits_with_details(
     )
     days = cohort.select("PAT_ID", "appt_date", "PAT_MRN_ID", "LANGUAGE_C").distinct()
     near = appt.filter(on_window_days("APPT_DTTM", start, end))
-    visits = stage("visits", expand_cohort(near, days, scope))
+    return cohort, stage("visits", expand_cohort(near, days, scope))
+
+
+def visit_details(
+    wh: Warehouse, cohort: DataFrame, visits: DataFrame, element: str
+) -> DataFrame:
+    """Visits with names, durations, note, comment and infection lists; one row per visit."""
     ids = visits.select(CSN)
     notes = enumerate_lines(
         rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
@@ -87,6 +89,7 @@ def visits_with_details(
         ).withColumnRenamed("CONTACT_SERIAL_NUM", CSN),
         [CSN], "LINE", "SMRTDTA_ELEM_VALUE", "SDE_VALUES", 1200, trailing=False, unique_lines=True,
     )
+    days = cohort.select("PAT_ID", "appt_date").distinct()
     patients = days.select("PAT_ID").distinct()
     conditions = rows_of(wh["HSP_INFECTION_PL"], patients, "PAT_ID").join(
         wh["ZC_INFECTION"].select("INFECTION_C", F.col("NAME").alias("INFECTION_NAME")),
@@ -148,11 +151,16 @@ def report(
 ) -> DataFrame:
     """Report rows: each visit with each of its events, or once without. Lists are unterminated."""
     start, end = report_window(run_date, BACK_DAYS, forward_months, start, end)
-    visits = visits_with_details(wh, departments, start, end, element, stage)
-    events = visit_events(wh, visits.select(CSN), event_types).select(
+    cohort, visits = scoped_visits(wh, departments, start, end, stage)
+    ids = visits.select(CSN)
+    detail = visit_details(wh, cohort, visits, element)
+    # Of the event details the board shows none, but an event repeats for each note line.
+    recorded = stage("events", recorded_events(wh, ids, event_types))
+    events = with_note_lines(recorded, wh["HNO_NOTE_TEXT"]).select(
         CSN, "EVENT_DISPLAY_NAME_iev", "EVENT_TIME_iev"
     )
-    rows = attach_events(visits, events).select(
+    shown = left_to_many(ids, events, CSN, having=recorded)
+    rows = shown.join(detail, CSN).select(
         F.col(CSN).alias("PAT_ENC_CSN_ID_unhashed"),
         pseudonym("enc_csn", 18).alias(CSN),
         pseudonym("PAT_MRN_ID", 10).alias("PAT_MRN_ID"),

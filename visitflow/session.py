@@ -6,8 +6,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Lists are cut to at most this many lines per group before they are shuffled (see operators.lists).
-MAX_LIST_LINES = 2000
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 SETTINGS = {
     # Re-plan joins and partition counts from the sizes seen at run time.
@@ -16,8 +15,6 @@ SETTINGS = {
     # Split a join partition that one key dominates, even when that costs another exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Let "first n rows of each group" be applied before the shuffle for every list width in use.
-    "spark.sql.optimizer.windowGroupLimitThreshold": str(MAX_LIST_LINES),
 }
 
 
@@ -27,9 +24,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cut_groups_early(spark: SparkSession, rows: int) -> None:
+    """Let Spark apply "first n rows of each group" before the shuffle for n up to `rows`."""
+    if int(spark.conf.get(_GROUP_LIMIT)) < rows:
+        spark.conf.set(_GROUP_LIMIT, str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster; a local session without one gets its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
