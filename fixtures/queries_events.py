@@ -2,8 +2,6 @@
 
 from datetime import date
 
-from pyspark.sql import functions as F
-
 from fixtures.registry import query
 from fixtures.sql import CSN, escaped, ids
 from visitflow.codes import BOARD_EVENT_TYPES

@@ -46,7 +46,11 @@ def _fail(message: Column, column: SinkColumn) -> Column:
 
 
 def _checked(df: DataFrame, contract: Contract, check: bool) -> DataFrame:
-    """Conformed rows; with a key to check they are stored once, and the key is read from there."""
+    """Conformed rows; with a key to check they are stored once, and the key is read from there.
+
+    The stored copy stays in the shared folder, named after the sink, until the cluster's own
+    retention removes it.
+    """
     rows = conform(df, contract)
     if not (check and contract.key):
         return rows
@@ -73,21 +77,15 @@ def reload(df: DataFrame, contract: Contract, path: str, check: bool = True) ->
     _checked(df, contract, check).write.mode("overwrite").parquet(path)
 
 
-def flat_file(df: DataFrame, contract: Contract, stamps: Sequence[str] = ()) -> DataFrame:
-    """All-text projection without the private columns: null as '', stamps to the second.
-
-    `stamps` names columns outside the contract's time columns that are to be written as stamps.
-    """
-    out = []
-    for column in contract.columns:
-        if column.name not in contract.private:
-            out.append(_as_text(column, column.name in stamps).alias(column.name))
-    return df.select(*out)
+def flat_file(df: DataFrame, contract: Contract) -> DataFrame:
+    """All-text projection without the private columns: null as '', stamps to the second."""
+    shown = [c for c in contract.columns if c.name not in contract.private]
+    return df.select(*[_as_text(c).alias(c.name) for c in shown])
 
 
-def _as_text(column, as_stamp: bool) -> Column:
+def _as_text(column: SinkColumn) -> Column:
     value = F.col(f"`{column.name}`")
-    if as_stamp or column.type.typeName() == "timestamp_ntz":
+    if column.type.typeName() == "timestamp_ntz":
         return stamp_text(value)
     return blank(value, column.width or 18)
 
