@@ -252,13 +252,22 @@ _PLAIN = {"DEPARTMENT_NAME": 254, "DEPT_SPECIALTY_NAME": 254, "PROV_ID": 18, "PR
           "Patient_Track": 1200, "Patient_Track_Recorded_DtTm": 1200}
 
 
-def table_rows(rows: DataFrame, site: str = "") -> DataFrame:
-    """Report rows as the sink table takes them; the plain encounter id stays in the table."""
+def table_rows(rows: DataFrame, site: str = "", first_revision: bool = False) -> DataFrame:
+    """Report rows as the sink table takes them; the plain encounter id stays in the table.
+
+    `first_revision` leaves commas, ends no list with a separator and has no provider id.
+    """
+    names = contract(site).names
     texts = {name: blank(name, width) for name, width in _PLAIN.items()}
-    texts["PROV_NAME"] = comma_safe("PROV_NAME", 200)
-    texts["ENC_REASON_NAME"] = sanitize_list("ENC_REASON_NAME", 1200, strip_last=False)
-    texts["APPT_NOTES"] = comma_safe(F.concat("APPT_NOTES", F.lit("|")), 1200)
-    return rows.withColumns(texts).select(*[f"`{c}`" for c in contract(site).names])
+    if first_revision:
+        names.remove("PROV_ID")
+        texts |= {"PROV_NAME": blank("PROV_NAME", 200)}
+        texts |= {name: blank(name, 1200) for name in ("ENC_REASON_NAME", "APPT_NOTES")}
+    else:
+        texts["PROV_NAME"] = comma_safe("PROV_NAME", 200)
+        texts["ENC_REASON_NAME"] = sanitize_list("ENC_REASON_NAME", 1200, strip_last=False)
+        texts["APPT_NOTES"] = comma_safe(F.concat("APPT_NOTES", F.lit("|")), 1200)
+    return rows.withColumns(texts).select(*[f"`{c}`" for c in names])
 
 
 def flat_rows(rows: DataFrame, site: str = "") -> DataFrame:
