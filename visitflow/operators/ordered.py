@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows one group may have before it is sliced, and the size of the slice table: at most
-# MAX_GROUPS * MAX_SLICES boundary rows, whatever the input size.
+# Rows one group may have before it is sliced, and the bounds of the slice tables: large groups,
+# slices of one group, and slices in all, whatever the input size.
 MAX_ROWS = 2_000_000
 MAX_GROUPS = 500
-MAX_SLICES = 256
+MAX_GROUP_SLICES = 4_000
+MAX_SLICES = 50_000
 
 _SLICE, _HASH, _BOUNDS, _PART = "_slice", "_group_hash", "_bounds", "_part"
 
@@ -77,41 +78,34 @@ def find_large_groups(
     keys: Sequence[str],
     order: Sequence[str],
     max_rows: int = MAX_ROWS,
-    max_groups: int = MAX_GROUPS,
-    max_slices: int = MAX_SLICES,
 ) -> LargeGroups | None:
     """Slice boundaries of the largest groups, or None when every group is of ordinary size.
 
     Sizes come from a frequent-items sketch over the key hash. A group missed by the sketch, or
-    beyond the `max_groups` largest, holds a small share of the rows and takes the ordinary path.
-    Boundaries are rows of the group picked by hash, so ties in time are split as well.
+    beyond the `MAX_GROUPS` largest, holds a small share of the rows and takes the ordinary path.
+    Boundaries are rows drawn by hash at one per slice length, so ties in time are split as well.
     """
     spark = df.sparkSession
-    tracked = 64 * max_groups
     hashed = df.select(F.xxhash64(*keys).alias(_HASH), F.struct(*order).alias("_at"))
-    sketch = hashed.agg(F.expr(f"approx_top_k({_HASH}, {max_groups}, {tracked})")).first()
-    slices = {}
-    for item in sketch[0] or []:
-        if item["count"] > max_rows:
-            slices[item["item"]] = min(max_slices, item["count"] // max_rows + 1)
-    if not slices:
+    sketch = hashed.agg(F.expr(f"approx_top_k({_HASH}, {MAX_GROUPS}, {64 * MAX_GROUPS})")).first()
+    sizes = {i["item"]: i["count"] for i in sketch[0] or [] if i["count"] > max_rows}
+    if not sizes:
         return None
-    draw = Window.partitionBy(_HASH).orderBy(F.xxhash64("_at"), "_at")
-    picks = (
-        hashed.filter(F.col(_HASH).isin(*slices))
-        .withColumn("_draw", F.row_number().over(draw))
-        .filter(F.col("_draw") < max_slices)
-        .collect()
-    )
+    total, biggest = sum(sizes.values()), max(sizes.values())
+    length = max(max_rows, total // MAX_SLICES, biggest // MAX_GROUP_SLICES)
+    drawn = F.pmod(F.xxhash64("_at"), F.lit(length)) == 0
+    wanted = hashed.filter(F.col(_HASH).isin(*sizes) & drawn)
+    picks = wanted.limit(2 * MAX_SLICES).collect()  # about half as many are expected
     bounds = {}
     for row in picks:
-        if row["_draw"] < slices[row[_HASH]]:
-            bounds.setdefault(row[_HASH], []).append(row["_at"])
+        bounds.setdefault(row[_HASH], []).append(row["_at"])
+    if not bounds:
+        return None
     at_type = hashed.schema["_at"].dataType
     schema = T.StructType(
         [T.StructField(_HASH, T.LongType()), T.StructField(_BOUNDS, T.ArrayType(at_type))]
     )
-    table = spark.createDataFrame(sorted(bounds.items(), key=lambda kv: kv[0]), schema)
+    table = spark.createDataFrame(list(bounds.items()), schema)
     return LargeGroups(
         table.withColumn(_BOUNDS, F.array_sort(_BOUNDS)), max(map(len, bounds.values()))
     )
