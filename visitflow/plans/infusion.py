@@ -37,6 +37,7 @@ from visitflow.sources.staging import Stage, inline
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS, FORWARD_MONTHS = 1, 2
+FLAT_ORDER = ("PAT_MRN_ID", "Appointment Time")
 CSN = "PAT_ENC_CSN_ID"
 STAGE_KEYS = {
     "cohort": ("PAT_ID", "appt_date"),
@@ -246,4 +247,4 @@ def flat_rows(rows: DataFrame, site: str = "") -> DataFrame:
             "Appointment ID": blank("`Appointment ID`", 18),
         }
     )
-    return flat_file(quoted, contract(site))
+    return flat_file(quoted, contract(site), {"Unit Name": 255})

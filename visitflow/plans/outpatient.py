@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from visitflow import codes
 from visitflow.functions.labels import canonical_code, face_to_face, link_flag
 from visitflow.functions.stamps import report_window, round_to_minute
-from visitflow.functions.text import blank, clip, comma_safe, non_empty, pseudonym, sanitize_list
+from visitflow.functions.text import blank, comma_safe, non_empty, pseudonym, sanitize_list
 from visitflow.operators.cohort import (
     expand_cohort,
     in_scope,
@@ -31,6 +31,7 @@ from visitflow.sources.staging import Stage, inline
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS, FORWARD_MONTHS = 3, 6
+FLAT_ORDER = ("DEPARTMENT_NAME", "APPT_DTTM")
 CSN = "PAT_ENC_CSN_ID"
 STAGE_KEYS = {"cohort": ("PAT_ID", "appt_date"), "visits": (CSN,)}
 LINK_PART, LINK_ORDER = ("PAT_ID", "appt_date"), ("APPT_DTTM", CSN)
@@ -272,8 +273,7 @@ def table_rows(rows: DataFrame, site: str = "", first_revision: bool = False) ->
 
 def flat_rows(rows: DataFrame, site: str = "") -> DataFrame:
     """Report rows as all text for the flat file, without the plain encounter id."""
-    texts = {name: blank(name, width) for name, width in _PLAIN.items()}
-    texts["PROV_ID"] = blank("PROV_ID", 200)
-    texts["ENC_REASON_NAME"] = sanitize_list("ENC_REASON_NAME", 1200, strip_last=False)
-    texts["APPT_NOTES"] = blank(clip("APPT_NOTES", 254), 254)
-    return flat_file(rows.withColumns(texts), contract(site))
+    reasons = sanitize_list("ENC_REASON_NAME", 1200, strip_last=False)
+    return flat_file(
+        rows.withColumn("ENC_REASON_NAME", reasons), contract(site), {"PROV_ID": 200, "APPT_NOTES": 254}
+    )

@@ -31,6 +31,7 @@ from visitflow.sources.staging import Stage, inline
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS = 3
+FLAT_ORDER = ("DEPARTMENT_NAME", "APPT_DTTM", "PAT_MRN_ID", "PAT_ENC_CSN_ID", "EVENT_DTTM")
 CSN = "PAT_ENC_CSN_ID"
 STAGE_KEYS = {"cohort": ("PAT_ID", CSN, "appt_date"), "visits": (CSN,)}
 ROOM_STAMPS = ("ARVL_LIST_REMOVE_DTTM", "ROOMED_DTTM", "FIRST_ROOM_ASSIGN_DTTM")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,17 +77,25 @@ def reload(df: DataFrame, contract: Contract, path: str, check: bool = True) ->
     _checked(df, contract, check).write.mode("overwrite").parquet(path)
 
 
-def flat_file(df: DataFrame, contract: Contract) -> DataFrame:
-    """All-text projection without the private columns: null as '', stamps to the second."""
-    shown = [c for c in contract.columns if c.name not in contract.private]
-    return df.select(*[_as_text(c).alias(c.name) for c in shown])
+def flat_file(
+    df: DataFrame, contract: Contract, widths: Mapping[str, int] | None = None
+) -> DataFrame:
+    """All-text projection without the private columns: null as '', stamps to the second.
 
-
-def _as_text(column: SinkColumn) -> Column:
-    value = F.col(f"`{column.name}`")
-    if column.type.typeName() == "timestamp_ntz":
-        return stamp_text(value)
-    return blank(value, column.width or 18)
+    `widths` are the text widths that differ from the sink table's.
+    """
+    widths = widths or {}
+    out = []
+    for column in contract.columns:
+        value = F.col(f"`{column.name}`")
+        if column.name in contract.private:
+            continue
+        if column.type.typeName() == "timestamp_ntz":
+            text = stamp_text(value)
+        else:
+            text = blank(value, widths.get(column.name, column.width or 18))
+        out.append(text.alias(column.name))
+    return df.select(*out)
 
 
 def write_flat_file(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
