@@ -5,16 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from visitflow.llm import ngram_join, shared
+from visitflow.llm import ngram_join, shared, substring_dedup
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(shared.documents(spark, sf_dir), width=3, percent=90)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.documents(spark, sf_dir).select("doc_id", "text")
+    return substring_dedup.without_repeats(docs, size=50, joined=True).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op6_substring_dedup": op6_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
