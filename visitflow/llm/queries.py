@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import ngram_join, shared, substring_dedup
+from visitflow.llm import ngram_join, packing, shared, substring_dedup
+from visitflow.llm.vocabularies import word_bpe
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +22,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(shared.documents(spark, sf_dir), word_bpe(), capacity=4096, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_packing": op8_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
