@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import ngram_join, packing, shared, substring_dedup
+from visitflow.llm import id_files, ngram_join, packing, shared, substring_dedup
 from visitflow.llm.vocabularies import word_bpe
 
 
@@ -15,6 +16,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(shared.documents(spark, sf_dir), width=3, percent=90)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.documents(spark, sf_dir)
+    folder = f"{shared.folder(spark)}/corpus-{uuid.uuid4().hex}"
+    id_files.write(docs, word_bpe(), folder, end_id=2)
+    return id_files.read(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.documents(spark, sf_dir).select("doc_id", "text")
     return substring_dedup.without_repeats(docs, size=50, joined=True).select(
@@ -28,6 +36,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_packing": op8_packing,
 }
