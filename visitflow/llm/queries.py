@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import id_files, ngram_join, packing, shared, substring_dedup
-from visitflow.llm.vocabularies import word_bpe
+from visitflow.llm import byte_bpe, id_files, ngram_join, packing, shared, substring_dedup
+from visitflow.llm.vocabularies import multi_bpe, split_pattern, word_bpe
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +34,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(shared.documents(spark, sf_dir), word_bpe(), capacity=4096, end_id=2)
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = byte_bpe.round_trip(shared.documents(spark, sf_dir), multi_bpe(), split_pattern())
+    return both.select(
+        "doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_packing": op8_packing,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
