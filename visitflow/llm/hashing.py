@@ -110,6 +110,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _known[0][:n], _known[1][:n]
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges that follow one another, so many at a time that they span about WINDOW bytes."""
+    out, lo = [], 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + WINDOW, "right")))
+        base, top = int(starts[lo]), int(ends[hi - 1])
+        powers, inverses = _powers(top - base)
+        values = _PLAIN[raw[base:top]] * powers
+        sums = np.cumsum(values)
+        s, e = starts[lo:hi] - base, ends[lo:hi] - base
+        out.append(mix((sums[e - 1] - sums[s] + values[s]) * inverses[s] + (e - s).astype(np.uint64) * _B))
+        lo = hi
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def runs(hashes: np.ndarray, width: int) -> np.ndarray:
     """One hash for each run of `width` neighbouring values."""
     n = len(hashes) - width + 1

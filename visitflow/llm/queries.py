@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import byte_bpe, id_files, ngram_join, packing, shared, substring_dedup
+from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, shared, substring_dedup
 from visitflow.llm.vocabularies import multi_bpe, split_pattern, word_bpe
 
 
@@ -41,12 +41,17 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared_with_edits(shared.documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_packing": op8_packing,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {}

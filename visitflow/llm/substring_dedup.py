@@ -56,8 +56,9 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
         ),
         "mers",
     )
+    # stored, so that both sides of the joins below are plain shuffles, which adaptive execution can split
     met = mers.groupBy("mini").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).where("lo < hi")
-    alike = shared.stored(mers.join(met.select("mini"), "mini"), "alike")
+    alike = shared.stored(mers.join(shared.stored(met.select("mini"), "met"), "mini"), "alike")
     packed = ["mini", "k1", "k2"]
     firsts = shared.stored(
         alike.groupBy(*packed).agg(F.min(F.struct("rank", "twin", "at", "n")).alias("first")), "firsts"
@@ -67,7 +68,7 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
         .select("rank", "twin", "at", "n")
     )
     variants = firsts.groupBy("mini").agg(F.count("*").alias("variants")).where("variants > 1")
-    unlike = firsts.join(variants, "mini").select(
+    unlike = firsts.join(shared.stored(variants, "variants"), "mini").select(
         "first.rank", "first.twin", F.struct("first.at", "first.n", "mini", (F.col("variants") > BUCKET).alias("own")).alias("mer")
     )
     of_text = unlike.groupBy("rank", "twin").agg(F.collect_list("mer").alias("mers"))
