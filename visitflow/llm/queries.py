@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, shared, substring_dedup
+from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, rule_ensemble, shared, substring_dedup
 from visitflow.llm.vocabularies import multi_bpe, split_pattern, word_bpe
 
 
@@ -30,6 +30,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    scores = rule_ensemble.scored(shared.documents(spark, sf_dir), shared.table(spark, sf_dir, "labels"), ~held_out)
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(shared.documents(spark, sf_dir), word_bpe(), capacity=4096, end_id=2)
 
@@ -49,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_packing": op8_packing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_fingerprints": op10_fingerprints,
