@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, rule_ensemble, shared, substring_dedup
+from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, quality_rules, rule_ensemble, shared, sharding, substring_dedup
 from visitflow.llm.vocabularies import multi_bpe, split_pattern, word_bpe
 
 
@@ -16,6 +16,20 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(shared.documents(spark, sf_dir), width=3, percent=90)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = shared.documents(spark, sf_dir), shared.table(spark, sf_dir, "labels")
+    return quality_rules.judged(docs, labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.document_shards(shared.documents(spark, sf_dir), shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.documents(spark, sf_dir)
     folder = f"{shared.folder(spark)}/corpus-{uuid.uuid4().hex}"
@@ -55,6 +69,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_quality_rules": op2_quality_rules,
+    "op4_sharding": op4_sharding,
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_classifier": op7_quality_classifier,
@@ -63,4 +79,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_sharding": sharding.ORACLE_SQL}
