@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, quality_rules, rule_ensemble, shared, sharding, substring_dedup
+from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, quality_rules, rule_ensemble, secret_scan, shared, sharding, substring_dedup
 from visitflow.llm.vocabularies import multi_bpe, split_pattern, word_bpe
 
 
@@ -23,6 +23,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(shared.documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "word_index", "part", F.sha2("candidate", 256).alias("candidate_sha256"), "label", "score", "is_secret"
+    )
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(shared.documents(spark, sf_dir), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -70,6 +77,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
+    "op3_secret_scan": op3_secret_scan,
     "op4_sharding": op4_sharding,
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
