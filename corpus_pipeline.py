@@ -1,28 +1,77 @@
-"""A pipeline over the documents table; each stage's rows are written as Parquet and read by the next."""
+"""A pipeline over the documents table; each stage's rows are written as Parquet and read by the next.
+
+Stages take (spark, docs, sf_dir). All but the last return the columns of documents. Rows without doc_id
+are kept by every stage that filters by group; rows that repeat a doc_id are one document, of which the near-duplicate
+stage keeps one.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitflow.llm import ngram_join, shared
+from visitflow.llm import ngram_join, packing, rule_ensemble, secret_scan, shared, substring_dedup
+from visitflow.llm.queries import held_out
+from visitflow.llm.vocabularies import word_bpe
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble accepts; it learns from the labels that are not held out."""
+    return rule_ensemble.accepted(docs, shared.table(spark, sf_dir, "labels"), ~held_out())
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest doc_id, of each group alike in 5-word shingles by 0.8."""
     shared.ready(spark)
     groups = ngram_join.similar_groups(docs, width=5, percent=80)
-    lead = groups.where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(lead, "doc_id", "left_semi").select(docs.columns)
+    others = shared.stored(
+        groups.where("component_id < doc_id").select(F.col("doc_id").alias("_other")).distinct(), "others"
+    )
+    left = docs.join(others, F.col("doc_id") == F.col("_other"), "left_anti")
+    each = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())  # rows without id are not repeats
+    first = F.row_number().over(Window.partitionBy("doc_id", each).orderBy(F.xxhash64("text")))
+    return left.withColumn("_row", first).where("_row = 1").select(docs.columns)
+
+
+def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words that an earlier one has; those left without words go."""
+    shared.ready(spark)
+    kept = substring_dedup.without_repeats(docs, size=50)
+    changed = F.col("n_removed") > 0
+    return kept.where("n_removed = 0 OR n_removed < n_words").select(
+        *[
+            F.when(changed, F.col("kept")).otherwise(F.col("row.text")).alias(c) if c == "text"
+            else F.when(changed, F.char_length("kept").cast("long")).otherwise(F.col("row.n_chars")).alias(c) if c == "n_chars"
+            else F.col(f"row.`{c}`")
+            for c in docs.columns
+        ]
+    )
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with each secret that the forest confirms masked; all documents stay."""
+    shared.ready(spark)
+    found = shared.stored(secret_scan.scan(docs).where("is_secret"), "secrets")
+    return secret_scan.masked(docs, found)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 tokens."""
+    shared.ready(spark)
+    return packing.packed(docs, word_bpe(), capacity=4096, end_id=2)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", good_documents),
     ("n-gram Jaccard join", distinct_documents),
+    ("substring dedup", fresh_passages),
+    ("secret scans", without_secrets),
+    ("packing", packed_sequences),
 ]
 
-#: Its training and byte-level steps have no SQL form; tests compare it with a brute-force version.
+#: Its trained and tokenizing stages have no SQL form; tests/llm compares it with a brute-force version.
 ORACLE_SQL = None
 
 
@@ -31,7 +80,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = shared.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
-
-
-def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir)

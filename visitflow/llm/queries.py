@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, quality_rules, rule_ensemble, secret_scan, shared, sharding, substring_dedup
@@ -51,11 +51,15 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Rows whose labels no fit may use."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
-    scores = rule_ensemble.scored(shared.documents(spark, sf_dir), shared.table(spark, sf_dir, "labels"), ~held_out)
+    scores = rule_ensemble.scored(shared.documents(spark, sf_dir), shared.table(spark, sf_dir, "labels"), ~held_out())
     return scores.select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 

@@ -86,10 +86,36 @@ Rule = tuple[tuple[str, bool, float], ...]  # (measure, whether it must be great
 
 
 def scored(docs: DataFrame, labels: DataFrame, usable: Column, target: str = "quality") -> DataFrame:
-    """Rows (doc_id, score, measures) of all docs; the fit uses labels of rows for which `usable` holds."""
+    """Rows (doc_id, measures, score) of all docs; the fit uses labels of rows for which `usable` holds."""
+    measured = _measured(docs)
+    return measured.withColumn("score", _fit(measured, labels, usable, target))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, usable: Column, target: str = "quality") -> DataFrame:
+    """The rows of docs, as they are, whose score is 0.5 or more. Texts are measured as they pass, not joined."""
+    score = _fit(_measured(docs), labels, usable, target)
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+    )
+    schema = "doc_id long, " + ", ".join(f"{m} double" for m in MEASURES) + f", row {docs.schema.simpleString()}"
+    return whole.mapInArrow(_carrying, schema).where(score >= 0.5).select("row.*")
+
+
+def _measured(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, " + ", ".join(f"{m} double" for m in MEASURES)
-    measured = shared.stored(texts.mapInArrow(measures, schema), "measures")
+    return shared.stored(texts.mapInArrow(measures, schema), "measures")
+
+
+def _carrying(batches):
+    for batch in batches:
+        done = 0
+        for found in measures([batch]):
+            yield found.append_column("row", batch.column("row").slice(done, found.num_rows))
+            done += found.num_rows
+
+
+def _fit(measured: DataFrame, labels: DataFrame, usable: Column, target: str) -> Column:
     known = labels.where(F.col(target).isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("_label")
     )
@@ -98,7 +124,7 @@ def scored(docs: DataFrame, labels: DataFrame, usable: Column, target: str = "qu
         .select("_label", *MEASURES).collect()
     )
     table = np.array([tuple(r) for r in rows], np.float64).reshape(len(rows), 1 + len(MEASURES))
-    return measured.withColumn("score", expression(*fitted(table[:, 1:], table[:, 0] > 0)))
+    return expression(*fitted(table[:, 1:], table[:, 0] > 0))
 
 
 def fitted(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty: float = 2e-4):

@@ -179,4 +179,8 @@ def masked(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
     clean = F.aggregate("_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
     joined = docs.join(secrets, F.col("doc_id") == F.col("_secret_doc"), "left")
-    return joined.withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)).select(docs.columns)
+    has = F.col("_secrets").isNotNull()
+    out = joined.withColumn("text", F.when(has, clean).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(has, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
