@@ -31,7 +31,7 @@ from visitflow.llm import shared
 from visitflow.llm.hashing import Words, bytes_of, runs, text_groups
 
 MINIMISER_WORDS = 8
-BUCKET = 256
+BUCKET = 8192
 #: Super-k-mers that a task ranks together; whole buckets of up to BUCKET are added at a time.
 TOGETHER = 2000
 _LAST = (1 << 63) - 1
