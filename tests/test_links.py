@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from visitflow.operators.linking import link_next, link_previous
 from visitflow.operators.ordered import (
-    find_large_groups,
     first_after,
     following,
     last_before,
@@ -37,15 +36,15 @@ def one_day(spark, statuses, deps=None):
     )
 
 
-def linked_previous(df, large=None):
-    out = link_previous(df, ["pat"], ["t", "csn"], "status", {"link": F.col("csn")}, large=large)
+def linked_previous(df):
+    out = link_previous(df, ["pat"], ["t", "csn"], "status", {"link": F.col("csn")})
     return {r.csn: r.link for r in out.orderBy("csn").collect()}
 
 
-def linked_next(df, large=None, target=(9,)):
+def linked_next(df, target=(9,)):
     out = link_next(
         df, ["pat"], ["t", "csn"], "status", "dep", target, ~F.col("dep").isin(*target),
-        {"link": F.col("csn")}, large=large,
+        {"link": F.col("csn")},
     )
     return {r.csn: r.link for r in out.orderBy("csn").collect()}
 
@@ -129,18 +128,26 @@ def brute_next(rows, target=(9,)):
     return links
 
 
+@pytest.fixture
+def ranges(spark):
+    """Sets the number of ranges that rows are dealt into."""
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    yield lambda n: spark.conf.set(name, n)
+    spark.conf.set(name, usual)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("max_rows", [10_000, 60, 15])
-def test_slicing_never_changes_links(spark, seed, max_rows):
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_ranges_never_change_links(spark, ranges, seed, parts):
+    ranges(parts)
     rows = random_rows(seed)
     df = visits(spark, rows)
-    large = find_large_groups(df, ["pat"], ["t", "csn"], max_rows=max_rows)
-    assert (large is None) == (max_rows > len(rows))
-    assert linked_previous(df, large) == brute_previous(rows)
-    assert linked_next(df, large) == brute_next(rows)
+    assert linked_previous(df) == brute_previous(rows)
+    assert linked_next(df) == brute_next(rows)
 
 
-def test_every_neighbour_kind_agrees(spark):
+def test_every_neighbour_kind_agrees(spark, ranges):
     df = visits(spark, random_rows(3))
     wanted = {
         "a": previous(F.col("status")),
@@ -150,23 +157,25 @@ def test_every_neighbour_kind_agrees(spark):
         "e": position(),
         "f": position_from_end(),
     }
-    large = find_large_groups(df, ["pat"], ["t", "csn"], max_rows=50)
-    plain = with_neighbours(df, ["pat"], ["t", "csn"], wanted, None)
-    sliced = with_neighbours(df, ["pat"], ["t", "csn"], wanted, large)
-    assert sliced.columns == plain.columns
-    assert sorted(map(str, plain.collect())) == sorted(map(str, sliced.collect()))
+    found = []
+    for parts in (1, 30):
+        ranges(parts)
+        found.append(with_neighbours(df, ["pat"], ["t", "csn"], wanted))
+    assert found[0].columns == found[1].columns
+    assert sorted(map(str, found[0].collect())) == sorted(map(str, found[1].collect()))
 
 
-def test_large_group_is_split_over_many_windows(spark):
+def test_one_group_is_spread_over_many_windows(spark, ranges):
+    """One patient-day holds all rows, and still no window sees more than a few ranges' share."""
+    ranges(10)
     df = visits(spark, [(0, START, csn, 2, 1) for csn in range(3000)])
-    large = find_large_groups(df, ["pat"], ["t", "csn"], max_rows=300)
-    (bounds,) = [r["_bounds"] for r in large.bounds.collect()]
-    assert large.longest == len(bounds)
-    edges = [-1, *sorted(b["csn"] for b in bounds), 3000]
-    sizes = [b - a for a, b in zip(edges, edges[1:], strict=False)]
-    assert len(bounds) >= 5 and max(sizes) < 2000
+    n = F.count(F.lit(1)).alias("n")
+    dealt = df.repartitionByRange(10, "pat", "t", "csn").groupBy(F.spark_partition_id()).agg(n)
+    sizes = [r.n for r in dealt.collect()]
+    assert len(sizes) >= 8 and max(sizes) < 900
+    numbered = with_neighbours(df, ["pat"], ["t", "csn"], {"n": position()})
+    assert sorted((r.csn, r.n) for r in numbered.collect()) == [(k, k + 1) for k in range(3000)]
 
 
 def test_empty_input(spark):
-    assert linked_previous(visits(spark, []), "detect") == {}
-    assert find_large_groups(visits(spark, []), ["pat"], ["t", "csn"]) is None
+    assert linked_previous(visits(spark, [])) == {}

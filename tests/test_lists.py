@@ -9,7 +9,6 @@ from visitflow.operators.lists import (
     attach_lines,
     enumerate_distinct,
     enumerate_lines,
-    first_lines,
     measure_history,
 )
 
@@ -18,7 +17,7 @@ def lines(spark, rows):
     return spark.createDataFrame(rows, "id long, line int, text string")
 
 
-def folded(df, width=1200, **options):
+def folded(df, width=None, **options):
     out = enumerate_lines(df, ["id"], "line", "text", "items", width, **options)
     return {r.id: r["items"] for r in out.collect()}
 
@@ -56,9 +55,9 @@ def test_parent_without_lines(spark):
 
 @pytest.mark.parametrize("unique", [True, False])
 @pytest.mark.parametrize("trailing", [True, False])
-@pytest.mark.parametrize("width", [1, 2, 7, 50, 1200])
+@pytest.mark.parametrize("width", [1, 2, 7, 50, 1200, None])
 def test_clipped_list_equals_clip_of_whole_list(spark, width, trailing, unique):
-    rng = random.Random(width)
+    rng = random.Random(width or 0)
     rows, whole = [], {}
     for group in range(6):
         texts = [rng.choice([None, "", "a", "b  ", "<x&", "long " * 9]) for _ in range(60)]
@@ -72,26 +71,36 @@ def test_clipped_list_equals_clip_of_whole_list(spark, width, trailing, unique):
     assert got == {g: text[:width] for g, text in whole.items()}
 
 
-def test_lines_are_cut_before_the_shuffle(spark):
-    """One parent with a third of all lines sends only what its text needs through the shuffle."""
+def test_long_list_is_whole_and_folded_by_slices(spark):
+    """One parent with a third of all lines: the first level groups by slice, the text is whole."""
     df = spark.range(0, 60_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id"),
         F.col("id").alias("line"),
-        F.lit("x").alias("text"),
+        F.col("id").cast("string").alias("text"),
     )
-    out = enumerate_lines(df, ["id"], "line", "text", "items", 1200, unique_lines=True)
+    out = enumerate_lines(df, ["id"], "line", "text", "items", unique_lines=True)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    limit, exchange = plan.index("Partial"), plan.index("Exchange")
-    assert "WindowGroupLimit" in plan and limit > exchange  # the scan is at the bottom
-    assert folded(df.filter("id = 0"), unique_lines=True) == {0: "x|" * 600}
-    assert first_lines(df, ["id"], ["line"], 1201).filter("id = 0").count() == 1201
+    assert plan.count("Exchange hashpartitioning") == 2 and "_slice" in plan
+    assert folded(df.filter("id = 0"), unique_lines=True) == {
+        0: "".join(f"{k}|" for k in range(0, 60_000, 3))
+    }
+
+
+def test_lists_leave_session_settings_alone(spark):
+    before = dict(spark.sparkContext.getConf().getAll()) | {
+        r.key: r.value for r in spark.sql("SET").collect()
+    }
+    folded(lines(spark, [(1, 1, "a")]), 2000)
+    assert before == dict(spark.sparkContext.getConf().getAll()) | {
+        r.key: r.value for r in spark.sql("SET").collect()
+    }
 
 
 def test_distinct_list(spark):
     df = spark.createDataFrame(
         [(1, 7, "b"), (1, 7, "b"), (1, 3, "z"), (1, None, None)], "id int, plan int, name string"
     )
-    out = enumerate_distinct(df, ["id"], ["plan"], "name", "items", 1200)
+    out = enumerate_distinct(df, ["id"], ["plan"], "name", "items")
     assert out.first()["items"] == "|z|b|"
 
 
@@ -107,7 +116,7 @@ def test_parallel_lists(spark):
         "id int, m string, t string, v string",
     ).withColumn("t", F.col("t").cast("timestamp_ntz"))
     names = {"room": ("rooms", "room_times"), "track": ("tracks", "track_times")}
-    out = measure_history(df, ["id"], "t", "v", "m", names, 1200)
+    out = measure_history(df, ["id"], "t", "v", "m", names)
     got = {r.id: r.asDict() for r in out.collect()}
     # The greatest of several values at one time counts; a missing one competes as NA.
     assert got[1]["rooms"] == "NA|R1"

@@ -10,7 +10,6 @@ from fixtures import registry
 from fixtures.queries_extracts import board_report, infusion_report, outpatient_report
 from fixtures.views import VIEWS, TestWarehouse
 from visitflow.operators.checks import duplicate_keys
-from visitflow.operators.ordered import find_large_groups
 from visitflow.plans import infusion, outpatient, reviews, status_board
 from visitflow.sources import contracts
 from visitflow.sources.load import conform
@@ -109,25 +108,23 @@ def test_site_prefix_reaches_headings(wh):
     assert "T XYZ AMB PATIENT UNDERSTANDING AVS" in infusion.table_rows(report, "XYZ").columns
 
 
-def test_busy_patient_day_leaves_extracts_unchanged(spark, wh, monkeypatch):
-    """A third of all visits on one patient: cutting those days must not show in any row."""
+def test_busy_patient_day_leaves_extracts_unchanged(spark, wh):
+    """A third of all visits on one patient: how its days are dealt must not show in any row."""
     appt = wh["V_SCHED_APPT"]
     busy = F.when(F.col(CSN) % 3 == 0, "Z1").otherwise(F.col("PAT_ID"))
     frames = {name: wh[name] for name in VIEWS}
     frames["V_SCHED_APPT"] = appt.withColumn("PAT_ID", busy)
     skewed = Warehouse(spark, frames=frames)
-    plain = rows(infusion_report(skewed)), rows(outpatient_report(skewed, keep_target=True))
-    found = []
-
-    def cut(*args):
-        found.append(find_large_groups(*args, max_rows=20))
-        return found[-1]
-
-    monkeypatch.setattr(infusion, "find_large_groups", cut)
-    monkeypatch.setattr(outpatient, "find_large_groups", cut)
-    assert rows(infusion_report(skewed)) == plain[0]
-    assert rows(outpatient_report(skewed, keep_target=True)) == plain[1]
-    assert all(large is not None and large.longest > 1 for large in found)
+    name, found = "spark.sql.shuffle.partitions", []
+    usual = spark.conf.get(name)
+    try:
+        for parts in (1, 16):
+            spark.conf.set(name, parts)
+            later = outpatient_report(skewed, keep_target=True)
+            found.append((rows(infusion_report(skewed)), rows(later)))
+    finally:
+        spark.conf.set(name, usual)
+    assert found[0] == found[1]
 
 
 @pytest.fixture(scope="module")

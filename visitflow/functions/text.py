@@ -37,15 +37,15 @@ def sanitize_list(c, width: int, strip_last: bool = True) -> Column:
     return comma_safe(clip(text, width), width)
 
 
-def quote_list(c, width: int, trim: bool = True) -> Column:
-    """Text in quotes, clipped; null becomes |. A list cut to its width needs no trimming."""
-    text = F.rtrim(_col(c)) if trim else _col(c)
-    return F.coalesce(clip(F.concat(F.lit('"'), text, F.lit('"')), width), F.lit("|"))
+def quote_list(c, width: int) -> Column:
+    """Text in quotes, without trailing blanks, clipped; null becomes |."""
+    text = F.concat(F.lit('"'), F.rtrim(_col(c)), F.lit('"'))
+    return F.coalesce(clip(text, width), F.lit("|"))
 
 
-def clip_list(c, width: int, trim: bool = True) -> Column:
-    text = F.rtrim(_col(c)) if trim else _col(c)
-    return F.coalesce(clip(text, width), F.lit("|"))
+def clip_list(c, width: int) -> Column:
+    """Text without trailing blanks, clipped; null becomes |."""
+    return F.coalesce(clip(F.rtrim(_col(c)), width), F.lit("|"))
 
 
 def escape_markup(c) -> Column:

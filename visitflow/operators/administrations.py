@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow import codes
 from visitflow.functions.labels import administration_status, user_label
 from visitflow.functions.stamps import stamp_text
-from visitflow.functions.text import clip, escape_markup
+from visitflow.functions.text import escape_markup
 from visitflow.operators.cohort import in_window
 
 # Display lookups of an administration: table -> (its key, administration column, output name)
@@ -157,17 +157,13 @@ def order_intervals(
     )
 
 
-def infusion_intervals(
-    orders: DataFrame,
-    encounter: str = "MAR_ENC_CSN",
-    plan_chars: int = 1200,
-    provider_chars: int = 1200,
-) -> DataFrame:
+def infusion_intervals(orders: DataFrame, encounter: str = "MAR_ENC_CSN") -> DataFrame:
     """Per encounter with a complete interval: span, plan count, and plan and provider lists.
 
     `orders` are order intervals with their treatment plan. The lists name each plan once and
     cover every order of the encounter; span and count use only orders with both points. Orders
-    are first reduced to one row per plan, then everything comes from a single grouping.
+    are first reduced to one row per plan, and everything comes from a second grouping, whose sets
+    combine before the shuffle.
     """
     complete = F.col("next_time").isNotNull()
     per_plan = orders.groupBy(
@@ -177,34 +173,27 @@ def infusion_intervals(
         F.max("next_time").alias("next_time"),
     )
 
-    def place(name: str) -> Column:
-        window = Window.partitionBy(encounter).orderBy("TREATMENT_PLAN_ID", name)
-        return F.dense_rank().over(window)
-
-    ranked = per_plan.withColumn("_plan_no", place("PLAN_NAME")).withColumn(
-        "_provider_no", place("PLAN_PROV_NAME")
-    )
+    plan = F.col("TREATMENT_PLAN_ID")
     interval = F.col("next_time").isNotNull()
     return (
-        ranked.groupBy(encounter)
+        per_plan.groupBy(encounter)
         .agg(
             F.min("first_time").alias("start_time"),
             F.max("next_time").alias("stop_time"),
-            F.count_distinct(F.when(interval, F.col("TREATMENT_PLAN_ID"))).alias("plan_count"),
-            _distinct_list("_plan_no", "PLAN_NAME", plan_chars, False).alias("plan_names"),
-            _distinct_list("_provider_no", "PLAN_PROV_NAME", provider_chars, True).alias(
-                "plan_providers"
-            ),
+            F.size(F.collect_set(F.when(interval, plan))).cast("long").alias("plan_count"),
+            _distinct_list(plan, "PLAN_NAME", False).alias("plan_names"),
+            _distinct_list(plan, "PLAN_PROV_NAME", True).alias("plan_providers"),
         )
         .filter(F.col("stop_time").isNotNull())
     )
 
 
-def _distinct_list(place: str, value: str, width: int, escape: bool) -> Column:
-    """Aggregate: one item per place, in order; each item adds at least its separator."""
-    item = clip(F.coalesce(value, F.lit("")), width)
-    if escape:
-        item = escape_markup(item)
-    shown = F.when(F.col(place) <= width, F.struct(F.col(place).alias("o"), item.alias("item")))
-    items = F.array_sort(F.collect_set(shown))
-    return clip(F.array_join(F.transform(items, lambda i: F.concat(i["item"], F.lit("|"))), ""), width)
+def _distinct_list(plan: Column, value: str, escape: bool) -> Column:
+    """Aggregate: each distinct (plan, value) once, in order, null first, each ended by |."""
+    pairs = F.array_sort(F.collect_set(F.struct(plan.alias("plan"), F.col(value).alias("value"))))
+
+    def item(pair: Column) -> Column:
+        text = F.coalesce(pair.getField("value"), F.lit(""))
+        return F.concat(escape_markup(text) if escape else text, F.lit("|"))
+
+    return F.array_join(F.transform(pairs, item), "")

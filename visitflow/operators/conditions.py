@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from visitflow.functions.text import non_empty
 from visitflow.operators.cohort import left_to_many
-from visitflow.operators.lists import GROUP, enumerate_lines, first_lines
+from visitflow.operators.lists import enumerate_lines
 
 
 def unresolved(conditions: DataFrame) -> DataFrame:
@@ -38,19 +38,14 @@ def active_condition_list(
     conditions: DataFrame,
     value: str,
     name: str,
-    max_chars: int,
+    width: int | None = None,
     patient: str = "PAT_ID",
     day: str = "appt_date",
 ) -> DataFrame:
-    """Active conditions of each visit day as one text, in line order.
-
-    A day's text needs only the first lines added on each earlier day, so the others are dropped
-    before conditions meet visit days.
-    """
-    needed = first_lines(unresolved(conditions), [patient, "_added"], ["LINE"], max_chars + 1)
-    active = active_conditions_asof(visits, needed.drop("_added", GROUP), patient, day)
+    """Active conditions of each visit day as one text, in line order."""
+    active = active_conditions_asof(visits, conditions, patient, day)
     return enumerate_lines(
-        active, [patient, day], "LINE", value, name, max_chars, trailing=False, unique_lines=True
+        active, [patient, day], "LINE", value, name, width, trailing=False, unique_lines=True
     )
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from visitflow import codes
 from visitflow.operators.ordered import (
-    LargeGroups,
     first_after,
     following,
     last_before,
@@ -36,7 +35,6 @@ def link_previous(
     carry: Mapping[str, Column],
     skip: Sequence = codes.INACTIVE_STATUSES,
     active: Sequence = codes.ACTIVE_STATUSES,
-    large: LargeGroups | None | str = "detect",
 ) -> DataFrame:
     """Carry values from the visit before this one in its group.
 
@@ -53,7 +51,6 @@ def link_previous(
             "_prev": previous(record),
             "_prev_active": last_before(F.when(F.col(status).isin(*active), record)),
         },
-        large,
     )
     linked = F.when(F.col("_prev_status").isin(*skip), F.col("_prev_active")).otherwise(
         F.col("_prev")
@@ -72,7 +69,6 @@ def link_next(
     carry: Mapping[str, Column],
     skip: Sequence = codes.INACTIVE_STATUSES,
     active: Sequence = codes.ACTIVE_STATUSES,
-    large: LargeGroups | None | str = "detect",
 ) -> DataFrame:
     """Carry values from the next active visit to a target department.
 
@@ -90,7 +86,6 @@ def link_next(
             "_next_status": following(F.col(status)),
             "_next_usable": first_after(F.when(usable, record)),
         },
-        large,
     )
     linked = F.when(
         from_scope

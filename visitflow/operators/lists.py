@@ -1,48 +1,71 @@
 """Ordered child lines folded into one delimited text per parent.
 
-Every sink column has a width, so a list needs only its first `max_chars` characters. A line adds
-at least one character (its separator), so the first `max_chars` lines of a group determine them
-exactly. Spark keeps just those lines of each group in every task before shuffling, which holds
-a group of any size to a bounded amount of data without changing the text.
+Lists are whole. A list is folded in two levels: lines that are near each other in the order (a slice)
+become one text, then the texts of a parent's slices are joined in order. Slices are ranges of whole
+line numbers or days, so a parent with very many lines is folded by many tasks, and the second level
+moves one text per slice. A `width`, for a sink column that has one, clips every piece on the way; the
+result is the same as clipping the whole list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitflow.functions.stamps import stamp_text
 from visitflow.functions.text import clip, escape_markup
 from visitflow.operators.cohort import left_to_many
-from visitflow.session import cut_groups_early
 
+#: Line numbers in a slice.
+SLICE = 256
+_SLICE, _PIECE = "_slice", "_piece"
 
-# The keys as one column. Grouping by it makes Spark move the rows even when a join has already
-# placed them by key, and so cut each group in the tasks that hold parts of it.
-GROUP = "_group"
 
+def _slice(df: DataFrame, column: str) -> Column:
+    """A value that is the same for neighbouring values of the column and grows with it."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(column) / SLICE)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(column)
+    return F.lit(0)
 
-def first_lines(df: DataFrame, keys: Sequence[str], order: Sequence, n: int) -> DataFrame:
-    """The first n rows of each group, with the group's keys also as the column `GROUP`."""
-    cut_groups_early(df.sparkSession, n)
-    grouped = df.withColumn(GROUP, F.struct(*keys))
-    window = Window.partitionBy(GROUP).orderBy(*order)
-    return (
-        grouped.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= n).drop("_n")
-    )
+
+def _clipped(text: Column, width: int | None) -> Column:
+    return text if width is None else clip(text, width)
 
 
-def joined(order: Sequence[Column], item: Column, sep: str, trailing: bool, width: int) -> Column:
+def _joined(order: Sequence[Column], item: Column, sep: str, width: int | None) -> Column:
     """Aggregate: items in order, joined; null items vanish, no item at all gives null."""
     named = [c.alias(f"o{i}") for i, c in enumerate(order)]
-    rows = F.collect_list(F.when(item.isNotNull(), F.struct(*named, item.alias("item"))))
-    items = F.transform(F.array_sort(rows), lambda row: row.getField("item"))
-    text = F.array_join(items, sep)
-    if trailing:
-        text = F.concat(text, F.lit(sep))
-    return F.when(F.size(rows) > 0, clip(text, width))
+    rows = F.array_sort(F.collect_list(F.when(item.isNotNull(), F.struct(*named, item.alias("item")))))
+    text = F.array_join(F.transform(rows, lambda row: row.getField("item")), sep)
+    return F.when(F.size(rows) > 0, _clipped(text, width))
+
+
+def _ended(text: Column, sep: str, trailing: bool, width: int | None) -> Column:
+    return _clipped(F.concat(text, F.lit(sep)), width) if trailing else text
+
+
+def _folded(
+    lines: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    item: Column,
+    name: str,
+    sep: str,
+    trailing: bool,
+    width: int | None,
+) -> DataFrame:
+    columns = [F.col(c) for c in order]
+    pieces = lines.groupBy(*keys, _slice(lines, order[0]).alias(_SLICE)).agg(
+        _joined(columns, item, sep, width).alias(_PIECE)
+    )
+    whole = _joined([F.col(_SLICE)], F.col(_PIECE), sep, width)
+    return pieces.groupBy(*keys).agg(_ended(whole, sep, trailing, width).alias(name))
 
 
 def enumerate_lines(
@@ -51,14 +74,14 @@ def enumerate_lines(
     line: str,
     value: str,
     name: str,
-    max_chars: int,
+    width: int | None = None,
     sep: str = "|",
     trailing: bool = True,
     nulls: str = "empty",
     escape: bool = True,
     unique_lines: bool = False,
 ) -> DataFrame:
-    """One row per parent: the first `max_chars` characters of its lines joined in line order.
+    """One row per parent: its lines joined in line order, as a whole or its first `width` characters.
 
     `nulls` is "empty" (a null line is an empty item) or "skip" (it leaves no trace; a parent
     with only null lines gets null). Of several values on one line the greatest counts; pass
@@ -66,19 +89,14 @@ def enumerate_lines(
     """
     keys = list(keys)
     # Clipping keeps the order of texts, so it may come before the greatest is taken.
-    lines = df.select(*keys, F.col(line).alias("_line"), clip(value, max_chars).alias("_value"))
+    text = _clipped(F.col(value).cast("string"), width)
+    lines = df.select(*keys, F.col(line).alias("_line"), text.alias("_value"))
     if not unique_lines:
         lines = lines.groupBy(*keys, "_line").agg(F.max("_value").alias("_value"))
-    order = ["_line"]
     if nulls == "empty":
         lines = lines.withColumn("_value", F.coalesce("_value", F.lit("")))
-    else:
-        # Skipped lines sort last, so they never displace a line that shows.
-        order = [F.col("_value").isNull(), *order]
-    lines = first_lines(lines, keys, order, max_chars + 1)
-    item = clip(escape_markup("_value"), max_chars) if escape else F.col("_value")
-    text = joined([F.col("_line")], item, sep, trailing, max_chars)
-    return lines.groupBy(GROUP).agg(text.alias(name)).select(f"{GROUP}.*", name)
+    item = _clipped(escape_markup("_value"), width) if escape else F.col("_value")
+    return _folded(lines, keys, ["_line"], item, name, sep, trailing, width)
 
 
 def enumerate_distinct(
@@ -87,20 +105,18 @@ def enumerate_distinct(
     by: Sequence[str],
     value: str,
     name: str,
-    max_chars: int,
+    width: int | None = None,
     sep: str = "|",
     escape: bool = True,
 ) -> DataFrame:
     """Like `enumerate_lines` over the distinct (`by`, value) pairs, ordered by them, null first."""
     keys, by = list(keys), list(by)
-    pairs = df.select(*keys, *by, clip(value, max_chars).alias("_value")).distinct()
-    pairs = first_lines(pairs, keys, [*by, "_value"], max_chars + 1)
+    text = _clipped(F.col(value).cast("string"), width)
+    pairs = df.select(*keys, *by, text.alias("_value")).distinct()
     item = F.coalesce("_value", F.lit(""))
     if escape:
-        item = clip(escape_markup(item), max_chars)
-    order = [*[F.col(c) for c in by], F.col("_value")]
-    text = joined(order, item, sep, True, max_chars)
-    return pairs.groupBy(GROUP).agg(text.alias(name)).select(f"{GROUP}.*", name)
+        item = _clipped(escape_markup(item), width)
+    return _folded(pairs, keys, [*by, "_value"], item, name, sep, True, width)
 
 
 def attach_lines(
@@ -123,7 +139,7 @@ def measure_history(
     value: str,
     measure: str,
     names: dict[str, tuple[str, str]],
-    max_chars: int,
+    width: int | None = None,
     missing: str = "NA",
 ) -> DataFrame:
     """Parallel lists per measure: values and their minute stamps, one item per recorded time.
@@ -132,18 +148,17 @@ def measure_history(
     output row. The lists carry no trailing separator.
     """
     keys = list(keys)
+    text = _clipped(F.coalesce(F.col(value).cast("string"), F.lit(missing)), width)
     points = (
-        df.withColumn("_value", clip(F.coalesce(value, F.lit(missing)), max_chars))
-        .groupBy(*keys, measure, time)
-        .agg(F.max("_value").alias("_value"))
+        df.withColumn("_value", text).groupBy(*keys, measure, time).agg(F.max("_value").alias("_value"))
+    )
+    items = {"v": escape_markup("_value"), "t": stamp_text(time, "minute", blank=False)}
+    pieces = points.groupBy(*keys, measure, _slice(points, time).alias(_SLICE)).agg(
+        *[_joined([F.col(time)], item, "|", width).alias(f"{_PIECE}_{k}") for k, item in items.items()]
     )
-    points = first_lines(points, [*keys, measure], [time], max_chars + 1)
     lists = []
-    for code, (values, stamps) in names.items():
-        mine = F.col(measure) == code
-        text = clip(escape_markup("_value"), max_chars)
-        stamp = stamp_text(time, "minute", blank=False)
-        at = [F.col(time)]
-        lists.append(joined(at, F.when(mine, text), "|", False, max_chars).alias(values))
-        lists.append(joined(at, F.when(mine, stamp), "|", False, max_chars).alias(stamps))
-    return points.groupBy(*keys).agg(*lists)
+    for code, both in names.items():
+        for k, name in zip(items, both, strict=True):
+            mine = F.when(F.col(measure) == code, F.col(f"{_PIECE}_{k}"))
+            lists.append(_joined([F.col(_SLICE)], mine, "|", width).alias(name))
+    return pieces.groupBy(*keys).agg(*lists)

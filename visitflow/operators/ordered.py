@@ -1,9 +1,13 @@
-"""Values of neighbouring rows within ordered groups, also when one group is huge.
+"""Values of neighbouring rows within ordered groups of any size.
 
-An ordinary group is handled by one window. A window puts a whole group in one task, so a group
-that holds a large share of the rows is first cut into slices along the order; each slice runs
-its own window, and what a slice needs from the slices before or after it comes from one summary
-row per slice. Slicing never changes the result, so finding the large groups may be approximate.
+Rows are dealt once into ranges of (keys, order) of about equal size, so a group that holds a large share
+of the rows spans many ranges. Each range runs its own windows. Only the first and the last group of
+a range can go on in another one; for those, one summary row per range carries what a range needs from
+the ranges before or after it. There is one plan for every size, and nothing is collected.
+
+The dealt rows are stored with their range's number before they are read again. The range borders come
+from a sample of the rows, so a second computation could draw others; stored, the numbers stay the same
+when a task is repeated or an executor is lost.
 """
 
 from __future__ import annotations
@@ -13,24 +17,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Rows one group may have before it is sliced, and the bounds of the slice tables: large groups,
-# slices of one group, and slices in all, whatever the input size.
-MAX_ROWS = 2_000_000
-MAX_GROUPS = 500
-MAX_GROUP_SLICES = 4_000
-MAX_SLICES = 50_000
+from visitflow.session import stored
 
-_SLICE, _HASH, _BOUNDS, _PART = "_slice", "_group_hash", "_bounds", "_part"
-
-
-@dataclass(frozen=True)
-class LargeGroups:
-    """Slice boundaries per key hash, in order, and the longest list of them."""
-
-    bounds: DataFrame
-    longest: int
+_PART = "_part"
 
 
 @dataclass(frozen=True)
@@ -73,105 +63,46 @@ def position_from_end() -> Neighbour:
 _BACKWARD = ("following", "first_after", "position_from_end")
 
 
-def find_large_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    max_rows: int = MAX_ROWS,
-) -> LargeGroups | None:
-    """Slice boundaries of the largest groups, or None when every group is of ordinary size.
-
-    Sizes come from a frequent-items sketch over the key hash. A group missed by the sketch, or
-    beyond the `MAX_GROUPS` largest, holds a small share of the rows and takes the ordinary path.
-    Boundaries are rows drawn by hash at one per slice length, so ties in time are split as well.
-    """
-    spark = df.sparkSession
-    hashed = df.select(F.xxhash64(*keys).alias(_HASH), F.struct(*order).alias("_at"))
-    sketch = hashed.agg(F.expr(f"approx_top_k({_HASH}, {MAX_GROUPS}, {64 * MAX_GROUPS})")).first()
-    sizes = {i["item"]: i["count"] for i in sketch[0] or [] if i["count"] > max_rows}
-    if not sizes:
-        return None
-    total, biggest = sum(sizes.values()), max(sizes.values())
-    length = max(max_rows, total // MAX_SLICES, biggest // MAX_GROUP_SLICES)
-    drawn = F.pmod(F.xxhash64("_at"), F.lit(length)) == 0
-    wanted = hashed.filter(F.col(_HASH).isin(*sizes) & drawn)
-    picks = wanted.limit(2 * MAX_SLICES).collect()  # about half as many are expected
-    bounds = {}
-    for row in picks:
-        bounds.setdefault(row[_HASH], []).append(row["_at"])
-    if not bounds:
-        return None
-    at_type = hashed.schema["_at"].dataType
-    schema = T.StructType(
-        [T.StructField(_HASH, T.LongType()), T.StructField(_BOUNDS, T.ArrayType(at_type))]
-    )
-    table = spark.createDataFrame(list(bounds.items()), schema)
-    return LargeGroups(
-        table.withColumn(_BOUNDS, F.array_sort(_BOUNDS)), max(map(len, bounds.values()))
-    )
-
-
 def with_neighbours(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    wanted: Mapping[str, Neighbour],
-    large: LargeGroups | None | str = "detect",
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], wanted: Mapping[str, Neighbour]
 ) -> DataFrame:
-    """Add the wanted neighbour values; `order` must be unique within a group.
-
-    `large` is the result of `find_large_groups`, None to skip slicing, or "detect".
-    """
-    if isinstance(large, str):
-        large = find_large_groups(df, keys, order)
-    if large is None:
-        return _windowed(df, list(keys), order, wanted)
-
-    sliced = _sliced(df, keys, order, large, "left")
-    carried = _carry(_sliced(df, keys, order, large, "inner"), list(keys), order, wanted)
-    # One column for key and slice: rows already placed by key alone must still move by slice.
-    placed = sliced.withColumn(_PART, F.struct(*keys, _SLICE))
-    local = _windowed(placed, [_PART], order, wanted)
-    same = [local[k].eqNullSafe(carried[f"_k_{k}"]) for k in [*keys, _SLICE]]
-    joined = local.join(F.broadcast(carried), same, "left")  # one row per slice
+    """Add the wanted neighbour values; `order` must be unique within a group."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *keys, *order).withColumn(_PART, F.spark_partition_id())
+    placed = stored(dealt, "ordered")
+    local = _windowed(placed, [_PART, *keys], order, wanted)
+    carried = _carry(_spanning(placed, keys), list(keys), order, wanted)
+    same = [local[k].eqNullSafe(carried[f"_k_{k}"]) for k in [*keys, _PART]]
+    joined = local.join(carried, same, "left")
     out = [F.col(c) for c in df.columns]
     for name, step in wanted.items():
         inside, outside = F.col(name), F.col(f"_c_{name}")
         if step.value is None:
             out.append((inside + F.coalesce(outside, F.lit(0))).cast("long").alias(name))
         else:
-            out.append(_unwrap(F.coalesce(inside, outside)).alias(name))
+            out.append(F.coalesce(inside, outside).getField("v").alias(name))
     return joined.select(*out)
 
 
-def _sliced(df, keys, order, large: LargeGroups, how: str) -> DataFrame:
-    """Number rows by slice: how many boundaries are not after the row, found by bisection.
-
-    Rows of ordinary groups get -1 (or go, with an inner join).
-    """
-    out = (
-        df.withColumn(_HASH, F.xxhash64(*keys))
-        .join(F.broadcast(large.bounds), _HASH, how)  # at most MAX_GROUPS rows
-        .withColumn(_SLICE, F.when(F.col(_BOUNDS).isNotNull(), 0).otherwise(-1))
+def _spanning(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of groups that lie in more than one range: at most one group for each border."""
+    key = F.struct(*keys)
+    ends = placed.groupBy(_PART).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    groups = (
+        ends.select(_PART, F.explode(F.array("lo", "hi")).alias("_key"))
+        .groupBy("_key")
+        .agg(F.min(_PART).alias("a"), F.max(_PART).alias("b"))
+        .filter("a < b")
+        .select(*[F.col(f"_key.`{k}`").alias(f"_s_{k}") for k in keys])
     )
-    at = F.struct(*order)
-    step = 1 << (large.longest.bit_length() - 1)
-    while step:
-        bound = F.get(_BOUNDS, F.col(_SLICE) + (step - 1))
-        out = out.withColumn(_SLICE, F.col(_SLICE) + F.when(bound <= at, step).otherwise(0))
-        step //= 2
-    return out.drop(_HASH, _BOUNDS)
-
-
-def _unwrap(boxed: Column) -> Column:
-    return boxed.getField("v")
+    same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
+    return placed.join(groups, same, "left_semi")
 
 
 def _windowed(df, keys, order, wanted) -> DataFrame:
-    """One window per direction; a slice keeps values boxed so an absent row differs from a null."""
+    """One window per direction; values are boxed so that an absent row differs from a null."""
     ahead = Window.partitionBy(*keys).orderBy(*order)
     behind = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    boxed = keys == [_PART]
     columns = {}
     for name, step in wanted.items():
         window = behind if step.kind in _BACKWARD else ahead
@@ -179,7 +110,7 @@ def _windowed(df, keys, order, wanted) -> DataFrame:
         if step.value is None:
             columns[name] = F.row_number().over(window).cast("long")
             continue
-        value = F.struct(step.value.alias("v")) if boxed else step.value
+        value = F.struct(step.value.alias("v"))
         if step.kind in ("previous", "following"):
             columns[name] = F.lag(value).over(window)
         else:
@@ -189,7 +120,7 @@ def _windowed(df, keys, order, wanted) -> DataFrame:
 
 
 def _carry(rows, keys, order, wanted) -> DataFrame:
-    """Per slice: what its first (or last) row must take from the slices before (or after) it."""
+    """Per range: what its first (or last) row must take from the ranges before (or after) it."""
     at = F.struct(*order)
     edges = []
     for name, step in wanted.items():
@@ -200,10 +131,10 @@ def _carry(rows, keys, order, wanted) -> DataFrame:
         counted = step.kind in ("previous", "following")
         when = at if counted else F.when(step.value.isNotNull(), at)
         edges.append(edge(F.struct(step.value.alias("v")), when).alias(name))
-    summary = rows.groupBy(*keys, _SLICE).agg(*edges)
-    columns = [F.col(k).alias(f"_k_{k}") for k in [*keys, _SLICE]]
+    summary = rows.groupBy(*keys, _PART).agg(*edges)
+    columns = [F.col(k).alias(f"_k_{k}") for k in [*keys, _PART]]
     for name, step in wanted.items():
-        direction = F.col(_SLICE).desc() if step.kind in _BACKWARD else F.col(_SLICE)
+        direction = F.col(_PART).desc() if step.kind in _BACKWARD else F.col(_PART)
         earlier = (
             Window.partitionBy(*keys)
             .orderBy(direction)

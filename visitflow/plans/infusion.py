@@ -29,7 +29,6 @@ from visitflow.operators.cohort import (
 from visitflow.operators.linking import link_previous
 from visitflow.operators.lists import enumerate_lines
 from visitflow.operators.milestones import milestone_columns, visit_measures
-from visitflow.operators.ordered import find_large_groups
 from visitflow.sources.contracts import infusion as contract
 from visitflow.sources.contracts import summary_heading
 from visitflow.sources.load import flat_file, with_audit
@@ -72,9 +71,6 @@ def linked_visits(
         appt = appt.filter(F.col("PAT_ID") == patient)
     cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
     near = appt.filter(on_window_days("APPT_DTTM", start, end))
-    large = find_large_groups(
-        near.withColumn("appt_date", F.to_date("APPT_DTTM")), LINK_PART, LINK_ORDER
-    )
     linked = link_previous(
         expand_cohort(near, cohort),
         LINK_PART,
@@ -86,7 +82,6 @@ def linked_visits(
             "previous_length": F.col("APPT_LENGTH"),
             "previous_department": F.col("DEPARTMENT_ID"),
         },
-        large=large,
     )
     return stage("visits", linked.filter(scope))
 
@@ -104,7 +99,7 @@ def medication_spans(
     orders = attach_treatment_plan(
         order_intervals(given), wh["V_ONC_TREATMENT_PLAN_ORDERS"], wh["CLARITY_SER"]
     )
-    return infusion_intervals(stage("orders", orders), plan_chars=255, provider_chars=255)
+    return infusion_intervals(stage("orders", orders))
 
 
 def milestones(wh: Warehouse, visits: DataFrame, site: str = "") -> DataFrame:
@@ -163,11 +158,11 @@ def report(
         rows_of(wh["PAT_ENC_APPT"], ids, CSN)
         .select(CSN, "LINE", "PROV_ID")
         .join(providers, "PROV_ID", "left"),
-        [CSN], "LINE", "PROV_NAME", "Appointment Resource", 255, unique_lines=True,
+        [CSN], "LINE", "PROV_NAME", "Appointment Resource", unique_lines=True,
     )
     notes = enumerate_lines(
         rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
-        [CSN], "LINE", "APPT_NOTE", "Appointment Note", 1000, unique_lines=True,
+        [CSN], "LINE", "APPT_NOTE", "Appointment Note", unique_lines=True,
     )
     spans = medication_spans(wh, departments, start, end, stage)
     marks = milestones(wh, encounters, site)
@@ -228,10 +223,10 @@ def table_rows(rows: DataFrame, site: str = "") -> DataFrame:
     """Report rows as the sink table takes them."""
     return rows.withColumns(
         {
-            "Treatment Plan": clip_list("`Treatment Plan`", 200, trim=False),
-            "Treatment Plan Provider": clip_list("`Treatment Plan Provider`", 18, trim=False),
-            "Appointment Resource": clip_list("`Appointment Resource`", 200, trim=False),
-            "Appointment Note": quote_list("`Appointment Note`", 1000, trim=False),
+            "Treatment Plan": clip_list("`Treatment Plan`", 200),
+            "Treatment Plan Provider": clip_list("`Treatment Plan Provider`", 18),
+            "Appointment Resource": clip_list("`Appointment Resource`", 200),
+            "Appointment Note": quote_list("`Appointment Note`", 1000),
         }
     ).select(*[f"`{c}`" for c in contract(site).names])
 
@@ -240,10 +235,10 @@ def flat_rows(rows: DataFrame, site: str = "") -> DataFrame:
     """Report rows as all text for the flat file, lists in quotes."""
     quoted = rows.withColumns(
         {
-            "Treatment Plan": quote_list("`Treatment Plan`", 255, trim=False),
-            "Treatment Plan Provider": quote_list("`Treatment Plan Provider`", 255, trim=False),
-            "Appointment Resource": quote_list("`Appointment Resource`", 255, trim=False),
-            "Appointment Note": quote_list("`Appointment Note`", 1000, trim=False),
+            "Treatment Plan": quote_list("`Treatment Plan`", 255),
+            "Treatment Plan Provider": quote_list("`Treatment Plan Provider`", 255),
+            "Appointment Resource": quote_list("`Appointment Resource`", 255),
+            "Appointment Note": quote_list("`Appointment Note`", 1000),
             "Appointment ID": blank("`Appointment ID`", 18),
         }
     )

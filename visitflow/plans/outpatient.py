@@ -23,7 +23,6 @@ from visitflow.operators.cohort import (
 from visitflow.operators.linking import link_next
 from visitflow.operators.lists import enumerate_lines, measure_history
 from visitflow.operators.milestones import milestone_pivot, visit_measures
-from visitflow.operators.ordered import find_large_groups
 from visitflow.sources.contracts import clinics as contract
 from visitflow.sources.contracts import summary_heading, vitals_heading
 from visitflow.sources.load import flat_file, with_audit
@@ -67,8 +66,6 @@ def linked_visits(
     cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
     linkable = scope | F.col("DEPARTMENT_ID").isin(*target) if keep_target else scope
     near = appt.filter(on_window_days("APPT_DTTM", start, end))
-    dated = near.filter(linkable).withColumn("appt_date", F.to_date("APPT_DTTM"))
-    large = find_large_groups(dated, LINK_PART, LINK_ORDER)
     linked = link_next(
         expand_cohort(near, cohort, linkable),
         LINK_PART,
@@ -83,7 +80,6 @@ def linked_visits(
             "next_length": F.col("APPT_LENGTH"),
             "next_department": F.col("DEPARTMENT_ID"),
         },
-        large=large,
     )
     return stage("visits", linked.filter(scope))
 
@@ -127,9 +123,7 @@ def histories(wh: Warehouse, visits: DataFrame) -> DataFrame:
         codes.MEASURE_ROOM: ("Patient_Room", "Patient_Room_Recorded_DtTm"),
         codes.MEASURE_TRACK: ("Patient_Track", "Patient_Track_Recorded_DtTm"),
     }
-    return measure_history(
-        rows, [CSN], "RECORDED_TIME", "MEAS_VALUE", "FLO_MEAS_ID", names, 1200
-    )
+    return measure_history(rows, [CSN], "RECORDED_TIME", "MEAS_VALUE", "FLO_MEAS_ID", names)
 
 
 def referral_dates(wh: Warehouse) -> DataFrame:
@@ -177,11 +171,11 @@ def report(
         rows_of(wh["PAT_ENC_RSN_VISIT"], ids, CSN)
         .select(CSN, "LINE", F.col("ENC_REASON_ID").alias("REASON_VISIT_ID"))
         .join(wh["CL_RSN_FOR_VISIT"], "REASON_VISIT_ID", "left"),
-        [CSN], "LINE", "REASON_VISIT_NAME", "reasons", 1200, trailing=False, unique_lines=True,
+        [CSN], "LINE", "REASON_VISIT_NAME", "reasons", trailing=False, unique_lines=True,
     )
     notes = enumerate_lines(
         rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
-        [CSN], "LINE", "APPT_NOTE", "notes", 1200, trailing=False, unique_lines=True,
+        [CSN], "LINE", "APPT_NOTE", "notes", trailing=False, unique_lines=True,
     )
     measured = encounters.select(CSN, "INPATIENT_DATA_ID")
     updates = rows_of(wh["F_SCHED_APPT"], ids, CSN).select(CSN, "UPDATE_DATE")

@@ -19,7 +19,7 @@ def provider_notes(wh: Warehouse, providers: Sequence, ordered: bool = True) ->
     mine = wh["PAT_ENC"].filter(F.col("VISIT_PROV_ID").isin(*providers)).select(CSN)
     notes = enumerate_lines(
         wh["PAT_ENC_APPT_NOTES"].join(mine, CSN, "left_semi"),
-        [CSN], "LINE", "APPT_NOTE", "APPT_NOTE", 255, trailing=False, nulls="skip",
+        [CSN], "LINE", "APPT_NOTE", "whole_note", trailing=False, nulls="skip",
     )
     appointments = wh["V_SCHED_APPT"].select(
         CSN,
@@ -37,12 +37,12 @@ def provider_notes(wh: Warehouse, providers: Sequence, ordered: bool = True) ->
         .select(
             F.col(CSN).alias("Encounter_CSN"),
             F.lit("").alias("COMM_TYPE"),
-            clip("APPT_NOTE", 255).alias("APPT_NOTE"),
+            clip("whole_note", 255).alias("APPT_NOTE"),
             "CONTACT_DATE", "APPT_STATUS", "DEPARTMENT_ID", "DEPARTMENT_NAME", "PROV_NAME_WID",
-            "VISIT_TYPE", "ENC_TYPE",
+            "VISIT_TYPE", "ENC_TYPE", "whole_note",
         )
     )
-    return rows.orderBy("APPT_NOTE") if ordered else rows
+    return (rows.orderBy("whole_note") if ordered else rows).drop("whole_note")
 
 
 REVIEW_STAMPS = (

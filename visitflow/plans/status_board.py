@@ -82,13 +82,13 @@ def visit_details(
     ids = visits.select(CSN)
     notes = enumerate_lines(
         rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
-        [CSN], "LINE", "APPT_NOTE", "APPT_NOTES", 1200, trailing=False, unique_lines=True,
+        [CSN], "LINE", "APPT_NOTE", "APPT_NOTES", trailing=False, unique_lines=True,
     )
     comments = enumerate_lines(
         element_values(
             cohort, wh["SMRTDTA_ELEM_DATA"], wh["SMRTDTA_ELEM_VALUE"], element
         ).withColumnRenamed("CONTACT_SERIAL_NUM", CSN),
-        [CSN], "LINE", "SMRTDTA_ELEM_VALUE", "SDE_VALUES", 1200, trailing=False, unique_lines=True,
+        [CSN], "LINE", "SMRTDTA_ELEM_VALUE", "SDE_VALUES", trailing=False, unique_lines=True,
     )
     days = cohort.select("PAT_ID", "appt_date").distinct()
     patients = days.select("PAT_ID").distinct()
@@ -98,7 +98,7 @@ def visit_details(
         "left",
     )
     infections = active_condition_list(
-        days, conditions, "INFECTION_NAME", "INFECTION_NAMES", 1200
+        days, conditions, "INFECTION_NAME", "INFECTION_NAMES"
     ).withColumnRenamed("PAT_ID", "enc_pat")
     durations = with_durations(rows_of(wh["F_SCHED_APPT"], ids, CSN)).select(
         CSN, "TIME_TO_ROOM_MINUTES", "TIME_IN_ROOM_MINUTES", "CYCLE_TIME_MINUTES"

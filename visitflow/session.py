@@ -1,12 +1,15 @@
-"""Session settings the operators rely on, and where intermediate tables may be written."""
+"""Session settings for applications, and where intermediate tables are kept.
+
+`tune` is called by the application, once; no operator changes a setting or needs one for its results.
+"""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+import weakref
 
-from pyspark.sql import SparkSession
-
-_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Re-plan joins and partition counts from the sizes seen at run time.
@@ -17,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_own: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
@@ -24,17 +29,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_groups_early(spark: SparkSession, rows: int) -> None:
-    """Let Spark apply "first n rows of each group" before the shuffle for n up to `rows`."""
-    if int(spark.conf.get(_GROUP_LIMIT)) < rows:
-        spark.conf.set(_GROUP_LIMIT, str(rows))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster; a local session without one gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named
+        return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="visitflow-")
+    if spark not in _own:
+        _own[spark] = tempfile.mkdtemp(prefix="visitflow-")
+    return _own[spark]
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write rows to a path of their own in the shared folder and read them back.
+
+    Later readers neither recompute them nor lose them with an executor. The application clears the
+    shared folder when its run is over.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,8 +6,6 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.session import tune
-
 
 class Warehouse(Mapping):
     """Source tables by name, from a folder of parquet tables, a catalog schema, or given frames.
@@ -22,7 +20,7 @@ class Warehouse(Mapping):
         schema: str | None = None,
         frames: Mapping[str, DataFrame] | None = None,
     ):
-        self.spark = tune(spark)
+        self.spark = spark
         self._folder, self._schema = folder, schema
         self._frames = dict(frames or {})
 
