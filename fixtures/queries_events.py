@@ -23,30 +23,29 @@ SAMPLE_DEPARTMENTS = tuple(range(20))
 SAMPLE_SQL = f"""
     csns AS (SELECT {CSN} FROM V_SCHED_APPT WHERE DEPARTMENT_ID IN {ids(SAMPLE_DEPARTMENTS)}
              AND CONTACT_DATE >= DATE '2024-01-02' AND APPT_STATUS_C = 2)"""
-# Events of the encounters in `csns`.
+# Events of the encounters in `csns`; one catalogue names the event's and the patient's template.
 EVENTS_SQL = f"""
-    iev AS (SELECT p.PAT_ID, p.{CSN}, p.TYPE_ID AS "TYPE_ID_pat", p.EVENT_ID AS "EVENT_ID_pat",
-        e.EVENT_TYPE AS "EVENT_TYPE_iev", e.EVENT_ID AS "EVENT_ID_iev",
-        e.EVENT_DISPLAY_NAME AS "EVENT_DISPLAY_NAME_iev", e.LINE AS "LINE_iev",
-        e.EVENT_TIME AS "EVENT_TIME_iev", e.EVENT_CMT AS "EVENT_CMT_iev",
-        ti.RECORD_NAME AS "RECORD_NAME_iev", ci.EVT_TMPLT_CLASS_C AS "EVT_TMPLT_CLASS_C_iev",
-        zi.NAME AS "EVT_TMPLT_CLASS_C_name_iev", tp.RECORD_NAME AS "RECORD_NAME_pat",
-        cp.EVT_TMPLT_CLASS_C AS "EVT_TMPLT_CLASS_C_pat", zp.NAME AS "EVT_TMPLT_CLASS_C_name_pat",
+    catalogue AS (SELECT RECORD_ID, RECORD_NAME, EVT_TMPLT_CLASS_C AS class, NAME AS class_name
+                  FROM ZC_EVT_TMPLT_CLASS RIGHT JOIN ED_LEV_EVENT_INFO USING (EVT_TMPLT_CLASS_C)
+                    RIGHT JOIN ED_EVENT_TMPL_INFO USING (RECORD_ID)),
+    happened AS (SELECT * FROM ED_IEV_EVENT_INFO WHERE EVENT_TYPE IN {ids(BOARD_EVENT_TYPES)}),
+    iev AS (SELECT p.PAT_ID, p.{CSN}, p.TYPE_ID AS "TYPE_ID_pat", EVENT_ID AS "EVENT_ID_pat",
+        EVENT_TYPE AS "EVENT_TYPE_iev", EVENT_ID AS "EVENT_ID_iev",
+        EVENT_DISPLAY_NAME AS "EVENT_DISPLAY_NAME_iev", e.LINE AS "LINE_iev",
+        EVENT_TIME AS "EVENT_TIME_iev", EVENT_CMT AS "EVENT_CMT_iev",
+        own.RECORD_NAME AS "RECORD_NAME_iev", own.class AS "EVT_TMPLT_CLASS_C_iev",
+        own.class_name AS "EVT_TMPLT_CLASS_C_name_iev", kind.RECORD_NAME AS "RECORD_NAME_pat",
+        kind.class AS "EVT_TMPLT_CLASS_C_pat", kind.class_name AS "EVT_TMPLT_CLASS_C_name_pat",
         p.DEPT_EVENT_DEP_ID, d.DEPARTMENT_NAME, n.LINE AS NOTE_LINE, n.NOTE_TEXT,
         s.PROV_ID AS EVENT_PROV_ID, s.PROV_NAME AS EVENT_PROV_NAME, l.COMMENTS AS LOCATION_COMMENTS
-      FROM ED_IEV_PAT_INFO p LEFT JOIN ED_IEV_EVENT_INFO e ON e.EVENT_ID = p.EVENT_ID
-        LEFT JOIN ED_EVENT_TMPL_INFO ti ON ti.RECORD_ID = e.EVENT_TYPE
-        LEFT JOIN ED_LEV_EVENT_INFO ci ON ci.RECORD_ID = ti.RECORD_ID
-        LEFT JOIN ZC_EVT_TMPLT_CLASS zi ON zi.EVT_TMPLT_CLASS_C = ci.EVT_TMPLT_CLASS_C
-        LEFT JOIN ED_EVENT_TMPL_INFO tp ON tp.RECORD_ID = p.TYPE_ID
-        LEFT JOIN ED_LEV_EVENT_INFO cp ON cp.RECORD_ID = tp.RECORD_ID
-        LEFT JOIN ZC_EVT_TMPLT_CLASS zp ON zp.EVT_TMPLT_CLASS_C = cp.EVT_TMPLT_CLASS_C
+      FROM happened e LEFT JOIN catalogue own ON own.RECORD_ID = EVENT_TYPE
+        LEFT JOIN CL_PLC l ON l.LOCATION_EVNT_ID = LOCATION_ID
+        LEFT JOIN CLARITY_SER s ON s.PROV_ID = EVENT_PROV_ID
+        LEFT JOIN HNO_NOTE_TEXT n ON n.NOTE_ID = EVENT_NOTE_ID
+        JOIN ED_IEV_PAT_INFO p USING (EVENT_ID)
         LEFT JOIN CLARITY_DEP d ON d.DEPARTMENT_ID = p.DEPT_EVENT_DEP_ID
-        LEFT JOIN HNO_NOTE_TEXT n ON n.NOTE_ID = e.EVENT_NOTE_ID
-        LEFT JOIN CLARITY_SER s ON s.PROV_ID = e.EVENT_PROV_ID
-        LEFT JOIN CL_PLC l ON l.LOCATION_EVNT_ID = e.LOCATION_ID
-        JOIN (SELECT DISTINCT {CSN} FROM csns) c ON c.{CSN} = p.{CSN}
-      WHERE e.EVENT_TYPE IN {ids(BOARD_EVENT_TYPES)})"""
+        LEFT JOIN catalogue kind ON kind.RECORD_ID = p.TYPE_ID
+      WHERE p.{CSN} IN (SELECT {CSN} FROM csns))"""
 STAMP_NAMES = (
     "APPT_DTTM, SIGNIN_DTTM, CHECKIN_DTTM, ARVL_LIST_REMOVE_DTTM, ROOMED_DTTM, NURSE_LEAVE_DTTM,"
     " PHYS_ENTER_DTTM, VISIT_END_DTTM, CHECKOUT_DTTM"

@@ -21,20 +21,20 @@ from visitflow.operators.lists import (
 from visitflow.sources.load import with_audit
 
 
-@query("list_lines", line_list("PAT_ENC_APPT_NOTES", CSN, "LINE", "APPT_NOTE", "items", 1200))
+@query("list_lines", line_list("PAT_ENC_APPT_NOTES", CSN, "LINE", "APPT_NOTE", "items"))
 def _(wh):
     return enumerate_lines(
-        wh["PAT_ENC_APPT_NOTES"], [CSN], "LINE", "APPT_NOTE", "items", 1200
+        wh["PAT_ENC_APPT_NOTES"], [CSN], "LINE", "APPT_NOTE", "items"
     )
 
 
 @query(
     "list_lines_of_turns",
-    line_list("conversations", "conv_id", "turn", "text", "items", 1200, trailing=False),
+    line_list("conversations", "conv_id", "turn", "text", "items", trailing=False),
 )
 def _(wh):
     return enumerate_lines(
-        wh["conversations"], ["conv_id"], "turn", "text", "items", 1200, trailing=False,
+        wh["conversations"], ["conv_id"], "turn", "text", "items", trailing=False,
         unique_lines=True,
     )
 
@@ -42,56 +42,55 @@ def _(wh):
 # A third of all lines on one parent.
 @query(
     "list_lines_busy_parent",
-    f"""SELECT parent, left(string_agg({escaped("coalesce(text, '')")}, '|' ORDER BY doc_id) || '|',
-          1200) AS items
+    f"""SELECT parent, string_agg({escaped("coalesce(text, '')")}, '|' ORDER BY doc_id) || '|' AS items
         FROM (SELECT CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id END AS parent, doc_id, text
               FROM documents) x GROUP BY parent""",
 )
 def _(wh):
     parent = F.when(F.col("doc_id") % 3 == 0, 0).otherwise(F.col("doc_id"))
     docs = wh["documents"].withColumn("parent", parent)
-    return enumerate_lines(docs, ["parent"], "doc_id", "text", "items", 1200, unique_lines=True)
+    return enumerate_lines(docs, ["parent"], "doc_id", "text", "items", unique_lines=True)
 
 
 @query(
     "list_lines_leading",
-    f"""SELECT {CSN}, left(string_agg({escaped("APPT_NOTE")}, '|' ORDER BY LINE), 255) AS items
+    f"""SELECT {CSN}, string_agg({escaped("APPT_NOTE")}, '|' ORDER BY LINE) AS items
         FROM PAT_ENC_APPT_NOTES GROUP BY {CSN}""",
 )
 def _(wh):
     return enumerate_lines(
-        wh["PAT_ENC_APPT_NOTES"], [CSN], "LINE", "APPT_NOTE", "items", 255, trailing=False,
+        wh["PAT_ENC_APPT_NOTES"], [CSN], "LINE", "APPT_NOTE", "items", trailing=False,
         nulls="skip",
     )
 
 
 @query(
     "list_lines_raw",
-    line_list("PAT_ENC_APPT_NOTES", CSN, "LINE", "APPT_NOTE", "items", 1200, raw=True),
+    line_list("PAT_ENC_APPT_NOTES", CSN, "LINE", "APPT_NOTE", "items", raw=True),
 )
 def _(wh):
     return enumerate_lines(
-        wh["PAT_ENC_APPT_NOTES"], [CSN], "LINE", "APPT_NOTE", "items", 1200, escape=False
+        wh["PAT_ENC_APPT_NOTES"], [CSN], "LINE", "APPT_NOTE", "items", escape=False
     )
 
 
 @query(
     "list_distinct",
-    """SELECT l_orderkey, left(string_agg(p_name || '|', '' ORDER BY p_size, p_name), 1200) AS items
+    """SELECT l_orderkey, string_agg(p_name || '|', '' ORDER BY p_size, p_name) AS items
        FROM (SELECT DISTINCT l_orderkey, p_size, p_name
              FROM lineitem JOIN part ON p_partkey = l_partkey) x GROUP BY l_orderkey""",
 )
 def _(wh):
     rows = wh["lineitem"].join(wh["part"], F.col("l_partkey") == F.col("p_partkey"))
     return enumerate_distinct(
-        rows, ["l_orderkey"], ["p_size"], "p_name", "items", 1200, escape=False
+        rows, ["l_orderkey"], ["p_size"], "p_name", "items", escape=False
     )
 
 
 def _history_list(measure: str, item: str, name: str) -> str:
     return (
-        f"left(string_agg({item}, '|' ORDER BY RECORDED_TIME)"
-        f" FILTER (WHERE FLO_MEAS_ID = '{measure}'), 1200) AS {name}"
+        f"string_agg({item}, '|' ORDER BY RECORDED_TIME)"
+        f" FILTER (WHERE FLO_MEAS_ID = '{measure}') AS {name}"
     )
 
 
@@ -108,7 +107,7 @@ def _history_list(measure: str, item: str, name: str) -> str:
 def _(wh):
     names = {"4143": ("rooms", "room_times"), "4147": ("tracks", "track_times")}
     return measure_history(
-        wh["IP_FLWSHT_MEAS"], ["FSD_ID"], "RECORDED_TIME", "MEAS_VALUE", "FLO_MEAS_ID", names, 1200
+        wh["IP_FLWSHT_MEAS"], ["FSD_ID"], "RECORDED_TIME", "MEAS_VALUE", "FLO_MEAS_ID", names
     )
 
 

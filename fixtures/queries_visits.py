@@ -14,12 +14,7 @@ from visitflow.functions.labels import link_flag
 from visitflow.functions.stamps import report_window, report_window_columns, round_to_minute
 from visitflow.operators.cohort import expand_cohort, in_scope, in_window, patient_day_cohort
 from visitflow.operators.linking import link_next, link_previous
-from visitflow.operators.ordered import (
-    find_large_groups,
-    position,
-    position_from_end,
-    with_neighbours,
-)
+from visitflow.operators.ordered import position, position_from_end, with_neighbours
 
 UNITS, CLINIC_IDS = ids(INFUSION_UNITS), ids(CLINICS)
 SCOPE_SQL = f"(DEPARTMENT_ID IN {CLINIC_IDS} OR PROV_ID IN {ids(CLINIC_PROVIDERS)})"
@@ -88,44 +83,44 @@ def _(wh):
     return wh["V_SCHED_APPT"].filter(scope).select(CSN, "DEPARTMENT_ID", "PROV_ID")
 
 
-# The twins of the links number all rows and search by record number, as the source queries did.
+def _visit(x: str) -> str:
+    """A visit as one value that sorts by time, then id."""
+    return (
+        f"{{'t': {x}.APPT_DTTM, 'id': {x}.{CSN}, 'status': {x}.APPT_STATUS_C,"
+        f" 'length': {x}.APPT_LENGTH, 'unit': {x}.DEPARTMENT_ID}}"
+    )
+
+
 def previous_sql(table: str, patient: str, day: str) -> str:
+    """Of the visits earlier that day, the latest; if that one fell through, the latest active one."""
     return f"""
-      WITH rec AS (SELECT *, {day} AS d,
-          lag(APPT_STATUS_C) OVER (PARTITION BY {patient}, {day} ORDER BY APPT_DTTM, {CSN}) AS prev_status,
-          row_number() OVER (PARTITION BY {patient}, {day} ORDER BY APPT_DTTM, {CSN}) AS seq,
-          row_number() OVER (ORDER BY {patient}, {day}, APPT_DTTM, {CSN}) AS rid FROM {table}),
-      plus AS (SELECT r.*, CASE WHEN prev_status IN (3, 4, 5) THEN (
-            SELECT max(x.rid) FROM rec x WHERE x.rid < r.rid AND x.{patient} = r.{patient}
-              AND x.d = r.d AND x.APPT_STATUS_C IN (1, 2, 6)) ELSE rid - 1 END AS prid FROM rec r)
-      SELECT p.{CSN},
-        CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE q.{CSN} END AS previous_id,
-        CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE {minute("q.APPT_DTTM")} END AS previous_time,
-        CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE q.APPT_LENGTH END AS previous_length,
-        CASE WHEN seq = 1 OR prid IS NULL THEN NULL ELSE q.DEPARTMENT_ID END AS previous_department
-      FROM plus p LEFT JOIN (SELECT rid, {CSN}, APPT_DTTM, APPT_LENGTH, DEPARTMENT_ID FROM rec) q
-        ON q.rid = p.prid"""
+      WITH seen AS (
+        SELECT v.{CSN}, max({_visit("e")}) FILTER (e.{CSN} IS NOT NULL) AS latest,
+          max({_visit("e")}) FILTER (e.APPT_STATUS_C IN (1, 2, 6)) AS active
+        FROM (SELECT *, {day} AS d FROM {table}) v LEFT JOIN (SELECT *, {day} AS d FROM {table}) e
+          ON e.{patient} = v.{patient} AND e.d = v.d
+            AND (e.APPT_DTTM < v.APPT_DTTM OR (e.APPT_DTTM = v.APPT_DTTM AND e.{CSN} < v.{CSN}))
+        GROUP BY v.{CSN}),
+      linked AS (SELECT {CSN}, if(latest.status IN (3, 4, 5), active, latest) AS found FROM seen)
+      SELECT {CSN}, found.id AS previous_id, {minute("found.t")} AS previous_time,
+        found.length AS previous_length, found.unit AS previous_department FROM linked"""
 
 
 def next_sql(table: str, patient: str, day: str, scope: str, linkable: str, target: str) -> str:
-    window = f"PARTITION BY {patient}, {day} ORDER BY APPT_DTTM, {CSN}"
+    """The first active target visit later that day, if a target visit of known status comes right after."""
     return f"""
-      WITH rec AS (SELECT *, {day} AS d,
-          lead(APPT_STATUS_C) OVER ({window}) AS next_status,
-          lead(DEPARTMENT_ID) OVER ({window}) AS next_dep,
-          row_number() OVER (ORDER BY {patient}, {day}, APPT_DTTM, {CSN}) AS rid
-        FROM {table} WHERE {linkable}),
-      plus AS (SELECT r.*, CASE
-          WHEN {scope} AND next_dep IN {target} AND next_status IN (1, 2, 6) THEN rid + 1
-          WHEN {scope} AND next_dep IN {target} AND next_status IN (3, 4, 5) THEN (
-            SELECT coalesce(min(x.rid), 0) FROM rec x WHERE x.rid > r.rid
-              AND x.{patient} = r.{patient} AND x.d = r.d AND x.DEPARTMENT_ID IN {target}
-              AND x.APPT_STATUS_C IN (1, 2, 6)) ELSE 0 END AS nrid FROM rec r)
-      SELECT p.{CSN}, CASE WHEN nrid = 0 THEN NULL ELSE q.{CSN} END AS next_id,
-        CASE WHEN nrid = 0 THEN NULL ELSE q.APPT_LENGTH END AS next_length,
-        CASE WHEN nrid = 0 THEN NULL ELSE q.DEPARTMENT_ID END AS next_department
-      FROM plus p LEFT JOIN (SELECT rid, {CSN}, APPT_LENGTH, DEPARTMENT_ID FROM rec) q
-        ON q.rid = p.nrid"""
+      WITH near AS (SELECT *, {day} AS d, {scope} AS starts FROM {table} WHERE {linkable}),
+      seen AS (
+        SELECT v.{CSN}, any_value(v.starts) AS starts,
+          min({_visit("f")}) FILTER (f.{CSN} IS NOT NULL) AS soonest,
+          min({_visit("f")}) FILTER (f.DEPARTMENT_ID IN {target} AND f.APPT_STATUS_C IN (1, 2, 6)) AS usable
+        FROM near v LEFT JOIN near f ON f.{patient} = v.{patient} AND f.d = v.d
+          AND (f.APPT_DTTM > v.APPT_DTTM OR (f.APPT_DTTM = v.APPT_DTTM AND f.{CSN} > v.{CSN}))
+        GROUP BY v.{CSN}),
+      linked AS (SELECT {CSN}, if(starts AND soonest.unit IN {target} AND soonest.status BETWEEN 1 AND 6,
+          usable, NULL) AS found FROM seen)
+      SELECT {CSN}, found.id AS next_id, found.length AS next_length, found.unit AS next_department
+      FROM linked"""
 
 
 def previous_carry():
@@ -154,10 +149,7 @@ def previous_links(wh):
 @query("link_previous_busy_patient", previous_sql("BUSY_APPT", "PAT_ID", "appt_date"))
 def _(wh):
     appt = wh["BUSY_APPT"]
-    large = find_large_groups(appt, DAY_PART, DAY_ORDER, max_rows=200)
-    linked = link_previous(
-        appt, DAY_PART, DAY_ORDER, "APPT_STATUS_C", previous_carry(), large=large
-    )
+    linked = link_previous(appt, DAY_PART, DAY_ORDER, "APPT_STATUS_C", previous_carry())
     return linked.select(CSN, *previous_carry())
 
 
@@ -186,7 +178,6 @@ def _(wh):
     linked = link_next(
         appt, DAY_PART, DAY_ORDER, "APPT_STATUS_C", "DEPARTMENT_ID", TARGET,
         F.col("DEPARTMENT_ID") < 20, next_carry(),
-        large=find_large_groups(appt, DAY_PART, DAY_ORDER, max_rows=200),
     )
     return linked.select(CSN, *next_carry())
 
@@ -243,6 +234,5 @@ def _(wh):
 )
 def _(wh):
     appt = wh["BUSY_APPT"]
-    large = find_large_groups(appt, DAY_PART, DAY_ORDER, max_rows=200)
     wanted = {"n": position(), "n_from_end": position_from_end()}
-    return with_neighbours(appt, DAY_PART, DAY_ORDER, wanted, large).select(CSN, *wanted)
+    return with_neighbours(appt, DAY_PART, DAY_ORDER, wanted).select(CSN, *wanted)

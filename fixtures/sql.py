@@ -36,11 +36,10 @@ def pseudonym(x: str, width: int) -> str:
 
 
 def line_list(
-    table: str, key: str, line: str, value: str, name: str, width: int, trailing: bool = True,
-    raw: bool = False,
+    table: str, key: str, line: str, value: str, name: str, trailing: bool = True, raw: bool = False
 ) -> str:
-    """Lines of a table as one text per key, null lines empty."""
+    """Lines of a table as one whole text per key, null lines empty."""
     item = f"coalesce({value}, '')"
     item = item if raw else escaped(item)
     joined = f"string_agg({item}, '|' ORDER BY {line})" + (" || '|'" if trailing else "")
-    return f"SELECT {key}, left({joined}, {width}) AS {name} FROM {table} GROUP BY {key}"
+    return f"SELECT {key}, {joined} AS {name} FROM {table} GROUP BY {key}"

@@ -5,9 +5,10 @@ import pytest
 from conftest import TEST_DATA
 
 import __spark_entry__ as entry_point
+from fixtures import registry
 from fixtures.views import RAW, VIEWS, TestWarehouse, oracle
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 # The only results with one global order.
 ORDERED = {
     "sort_rows", "top_rows", "event_notes", "provider_notes", "timestamp_review", "plan_check",
