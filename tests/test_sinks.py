@@ -1,5 +1,6 @@
 """Contracts, key checks, loading and flat files."""
 
+import csv
 from datetime import datetime
 
 import pytest
@@ -115,17 +116,57 @@ def test_flat_file_hides_private_column(spark, tmp_path):
     row = flat.first()
     assert (row.APPT_LENGTH, row.APPT_DTTM, row.EVENT_DTTM) == ("15", "2024-01-01 09:00:00", "")
     load.write_flat_file(flat, str(tmp_path / "flat"), ["DEPARTMENT_NAME", "APPT_DTTM"])
-    text = "".join(p.read_text() for p in (tmp_path / "flat").glob("*.csv"))
+    text = "".join(p.read_text() for p in (tmp_path / "flat").glob("part-*"))
     assert text.startswith("PAT_ENC_CSN_ID,PAT_MRN_ID") and '"a^b|"' in text
 
 
+def test_flat_file_can_be_read_by_another_program(spark, tmp_path):
+    values = ["SMITH, JOHN", 'say "no"', "two\r\nlines", '"a, b|"', '"in "it" |"', "plain", "", '"', None]
+    rows = [(f"{k % 5}", f"{k:02d}", v) for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "grp string, k string, v string").repartition(4)
+    load.write_flat_file(df, str(tmp_path / "flat"), ["grp", "k"])
+    parts = sorted((tmp_path / "flat").glob("part-*"))
+    text = "".join(p.read_text() for p in parts)
+    assert "\0" not in text and text.count("\n") == len(values) + 1
+    back = list(csv.reader(text.splitlines()))
+    expected = {"two\r\nlines": "two lines", '"a, b|"': "a, b|", '"in "it" |"': 'in "it" |', None: ""}
+    assert back[0] == ["grp", "k", "v"]
+    assert back[1:] == [[g, k, expected.get(v, v)] for g, k, v in sorted(rows, key=lambda r: r[:2])]
+
+
+def test_stored_key_refuses_a_second_load(spark, tmp_path):
+    contract, path = contracts.infusion(), tmp_path / "sink"
+    load.append(rows_for(spark, contract, Appointment_ID=[1, 2]), contract, str(path))
+    before = sorted(p.name for p in path.iterdir())
+    with pytest.raises(KeyViolation, match="already stored"):
+        load.append(rows_for(spark, contract, Appointment_ID=[2, 3]), contract, str(path))
+    assert sorted(p.name for p in path.iterdir()) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["sink"]  # no staged copy is left
+    outside = F.col("`Appointment ID`") > 5
+    load.append(rows_for(spark, contract, Appointment_ID=[2]), contract, str(path), within=outside)
+    assert spark.read.parquet(str(path)).count() == 3
+
+
+def test_table_refuses_stored_keys(spark):
+    contract = contracts.infusion()
+    load.create_table(spark, contract, "infusion_sink")
+    row = rows_for(spark, contract, Appointment_ID=[1])
+    load.append_table(row, contract, "infusion_sink")
+    with pytest.raises(KeyViolation):
+        load.append_table(row, contract, "infusion_sink")
+    assert spark.table("infusion_sink").count() == 1
+
+
 def test_stages(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
-    kept = written(str(tmp_path))("pairs", df)
-    assert kept.count() == 2 and (tmp_path / "pairs.parquet").exists()
+    stage = written(str(tmp_path), "extract")
+    kept = stage("pairs", df)
+    assert kept.count() == 2 and len(list(tmp_path.glob("extract-*/pairs.parquet"))) == 1
+    with pytest.raises(Exception, match="already exists"):
+        stage("pairs", df)
     with pytest.raises(KeyViolation):
         verified({"pairs": ("k",)}, inline)("pairs", df)
-    assert verified({"other": ("k",)})("pairs", df) is df
+    assert verified({"other": ("k",)}, inline)("pairs", df) is df
 
 
 def test_warehouse_sources(spark, tmp_path):

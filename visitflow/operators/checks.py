@@ -14,7 +14,20 @@ class KeyViolation(ValueError):
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row; null counts as a value."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+
+
+def keys_held(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of the rows that other, already stored rows have too."""
+    names = [F.col(f"`{k}`") for k in keys]
+    return rows.select(*names).distinct().join(held.select(*names), list(keys), "left_semi")
+
+
+def assert_new(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    found = keys_held(rows, held, keys).take(1)
+    if found:
+        raise KeyViolation(f"key {list(keys)} is already stored: {found[0].asDict()}")
+    return rows
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:

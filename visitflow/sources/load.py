@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from visitflow.functions.stamps import round_to_minute, stamp_literal, stamp_text
 from visitflow.functions.text import blank
-from visitflow.operators.checks import assert_unique
+from visitflow.operators.checks import assert_new, assert_unique
 from visitflow.session import shared_dir
 from visitflow.sources.contracts import Contract, SinkColumn
-from visitflow.sources.staging import written
 
 
 def with_audit(df: DataFrame, tag: str, load_ts: datetime) -> DataFrame:
@@ -45,36 +44,98 @@ def _fail(message: Column, column: SinkColumn) -> Column:
     return F.raise_error(message).cast(column.type)
 
 
-def _checked(df: DataFrame, contract: Contract, check: bool) -> DataFrame:
-    """Conformed rows; with a key to check they are stored once, and the key is read from there.
-
-    The stored copy stays in the shared folder, named after the sink, until the cluster's own
-    retention removes it.
-    """
-    rows = conform(df, contract)
-    if not (check and contract.key):
-        return rows
-    path = f"{shared_dir(df.sparkSession)}/{contract.name}-{uuid.uuid4().hex}"
-    return assert_unique(written(path)("rows", rows), contract.key)
-
-
-def create_table(spark: SparkSession, contract: Contract, table: str) -> None:
-    """Drop and recreate an empty sink table."""
+def create_table(spark: SparkSession, contract: Contract, table: str, path: str | None = None) -> None:
+    """Drop and recreate an empty sink table, at a path of its own if one is given."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.createDataFrame([], contract.schema()).write.saveAsTable(table)
+    writer = spark.createDataFrame([], contract.schema()).write
+    (writer.option("path", path) if path else writer).mode("overwrite").saveAsTable(table)
 
 
-def append(df: DataFrame, contract: Contract, path: str, check: bool = True) -> None:
-    _checked(df, contract, check).write.mode("append").parquet(path)
+def append(
+    df: DataFrame, contract: Contract, path: str, check: bool = True, within: Column | None = None
+) -> None:
+    """Add rows to what the sink holds.
 
-
-def append_table(df: DataFrame, contract: Contract, table: str, check: bool = True) -> None:
-    _checked(df, contract, check).write.insertInto(table)
+    The rows are written once, beside the sink, their key is checked there and against the rows the
+    sink has, and then the written files become the sink's. A refused load leaves nothing behind.
+    `within` limits which stored rows can share a key, for a sink laid out by time.
+    """
+    _load(df, contract, path, check, replace=False, within=within)
 
 
 def reload(df: DataFrame, contract: Contract, path: str, check: bool = True) -> None:
     """Replace what the sink holds."""
-    _checked(df, contract, check).write.mode("overwrite").parquet(path)
+    _load(df, contract, path, check, replace=True)
+
+
+def append_table(df: DataFrame, contract: Contract, table: str, check: bool = True) -> None:
+    """Like `append`, into a catalog table; its own writer copies the checked rows."""
+    spark = df.sparkSession
+    staged = f"{shared_dir(spark)}/{contract.name}-{uuid.uuid4().hex}"
+    try:
+        rows = _staged(df, contract, staged)
+        if check and contract.key:
+            assert_unique(rows, contract.key)
+            assert_new(rows, spark.table(table), contract.key)
+        rows.write.insertInto(table)
+    finally:
+        _delete(spark, staged)
+
+
+def _load(df, contract, path, check, replace, within=None) -> None:
+    spark, path = df.sparkSession, path.rstrip("/")
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    try:
+        rows = _staged(df, contract, staged)
+        if check and contract.key:
+            assert_unique(rows, contract.key)
+            if not replace and _exists(spark, path):
+                held = spark.read.schema(contract.schema()).parquet(path)
+                assert_new(rows, held if within is None else held.filter(within), contract.key)
+        _publish(spark, staged, path, replace)
+    finally:
+        _delete(spark, staged)
+
+
+def _staged(df: DataFrame, contract: Contract, path: str) -> DataFrame:
+    conform(df, contract).write.parquet(path)
+    return df.sparkSession.read.schema(contract.schema()).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    """The path, and the file system it is in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place, files = _files(spark, path)
+    return files.exists(place)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place, files = _files(spark, path)
+    files.delete(place, True)
+
+
+def _publish(spark: SparkSession, staged: str, path: str, replace: bool) -> None:
+    """Move written files into the sink, or put the written folder in the sink's place."""
+    source, files = _files(spark, staged)
+    target, _ = _files(spark, path)
+    if replace:
+        old, _ = _files(spark, f"{path}.old-{uuid.uuid4().hex}")
+        had = files.exists(target) and files.rename(target, old)
+        if not files.rename(source, target):
+            if had:
+                files.rename(old, target)
+            raise OSError(f"cannot move the load to {path}")
+        files.delete(old, True)
+        return
+    files.mkdirs(target)
+    for status in files.listStatus(source):
+        name = status.getPath().getName()
+        if name.startswith("part-") and not files.rename(status.getPath(), _files(spark, f"{path}/{name}")[0]):
+            raise OSError(f"cannot move {name} to {path}")
 
 
 def flat_file(
@@ -98,6 +159,33 @@ def flat_file(
     return df.select(*out)
 
 
+def flat_cell(value: Column) -> Column:
+    """One value of a flat file.
+
+    A line break becomes a space. A value with a comma or a quote is put in quotes, with its quotes
+    doubled; one that is in quotes already keeps them, and only those inside are doubled.
+    """
+    text = F.regexp_replace(F.coalesce(value, F.lit("")), "\\r\\n|\\r|\\n", " ")
+    quoted = (F.length(text) > 1) & text.startswith('"') & text.endswith('"')
+    inner = F.when(quoted, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
+    whole = F.concat(F.lit('"'), F.replace(inner, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(quoted | text.contains(",") | text.contains('"'), whole).otherwise(text)
+
+
 def write_flat_file(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    rows = df.orderBy(*[F.col(f"`{c}`") for c in order]) if order else df
-    rows.write.mode("overwrite").option("header", True).option("quote", "").csv(path)
+    """Write all-text rows as comma-separated lines, sorted, with one header line.
+
+    The part files in order of their names make up the file; the first one begins with the header.
+    """
+    by = list(order) or df.columns
+    line = F.concat_ws(",", *[flat_cell(F.col(f"`{c}`")) for c in df.columns])
+    keys = [f"_o{i}" for i in range(len(by))]
+    lines = df.select(
+        F.lit(1).alias("_body"), *[F.col(f"`{c}`").alias(k) for c, k in zip(by, keys, strict=True)], line.alias("value")
+    )
+    head = df.sparkSession.range(1).select(
+        F.lit(0).alias("_body"),
+        *[F.lit(None).cast(lines.schema[k].dataType).alias(k) for k in keys],
+        F.concat_ws(",", *[flat_cell(F.lit(c)) for c in df.columns]).alias("value"),
+    )
+    head.unionByName(lines).orderBy("_body", *keys).select("value").write.mode("overwrite").text(path)

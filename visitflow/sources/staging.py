@@ -1,20 +1,24 @@
 """How frames that several steps read are kept.
 
-A plan passes every such frame through a `stage` function, by name:
+A plan passes every such frame through a `stage` function, by name. By default an extract stores them
+(`written`), so later steps neither recompute them nor depend on executors that may be lost.
 
+- `written(folder, extract)` stores frames as parquet in a folder all executors share, below a path
+  that belongs to this extract and this run alone, and never overwrites;
 - `inline` leaves everything in one lazy plan;
-- `written(folder)` stores such frames as parquet in a folder all executors share, so later steps
-  neither recompute them nor depend on executors that may be lost;
-- `verified(keys)` additionally refuses duplicate keys, as the source system did at each stage.
+- `verified(keys, then)` additionally refuses duplicate keys, as the source system did at each stage; the
+  check reads what is kept.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from visitflow.operators.checks import assert_unique
+from visitflow.session import shared_dir
 
 Stage = Callable[[str, DataFrame], DataFrame]
 
@@ -23,16 +27,23 @@ def inline(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def written(folder: str) -> Stage:
+def written(folder: str, extract: str) -> Stage:
+    run = f"{folder.rstrip('/')}/{extract}-{uuid.uuid4().hex}"
+
     def stage(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{name}.parquet"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
+        path = f"{run}/{name}.parquet"
+        df.write.mode("error").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     return stage
 
 
-def verified(keys: Mapping[str, Sequence[str]], then: Stage = inline) -> Stage:
+def usual(spark: SparkSession, extract: str, stage: Stage | None) -> Stage:
+    """The given stage, or storing in the shared folder."""
+    return written(shared_dir(spark), extract) if stage is None else stage
+
+
+def verified(keys: Mapping[str, Sequence[str]], then: Stage) -> Stage:
     def stage(name: str, df: DataFrame) -> DataFrame:
         kept = then(name, df)
         return assert_unique(kept, keys[name]) if name in keys else kept
