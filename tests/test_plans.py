@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from fixtures import registry
 from fixtures.queries_extracts import board_report, infusion_report, outpatient_report
 from fixtures.views import VIEWS, TestWarehouse
+from visitflow.operators import ordered
 from visitflow.operators.checks import duplicate_keys
+from visitflow.operators.cohort import left_to_many
 from visitflow.plans import infusion, outpatient, reviews, status_board
 from visitflow.sources import contracts
 from visitflow.sources.load import conform
@@ -29,21 +31,21 @@ def rows(df):
 
 
 def test_infusion_staged_and_verified_equals_inline(wh, tmp_path):
-    stage = verified(infusion.STAGE_KEYS, written(str(tmp_path)))
+    stage = verified(infusion.STAGE_KEYS, written(str(tmp_path), "infusion"))
     staged = infusion.report(
         wh, registry.RUN_DATE, registry.INFUSION_UNITS, registry.LOAD_TS, stage=stage
     )
     assert rows(staged) == rows(infusion_report(wh))
-    assert {p.stem for p in tmp_path.glob("*.parquet")} == set(infusion.STAGE_KEYS)
+    assert {p.stem for p in tmp_path.glob("*/*.parquet")} == set(infusion.STAGE_KEYS)
 
 
 def test_outpatient_staged_and_verified_equals_inline(wh, tmp_path):
-    stage = verified(outpatient.STAGE_KEYS, written(str(tmp_path)))
+    stage = verified(outpatient.STAGE_KEYS, written(str(tmp_path), "outpatient"))
     assert rows(outpatient_report(wh, stage=stage)) == rows(outpatient_report(wh))
 
 
 def test_board_staged_and_verified_equals_inline(wh, tmp_path):
-    stage = verified(status_board.STAGE_KEYS, written(str(tmp_path)))
+    stage = verified(status_board.STAGE_KEYS, written(str(tmp_path), "board"))
     staged = status_board.report(
         wh, registry.BOARD_RUN_DATE, registry.BOARD_CLINICS, registry.LOAD_TS, registry.ELEMENT,
         stage=stage,
@@ -51,6 +53,20 @@ def test_board_staged_and_verified_equals_inline(wh, tmp_path):
     assert rows(staged) == rows(board_report(wh))
 
 
+def test_two_extracts_share_a_folder(wh, tmp_path):
+    """Runs of two extracts, and a second run of one, keep their stages apart."""
+    def stage(name):
+        return written(str(tmp_path), name)
+
+    first = infusion.report(
+        wh, registry.RUN_DATE, registry.INFUSION_UNITS, registry.LOAD_TS, stage=stage("infusion")
+    )
+    second = outpatient_report(wh, stage=stage("outpatient"))
+    third = infusion.report(wh, registry.RUN_DATE, (0,), registry.LOAD_TS, stage=stage("infusion"))
+    assert rows(first) == rows(infusion_report(wh)) and rows(second) == rows(outpatient_report(wh))
+    assert rows(third) == rows(infusion_report(wh, (0,)))
+
+
 def test_extracts_fit_their_contracts(wh):
     extracts = (
         (infusion.table_rows(infusion_report(wh)), contracts.infusion()),
@@ -78,7 +94,7 @@ def test_one_patient_only(wh):
 
 def test_earlier_link_rule_finds_more(wh):
     def links(**options):
-        return outpatient_report(wh, **options).filter("next_id IS NOT NULL").count()
+        return outpatient_report(wh, with_link=True, **options).filter("next_id IS NOT NULL").count()
 
     assert links(keep_target=True) > links()
 
@@ -120,7 +136,7 @@ def test_busy_patient_day_leaves_extracts_unchanged(spark, wh):
     try:
         for parts in (1, 16):
             spark.conf.set(name, parts)
-            later = outpatient_report(skewed, keep_target=True)
+            later = outpatient_report(skewed, with_link=True, keep_target=True)
             found.append((rows(infusion_report(skewed)), rows(later)))
     finally:
         spark.conf.set(name, usual)
@@ -131,7 +147,10 @@ def test_busy_patient_day_leaves_extracts_unchanged(spark, wh):
 def stored(spark, wh, tmp_path_factory):
     """Source tables as plain parquet, so scans show what is pushed down."""
     folder = tmp_path_factory.mktemp("source")
-    for name in ("V_SCHED_APPT", "PATIENT", "MAR_ADMIN_INFO", "ORDER_MEDINFO", "PAT_ENC"):
+    for name in (
+        "V_SCHED_APPT", "PATIENT", "MAR_ADMIN_INFO", "ORDER_MEDINFO", "PAT_ENC", "PAT_ENC_APPT_NOTES",
+        "IP_FLWSHT_REC", "IP_FLWSHT_MEAS", "IP_FLO_GP_DATA",
+    ):
         wh[name].write.parquet(f"{folder}/{name}.parquet")
     return Warehouse(spark, folder=str(folder))
 
@@ -141,11 +160,12 @@ def scans(df, table):
     return [line for line in plan.splitlines() if "FileScan" in line and f"{table}.parquet" in line]
 
 
-def test_scans_are_bounded_by_the_window(stored):
+def test_scans_are_bounded_by_the_window(stored, monkeypatch):
+    monkeypatch.setattr(ordered, "stored", lambda df, label: df)  # one lazy plan, to see its scans
     window = (datetime(2024, 1, 1), datetime(2024, 1, 3))
     visits = infusion.linked_visits(stored, (0, 1), *window)
     found = scans(visits, "V_SCHED_APPT")
-    assert len(found) == 2
+    assert len(found) >= 2
     for scan in found:
         assert "GreaterThanOrEqual(APPT_DTTM,2024-01-01T00:00" in scan
         assert "LessThan" in scan.split("PushedFilters")[1]
@@ -178,6 +198,18 @@ def test_administration_scan_is_bounded(stored):
     assert "GreaterThanOrEqual(SCHEDULED_TIME" in scan and "MAR_ACTION_C" in scan
 
 
+def test_children_are_read_once(stored):
+    """A one-to-many left join stores the reduced children; its plan reads their table no more."""
+    child = stored["PAT_ENC_APPT_NOTES"].select(CSN, "LINE")
+    both = left_to_many(stored["V_SCHED_APPT"].select(CSN), child, CSN)
+    assert scans(both, "PAT_ENC_APPT_NOTES") == [] and len(scans(both, "V_SCHED_APPT")) >= 1
+
+
+def test_outpatient_measures_are_one_scan(stored):
+    visits = stored["PAT_ENC"].select(CSN, "INPATIENT_DATA_ID")
+    assert len(scans(outpatient.measures(stored, visits), "IP_FLWSHT_MEAS")) == 1
+
+
 def test_run_date_is_a_parameter():
     """Same inputs, same rows: no plan reads the clock."""
     import inspect

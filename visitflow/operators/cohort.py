@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions.stamps import stamp_literal
+from visitflow.session import stored
 
 
 def in_scope(
@@ -77,16 +78,14 @@ def rows_of(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return table.join(ids.select(key), key, "left_semi")
 
 
-def left_to_many(
-    parents: DataFrame, children: DataFrame, key: str, having: DataFrame | None = None
-) -> DataFrame:
+def left_to_many(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     """Left join to a table that may hold a large share of its rows under one key.
 
     Spark can split such a key in an inner join but not on the right of a left join. So parents
-    meet their children in an inner join, and parents without any are added with nulls. `having`
-    is a cheaper frame with the same keys as `children`, if there is one.
+    meet their children in an inner join, and parents without any are added with nulls. The children are
+    reduced to the parents' and stored first: their table is read once, and both parts read the rest.
     """
-    found = parents.join(children, key)
-    keys = (children if having is None else having).select(key).distinct()
-    childless = parents.join(keys, key, "left_anti")
+    kept = stored(rows_of(children, parents, key), "children")
+    found = parents.join(kept, key)
+    childless = parents.join(kept.select(key).distinct(), key, "left_anti")
     return found.unionByName(childless, allowMissingColumns=True)

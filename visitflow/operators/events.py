@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from visitflow import codes
 from visitflow.operators.cohort import left_to_many
+from visitflow.session import stored
 
 CSN = "PAT_ENC_CSN_ID"
 
@@ -183,10 +184,13 @@ def reconcile_timeline(
     events: DataFrame, appointments: DataFrame, stamps=MILESTONE_STAMPS
 ) -> DataFrame:
     """Events matched to appointment stamps of the same encounter at the very same time."""
-    happened = events.select(
-        F.col(CSN).alias("e_csn"),
-        F.col("EVENT_DISPLAY_NAME_iev").alias("EVENT_DISPLAY_NAME"),
-        F.col("EVENT_TIME_iev").alias("e_time"),
+    happened = stored(
+        events.select(
+            F.col(CSN).alias("e_csn"),
+            F.col("EVENT_DISPLAY_NAME_iev").alias("EVENT_DISPLAY_NAME"),
+            F.col("EVENT_TIME_iev").alias("e_time"),
+        ),
+        "events",
     )
     stamped = unpivot_stamps(appointments, stamps)
     same = (F.col("e_csn") == F.col(CSN)) & (F.col("e_time") == F.col("TimeDTTM"))
@@ -213,9 +217,6 @@ def open_and_used_slots(
         .select(F.col("CONTACT_DATE").alias("SLOT_DATE"))
         .distinct()
     )
-    # Few dates hold all slots, so shuffling by date would pile them up. The dates themselves are
-    # bounded by the calendar: a thousand years are 365,000 rows.
-    unbooked = slots.filter(F.col("APPT_NUMBER") == 0).join(
-        F.broadcast(dates), "SLOT_DATE", "left_semi"
-    )
+    # Few dates hold all slots; the join's size check or its splitting keeps them from piling up.
+    unbooked = slots.filter(F.col("APPT_NUMBER") == 0).join(dates, "SLOT_DATE", "left_semi")
     return used.unionByName(unbooked)

@@ -32,7 +32,7 @@ from visitflow.operators.milestones import milestone_columns, visit_measures
 from visitflow.sources.contracts import infusion as contract
 from visitflow.sources.contracts import summary_heading
 from visitflow.sources.load import flat_file, with_audit
-from visitflow.sources.staging import Stage, inline
+from visitflow.sources.staging import Stage, inline, usual
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS, FORWARD_MONTHS = 1, 2
@@ -145,10 +145,11 @@ def report(
     start: datetime | None = None,
     end: datetime | None = None,
     site: str = "",
-    stage: Stage = inline,
+    stage: Stage | None = None,
     patient: str | None = None,
 ) -> DataFrame:
     """Report rows before they are shaped for a sink; one row per in-scope visit."""
+    stage = usual(wh.spark, "infusion", stage)
     start, end = report_window(run_date, BACK_DAYS, FORWARD_MONTHS, start, end)
     visits = linked_visits(wh, departments, start, end, stage, patient)
     ids = visits.select(CSN)
@@ -213,14 +214,26 @@ def report(
         F.coalesce("Appointment Note", F.lit("|")).alias("Appointment Note"),
         F.col("CANCEL_REASON_NAME").alias("Cancel Reason Name"),
         F.col("PAT_ID").alias("patient_id"),
+        F.col("UPDATE_DATE").alias("update_stamp"),
         "plan_count",
         "Previous Unit Name",
     )
     return with_audit(rows, tag, load_ts)
 
 
-def table_rows(rows: DataFrame, site: str = "") -> DataFrame:
-    """Report rows as the sink table takes them."""
+_LATER = ("Appointment Resource", "REFERRING_PROV_NAME_WID", "Appointment Note", "Cancel Reason Name")
+
+
+def table_rows(rows: DataFrame, site: str = "", first_revision: bool = False) -> DataFrame:
+    """Report rows as the sink table takes them.
+
+    The first revision had no resources, referring provider, note or cancel reason, and did not round
+    the update time.
+    """
+    names = contract(site).names
+    if first_revision:
+        names = [n for n in names if n not in _LATER]
+        rows = rows.withColumn("UPDATE_DATE", stamp_text("update_stamp", blank=False))
     return rows.withColumns(
         {
             "Treatment Plan": clip_list("`Treatment Plan`", 200),
@@ -228,7 +241,7 @@ def table_rows(rows: DataFrame, site: str = "") -> DataFrame:
             "Appointment Resource": clip_list("`Appointment Resource`", 200),
             "Appointment Note": quote_list("`Appointment Note`", 1000),
         }
-    ).select(*[f"`{c}`" for c in contract(site).names])
+    ).select(*[f"`{c}`" for c in names])
 
 
 def flat_rows(rows: DataFrame, site: str = "") -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow import codes
@@ -26,7 +26,7 @@ from visitflow.operators.milestones import milestone_pivot, visit_measures
 from visitflow.sources.contracts import clinics as contract
 from visitflow.sources.contracts import summary_heading, vitals_heading
 from visitflow.sources.load import flat_file, with_audit
-from visitflow.sources.staging import Stage, inline
+from visitflow.sources.staging import Stage, inline, usual
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS, FORWARD_MONTHS = 3, 6
@@ -46,6 +46,25 @@ _APPT = (
 )
 
 
+_LINK = ("next_id", "next_time", "next_length", "next_department")
+
+
+def scoped_visits(
+    wh: Warehouse,
+    departments: Sequence,
+    providers: Sequence,
+    start: datetime,
+    end: datetime,
+    stage: Stage = inline,
+) -> DataFrame:
+    """Scoped visits on the days of the cohort's patients."""
+    appt = wh["V_SCHED_APPT"].select(*_APPT)
+    scope = in_scope(departments, providers)
+    cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
+    near = appt.filter(on_window_days("APPT_DTTM", start, end))
+    return stage("visits", expand_cohort(near, cohort, scope))
+
+
 def linked_visits(
     wh: Warehouse,
     departments: Sequence,
@@ -63,7 +82,7 @@ def linked_visits(
     """
     appt = wh["V_SCHED_APPT"].select(*_APPT)
     scope = in_scope(departments, providers)
-    cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
+    cohort = stage("link_cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
     linkable = scope | F.col("DEPARTMENT_ID").isin(*target) if keep_target else scope
     near = appt.filter(on_window_days("APPT_DTTM", start, end))
     linked = link_next(
@@ -81,20 +100,27 @@ def linked_visits(
             "next_department": F.col("DEPARTMENT_ID"),
         },
     )
-    return stage("visits", linked.filter(scope))
-
-
-def milestones(wh: Warehouse, visits: DataFrame, site: str = "") -> DataFrame:
-    measure, template = F.col("FLO_MEAS_ID"), F.col("FLT_ID")
-    answered = measure.isin(*codes.MEASURES_SUMMARY_GIVEN, *codes.MEASURES_PATIENT_VERIFIED)
-    rows = visit_measures(
-        visits,
-        wh["IP_FLWSHT_REC"],
-        wh["IP_FLWSHT_MEAS"],
-        wh["IP_FLO_GP_DATA"],
-        (answered & (F.col("MEAS_VALUE") == "Yes"))
-        | template.isin(*codes.TEMPLATES_VITALS_MERGED),
-    ).withColumn(
+    return stage("links", linked.filter(scope))
+
+
+def _marks() -> Column:
+    answered = F.col("FLO_MEAS_ID").isin(*codes.MEASURES_SUMMARY_GIVEN, *codes.MEASURES_PATIENT_VERIFIED)
+    return (answered & (F.col("MEAS_VALUE") == "Yes")) | F.col("FLT_ID").isin(*codes.TEMPLATES_VITALS_MERGED)
+
+
+def _tracked() -> Column:
+    return F.col("FLO_MEAS_ID").isin(codes.MEASURE_ROOM, codes.MEASURE_TRACK)
+
+
+def measures(wh: Warehouse, visits: DataFrame) -> DataFrame:
+    """The visits' flowsheet rows that milestones and histories are made of, in one pass."""
+    return visit_measures(
+        visits, wh["IP_FLWSHT_REC"], wh["IP_FLWSHT_MEAS"], wh["IP_FLO_GP_DATA"], _marks() | _tracked()
+    )
+
+
+def milestones(measured: DataFrame, site: str = "") -> DataFrame:
+    rows = measured.filter(_marks()).withColumn(
         "FLT_ID", canonical_code("FLT_ID", codes.TEMPLATES_VITALS_MERGED, codes.TEMPLATE_VITALS)
     )
     return milestone_pivot(
@@ -110,15 +136,9 @@ def milestones(wh: Warehouse, visits: DataFrame, site: str = "") -> DataFrame:
     )
 
 
-def histories(wh: Warehouse, visits: DataFrame) -> DataFrame:
+def histories(measured: DataFrame) -> DataFrame:
     """Room and track histories of a visit as parallel lists."""
-    rows = visit_measures(
-        visits,
-        wh["IP_FLWSHT_REC"],
-        wh["IP_FLWSHT_MEAS"],
-        wh["IP_FLO_GP_DATA"],
-        F.col("FLO_MEAS_ID").isin(codes.MEASURE_ROOM, codes.MEASURE_TRACK),
-    )
+    rows = measured.filter(_tracked())
     names = {
         codes.MEASURE_ROOM: ("Patient_Room", "Patient_Room_Recorded_DtTm"),
         codes.MEASURE_TRACK: ("Patient_Track", "Patient_Track_Recorded_DtTm"),
@@ -151,17 +171,22 @@ def report(
     back_days: int = BACK_DAYS,
     forward_months: int = FORWARD_MONTHS,
     keep_target: bool = False,
+    with_link: bool = False,
     with_referrals: bool = False,
     site: str = "",
-    stage: Stage = inline,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Report rows before they are shaped for a sink; one row per scoped visit.
 
-    Lists carry no trailing separator here. Referral dates are not exported; `with_referrals`
-    adds them.
+    Lists carry no trailing separator here. No sink takes referral dates or the link to a later visit;
+    `with_referrals` and `with_link` add them.
     """
+    stage = usual(wh.spark, "outpatient", stage)
     start, end = report_window(run_date, back_days, forward_months, start, end)
-    visits = linked_visits(wh, departments, providers, target, start, end, keep_target, stage)
+    visits = scoped_visits(wh, departments, providers, start, end, stage)
+    if with_link:
+        links = linked_visits(wh, departments, providers, target, start, end, keep_target, stage)
+        visits = visits.join(links.select(CSN, *_LINK), CSN)
     ids = visits.select(CSN)
     encounters = rows_of(wh["PAT_ENC"], ids, CSN).select(
         CSN, "INPATIENT_DATA_ID", "ENC_TYPE_C", F.col(CSN).alias("enc_csn"),
@@ -177,7 +202,7 @@ def report(
         rows_of(wh["PAT_ENC_APPT_NOTES"].filter(non_empty("APPT_NOTE")), ids, CSN),
         [CSN], "LINE", "APPT_NOTE", "notes", trailing=False, unique_lines=True,
     )
-    measured = encounters.select(CSN, "INPATIENT_DATA_ID")
+    measured = stage("measures", measures(wh, encounters.select(CSN, "INPATIENT_DATA_ID")))
     updates = rows_of(wh["F_SCHED_APPT"], ids, CSN).select(CSN, "UPDATE_DATE")
     status = wh["ZC_APPT_STATUS"].select(
         F.col("APPT_STATUS_C").alias("enc_status"), F.col("NAME").alias("APPT_STATUS_NAME")
@@ -187,8 +212,8 @@ def report(
         .join(encounters, CSN, "left")
         .join(reasons, CSN, "left")
         .join(notes, CSN, "left")
-        .join(histories(wh, measured), CSN, "left")
-        .join(milestones(wh, measured, site), CSN, "left")
+        .join(histories(measured), CSN, "left")
+        .join(milestones(measured, site), CSN, "left")
         .join(wh["CLARITY_DEP"].select("DEPARTMENT_ID", "DEPARTMENT_NAME"), "DEPARTMENT_ID", "left")
         .join(wh["CLARITY_SER"].select("PROV_ID", "PROV_NAME"), "PROV_ID", "left")
         .join(status, "enc_status", "left")
@@ -231,12 +256,8 @@ def report(
         "VISIT_END_DTTM",
         "CHECKOUT_DTTM",
         *_MINUTES,
-        link_flag("next_id", "1", "0").alias("Linked Appointment Flag"),
         face_to_face("ENC_TYPE_C").alias("F2F_Flag"),
-        "next_id",
-        "next_time",
-        "next_length",
-        "next_department",
+        *([link_flag("next_id", "1", "0").alias("Linked Appointment Flag"), *_LINK] if with_link else ()),
         *(("ENTRY_DATE", "CHANGE_DATE") if with_referrals else ()),
     )
     return with_audit(rows, tag, load_ts)

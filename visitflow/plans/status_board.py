@@ -27,7 +27,7 @@ from visitflow.operators.events import recorded_events, with_note_lines
 from visitflow.operators.lists import enumerate_lines
 from visitflow.sources.contracts import status_board as contract
 from visitflow.sources.load import flat_file, with_audit
-from visitflow.sources.staging import Stage, inline
+from visitflow.sources.staging import Stage, inline, usual
 from visitflow.sources.warehouse import Warehouse
 
 BACK_DAYS = 3
@@ -148,9 +148,10 @@ def report(
     end: datetime | None = None,
     forward_months: int | None = None,
     event_types: Sequence[str] = codes.BOARD_EVENT_TYPES,
-    stage: Stage = inline,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Report rows: each visit with each of its events, or once without. Lists are unterminated."""
+    stage = usual(wh.spark, "status_board", stage)
     start, end = report_window(run_date, BACK_DAYS, forward_months, start, end)
     cohort, visits = scoped_visits(wh, departments, start, end, stage)
     ids = visits.select(CSN)
@@ -160,7 +161,7 @@ def report(
     events = with_note_lines(recorded, wh["HNO_NOTE_TEXT"]).select(
         CSN, "EVENT_DISPLAY_NAME_iev", "EVENT_TIME_iev"
     )
-    shown = left_to_many(ids, events, CSN, having=recorded)
+    shown = left_to_many(ids, events, CSN)
     rows = shown.join(detail, CSN).select(
         F.col(CSN).alias("PAT_ENC_CSN_ID_unhashed"),
         pseudonym("enc_csn", 18).alias(CSN),
