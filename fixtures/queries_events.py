@@ -62,6 +62,14 @@ def sample(wh):
     return sample_encounters(wh["V_SCHED_APPT"], SAMPLE_DEPARTMENTS, SINCE)
 
 
+SAMPLE_IDS = tuple(range(0, 2000, 3))
+
+
+@query("sample_encounters_by_id", f"WITH {SAMPLE_SQL} SELECT {CSN} FROM csns WHERE {CSN} IN {ids(SAMPLE_IDS)}")
+def _(wh):
+    return sample_encounters(wh["V_SCHED_APPT"], SAMPLE_DEPARTMENTS, SINCE, ids=SAMPLE_IDS)
+
+
 EVENT_COLUMNS = (
     "PAT_ID", CSN, "TYPE_ID_pat", "EVENT_ID_pat", "EVENT_TYPE_iev", "EVENT_ID_iev",
     "EVENT_DISPLAY_NAME_iev", "LINE_iev", "EVENT_TIME_iev", "EVENT_CMT_iev", "RECORD_NAME_iev",

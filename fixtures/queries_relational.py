@@ -1,20 +1,18 @@
 """Filters, joins, aggregations, windows, set and scalar forms the source queries use."""
 
-import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 
-from fixtures.queries_extracts import board_table
 from fixtures.registry import query
 from fixtures.sql import CSN
 from visitflow.functions.stamps import minutes_between
 from visitflow.functions.text import clip
 from visitflow.operators.checks import duplicate_keys
+from visitflow.operators.cohort import left_to_many, rows_of
+from visitflow.operators.milestones import milestone_pivot
 from visitflow.operators.ordered import following, previous, with_neighbours
 from visitflow.plans.outpatient import referral_dates
-from visitflow.session import shared_dir
-from visitflow.sources import contracts, load
 
 
 def appt(wh):
@@ -106,8 +104,8 @@ def _(wh):
           SELECT DISTINCT {CSN} FROM V_SCHED_APPT WHERE APPT_STATUS_C = 2)""",
 )
 def _(wh):
-    done = appt(wh).filter(F.col("APPT_STATUS_C") == 2).select(CSN).distinct()
-    return wh["PAT_ENC_APPT"].join(done, CSN, "left_semi").select(CSN, "LINE")
+    done = appt(wh).filter(F.col("APPT_STATUS_C") == 2)
+    return rows_of(wh["PAT_ENC_APPT"], done, CSN).select(CSN, "LINE")
 
 
 @query(
@@ -229,8 +227,8 @@ def _(wh):
           WHERE APPT_STATUS_C = 2) c ON c.{CSN} = p.{CSN}""",
 )
 def _(wh):
-    done = appt(wh).filter(F.col("APPT_STATUS_C") == 2).select(CSN)
-    return wh["ED_IEV_PAT_INFO"].join(done, CSN, "left_semi").select("EVENT_ID")
+    done = appt(wh).filter(F.col("APPT_STATUS_C") == 2)
+    return rows_of(wh["ED_IEV_PAT_INFO"], done, CSN).select("EVENT_ID")
 
 
 @query(
@@ -253,7 +251,7 @@ def _(wh):
 )
 def _(wh):
     notes = wh["PAT_ENC_APPT_NOTES"].select(CSN, "LINE")
-    return appt(wh).select(CSN).join(notes, CSN, "left")
+    return left_to_many(appt(wh).select(CSN), notes, CSN)
 
 
 # --- Aggregation, windows, sets -------------------------------------------------------------------
@@ -304,7 +302,8 @@ def _(wh):
          max(ts) FILTER (WHERE event_type = 'click') AS click FROM events GROUP BY user_id""",
 )
 def _(wh):
-    return wh["events"].groupBy("user_id").pivot("event_type", ["view", "click"]).agg(F.max("ts"))
+    wanted = {"view": ("view", "last"), "click": ("click", "last")}
+    return milestone_pivot(wh["events"], ["user_id"], "event_type", "ts", wanted)
 
 
 @query(
@@ -418,32 +417,3 @@ def _(wh):
 )
 def _(wh):
     return duplicate_keys(wh["MAR_ADMIN_INFO"], ["USER_ID", "LINE"])
-
-
-def _written(wh, loads: int, write):
-    """Load the status board `loads` times and read the sink back."""
-    path = f"{shared_dir(wh.spark)}/sink-{uuid.uuid4().hex}"
-    rows, contract = board_table(wh), contracts.status_board()
-    for _ in range(loads):
-        write(rows, contract, path)
-    stored = wh.spark.read.parquet(path)
-    return stored.groupBy(F.col("PAT_ENC_CSN_ID_unhashed").cast("long").alias("id")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max("EVENT_DTTM").alias("last_event")
-    )
-
-
-def _sink_sql(factor: int) -> str:
-    from fixtures.queries_extracts import BOARD_SQL
-
-    return f"""{BOARD_SQL} SELECT id, count(*) * {factor} AS n_rows, max(event_time) AS last_event
-        FROM report GROUP BY id"""
-
-
-@query("sink_append", _sink_sql(2))
-def _(wh):
-    return _written(wh, 2, load.append)
-
-
-@query("sink_reload", _sink_sql(1))
-def _(wh):
-    return _written(wh, 2, load.reload)
