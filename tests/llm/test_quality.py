@@ -302,7 +302,7 @@ def test_equal_rows_are_balanced(spark):
 
 
 def test_shards_are_written(spark, tmp_path):
-    docs = cases.frame(spark, cases.rows())
+    docs = cases.with_clashes(cases.frame(spark, cases.rows()))
     sharding.write(docs, str(tmp_path / "out"), 3)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(str, back.select(docs.columns).collect())) == sorted(map(str, docs.collect()))

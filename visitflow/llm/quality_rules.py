@@ -10,8 +10,8 @@ probability 1 - error, in every stratum, all rules together reject at most `shar
 
 A stratum with too few labelled documents to certify a cutoff gets none: only the base rules hold there.
 
-Defined cases: a null text has no words. Labels that are null or of unknown documents are not used. A null
-stratum is one of its own. Repeated rows are each judged. An empty table gives no rows.
+Defined cases: a null text has no words. Labels that are null or of unknown documents are not used. A null or
+missing stratum is one of its own. Repeated rows are each judged. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def _repeated(words: Column) -> Column:
 
 
 def _top_word(words: Column) -> Column:
-    """How often the word occurs that fills the middle of the sorted words: exact where one word fills half."""
+    """How often the most common word occurs: the longest run of the sorted words."""
     return F.aggregate(
         F.array_sort(F.transform(words, lambda w: F.xxhash64(w))),
         F.struct(F.lit(0).cast("long").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("top")),
@@ -134,6 +134,8 @@ def judged(
     docs: DataFrame, labels: DataFrame, stratum: str = "lang", share: float = 0.05, error: float = 0.05
 ) -> DataFrame:
     """Rows (doc_id, statistics, base_failed, kept)."""
+    if stratum not in docs.columns:
+        docs = docs.withColumn(stratum, F.lit(None).cast("string"))
     rows = statistics(docs, stratum).withColumn("base_failed", base_failed())
     rows = rows.withColumn("_stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
     cutoffs = certified(rows, labels, share, error)

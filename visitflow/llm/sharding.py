@@ -18,15 +18,23 @@ from visitflow.llm import shared
 
 
 def with_shards(rows: DataFrame, size: str, keys: list[str], shards: int) -> DataFrame:
-    """Add `shard` (0 to shards - 1) and `slot` (0, 1, ... in the shard) to rows in the order of keys."""
-    ranked = shared.stored(shared.with_rank(rows, keys, size), "ranked")
-    total = ranked.agg(F.sum(size)).first()[0] or 1
-    cut = ranked.withColumn("shard", F.least(F.lit(shards - 1), F.expr(f"cast((2 * before + `{size}`) * {shards}L div {2 * total}L AS int)")))
+    """Add `shard` (0 to shards - 1) and `slot` (0, 1, ... in the shard) to rows in the order of keys.
+
+    Columns of these two names are replaced; others stay, whatever their names.
+    """
+    names = [f"_key{i}" for i in range(len(keys))]
+    whole = rows.select(
+        F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"),
+        F.col(f"`{size}`").cast("long").alias("_size"),
+        *[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)],
+    )
+    ranked = shared.stored(shared.with_rank(whole, names, "_size"), "ranked")
+    total = ranked.agg(F.sum("_size")).first()[0] or 1
+    middle = f"cast((2 * before + _size) * {shards}L div {2 * total}L AS int)"
+    cut = ranked.withColumn("shard", F.least(F.lit(shards - 1), F.expr(middle)))
     begins = cut.groupBy("shard").agg(F.min("position").alias("_begin"))  # one row for each shard
-    return (
-        cut.join(begins, "shard").withColumn("slot", F.col("position") - F.col("_begin"))
-        .select(*rows.columns, "shard", "slot")
-    )
+    kept = [F.col(f"_row.`{c}`") for c in rows.columns if c not in ("shard", "slot")]
+    return cut.join(begins, "shard").select(*kept, "shard", (F.col("position") - F.col("_begin")).alias("slot"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
