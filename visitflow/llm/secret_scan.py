@@ -152,15 +152,18 @@ def scan(docs: DataFrame, path: str = "source", findings: DataFrame | None = Non
         .unionByName(known.where("label = 0").orderBy(*order).limit(MAX_LABELLED).select(columns)),
         "labelled",
     )
-    seen = sorted(r.label for r in sample.select("label").distinct().collect())
+    sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+    seen = sorted(sizes)
     if len(seen) < 2:
         return _judged(rows.withColumn("score", F.lit(seen[0] if seen else 0.0)))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="label", probabilityCol="_probability", rawPredictionCol="_raw",
-        predictionCol="_prediction", numTrees=30, maxDepth=6, featureSubsetStrategy="sqrt", seed=seed,
+        predictionCol="_prediction", weightCol="_weight", numTrees=30, maxDepth=6, featureSubsetStrategy="sqrt", seed=seed,
     )
-    model = forest.fit(vectors.transform(sample))
+    weight = F.when(F.col("label") == 1, 0.5 / sizes[1.0]).otherwise(0.5 / sizes[0.0])  # both labels weigh the same
+    total = sum(sizes.values())
+    model = forest.fit(vectors.transform(sample).withColumn("_weight", weight * total))
     return _judged(model.transform(vectors.transform(rows)).withColumn("score", vector_to_array("_probability")[1]))
 
 
