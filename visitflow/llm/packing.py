@@ -63,6 +63,7 @@ def packed(
                         ids, held, total = [], [], 0
         if ids:
             yield from _pieces(ids, held, number, capacity, linear, quadratic)
+        encode.forget()
 
     return texts.mapInArrow(run, PIECES)
 

@@ -1,25 +1,55 @@
 """Encoding of texts with a tokenizers-library file, inside tasks.
 
-The library normalises and splits text without regard to what lies beyond white space, so a text's ids
-are the ids of its words (runs of bytes other than space and \\t to \\r) one after another. Each word is
-encoded by the library once and remembered; tests compare whole texts with the library's own result.
+All ids come from the library; what repeats is looked up. With a file whose normaliser and splitter are
+the known ones (KNOWN), neither looks beyond white space, so a text's ids are the ids of its words (runs of
+bytes other than space and \\t to \\r) one after another, and a plain ASCII word is split between letters,
+single digits and other marks. Words and such pieces are encoded once and remembered. Texts for any
+other file are encoded whole. Tests compare whole texts with the library's own result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from pathlib import Path
+from struct import pack
 
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 #: Words that a worker remembers in each of two generations (about 200 bytes each), and the longest of them.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 LONGEST = 64
 #: A control character that stands between words that are encoded together; it is one token.
 MARK = "\x01"
 
+#: The normaliser and splitter of the tokenizer file for which words may be encoded apart.
+KNOWN = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_plain = re.compile(rb"[!-&(-~]+").fullmatch
+_pieces = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+").findall
 _encoders: dict[bytes, Encoder] = {}
 
 
@@ -43,36 +73,57 @@ class Encoder:
 
         self._library = Tokenizer.from_str(content.decode())
         self._library.encode_special_tokens = True  # a special token's string in a text is ordinary text
-        self._known: dict[bytes, bytes] = {}
-        self._older: dict[bytes, bytes] = {}
-        (self._mark,) = self._library.encode(MARK, add_special_tokens=False).ids
         self.size = self._library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        stated = json.loads(content)
+        self._apart = all(stated.get(k) == v for k, v in KNOWN.items())
+        self._mark = self._library.encode(MARK, add_special_tokens=False).ids
+        self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+        self._parts: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind) for e in found]
 
     def _encoded(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, from a few library calls over many words with a mark between them."""
-        texts = [w.decode("utf-8", "replace") for w in words]
-        if any(MARK in t for t in texts):
-            return [self._ids(t) for t in texts]
-        some = [texts[k : k + 500] for k in range(0, len(texts), 500)]
-        out = []
-        for e, part in zip(
-            self._library.encode_batch_fast([f" {MARK} ".join(x) for x in some], add_special_tokens=False),
-            some,
-            strict=True,
-        ):
-            ids = np.array(e.ids, self.kind)
-            at = np.flatnonzero(ids == self._mark)
-            if len(at) != len(part) - 1:
-                raise ValueError("the tokenizer does not keep words apart")
+        """The ids of words that may hold anything, from library calls over many with a mark between them."""
+        out, mark = [], MARK.encode()
+        for lo in range(0, len(words), 500):
+            some = [w.decode("utf-8", "replace") for w in words[lo : lo + 500]]
+            (ids,) = self._ids([f" {MARK} ".join(some)])
+            ends = np.append(np.flatnonzero(ids == self._mark[0]), len(ids))
+            if len(ends) != len(some) or any(mark in w for w in words[lo : lo + 500]):
+                out += [x.tobytes() for x in self._ids(some)]
+                continue
+            begins = np.append(0, ends[:-1] + 1)
             data, wide = ids.tobytes(), ids.itemsize
-            begins = [0, *((at + 1) * wide).tolist()]
-            ends = [*(at * wide).tolist(), len(data)]
-            out += [data[x:y] for x, y in zip(begins, ends, strict=True)]
+            out += [data[x:y] for x, y in zip((begins * wide).tolist(), (ends * wide).tolist(), strict=True)]
+        return out
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words not met before. Pieces of plain words need no normalising, so the library's model
+        encodes them at once."""
+        if len(self._parts) > CACHE_WORDS:
+            self._parts = {}
+        parts, encode, letter = self._parts, self._library.model.tokenize, self.kind.char
+        out, rest = {}, []
+        for w in new:
+            if len(w) > LONGEST or not _plain(w):
+                rest.append(w)
+                continue
+            own = _pieces(w.lower())
+            for p in own:
+                if p not in parts:
+                    ids = [t.id for t in encode(p.decode())]
+                    parts[p] = pack(f"<{len(ids)}{letter}", *ids)
+            out[w] = parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own])
+        out.update(zip(rest, self._encoded(rest), strict=True))
         return out
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self._library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+    def forget(self) -> None:
+        """Give back the memory of remembered words."""
+        self._known, self._older, self._parts = {}, {}, {}
 
     def __call__(self, text: bytes) -> np.ndarray:
         """The ids of a whole text, as unsigned integers of self.kind."""
@@ -80,6 +131,8 @@ class Encoder:
 
     def many(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of whole texts."""
+        if not self._apart or len(self._mark) != 1:
+            return self._ids([t.decode("utf-8", "replace") for t in texts])
         split = [t.split() for t in texts]
         if len(self._known) > CACHE_WORDS:
             self._known, self._older = {}, self._known
@@ -89,8 +142,7 @@ class Encoder:
         new = list(new.difference(known))
         long: dict[bytes, bytes] = {}
         for lo in range(0, len(new), 20_000):
-            some = new[lo : lo + 20_000]
-            for w, x in zip(some, self._encoded(some), strict=True):
+            for w, x in self._learn(new[lo : lo + 20_000]).items():
                 (known if len(w) <= LONGEST else long)[w] = x
         ids = known | long if long else known
         return [np.frombuffer(b"".join(map(ids.__getitem__, words)), self.kind) for words in split]
