@@ -9,8 +9,8 @@ The fit uses at most MAX_LABELLED labelled rows, those with the smallest hashes
 and doc_id are never measured. Everything else covers all rows.
 
 Defined cases: null and empty texts have all measures 0 and get a score like others. Labels that are
-null or of unknown documents are not used. With no labelled row, or one class only, the score is the share
-of label 1 (0.5 without rows). Repeated rows are each scored; rows without doc_id too. Other columns
+null or of unknown documents are not used. With no labelled row, one class only, or labels that no rule tells apart, the
+score is the share of label 1 (0.5 without rows). Repeated rows are each scored; rows without doc_id too. Other columns
 are not read.
 """
 
@@ -94,10 +94,8 @@ def scored(docs: DataFrame, labels: DataFrame, usable: Column, target: str = "qu
 def accepted(docs: DataFrame, labels: DataFrame, usable: Column, target: str = "quality") -> DataFrame:
     """The rows of docs, as they are, whose score is 0.5 or more. Texts are measured as they pass, not joined."""
     score = _fit(_measured(docs), labels, usable, target)
-    whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
-    )
-    schema = "doc_id long, " + ", ".join(f"{m} double" for m in MEASURES) + f", row {docs.schema.simpleString()}"
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    schema = "row " + docs.schema.simpleString() + "".join(f", {m} double" for m in MEASURES)
     return whole.mapInArrow(_carrying, schema).where(score >= 0.5).select("row.*")
 
 
@@ -109,9 +107,11 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def _carrying(batches):
     for batch in batches:
-        done = 0
-        for found in measures([batch]):
-            yield found.append_column("row", batch.column("row").slice(done, found.num_rows))
+        row, done = batch.column("row"), 0
+        texts = pa.RecordBatch.from_arrays([row.field("doc_id"), row.field("text")], ["doc_id", "text"])
+        for found in measures([texts]):
+            own = row.slice(done, found.num_rows)
+            yield pa.RecordBatch.from_arrays([own, *found.columns[1:]], ["row", *MEASURES])
             done += found.num_rows
 
 
@@ -129,10 +129,10 @@ def _fit(measured: DataFrame, labels: DataFrame, usable: Column, target: str) ->
 
 def fitted(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty: float = 2e-4):
     """(intercept, [(weight, rule)]) for measures x and labels y."""
-    if not len(y) or y.all() or not y.any():
+    rules = sorted(_rules(x, y, trees, depth)) if y.any() and not y.all() else []
+    if not rules:
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
         return float(np.log(share / (1 - share))), []
-    rules = sorted(_rules(x, y, trees, depth))
     held = np.stack([_holds(rule, x) for rule in rules], 1)
     held, first = np.unique(held, axis=1, return_index=True)
     varied = (held.mean(0) > 0.001) & (held.mean(0) < 0.999)
