@@ -7,12 +7,15 @@ stage keeps one.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitflow.llm import ngram_join, packing, rule_ensemble, secret_scan, shared, substring_dedup
+from visitflow.llm.hashing import restored, squeezed
 from visitflow.llm.queries import held_out
 from visitflow.llm.vocabularies import word_bpe
 
@@ -24,20 +27,38 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest doc_id, of each group alike in 5-word shingles by 0.8."""
-    shared.ready(spark)
     groups = ngram_join.similar_groups(docs, width=5, percent=80)
     others = shared.stored(
         groups.where("component_id < doc_id").select(F.col("doc_id").alias("_other")).distinct(), "others"
     )
-    left = docs.join(others, F.col("doc_id") == F.col("_other"), "left_anti")
-    each = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())  # rows without id are not repeats
-    first = F.row_number().over(Window.partitionBy("doc_id", each).orderBy(F.xxhash64("text")))
-    return left.withColumn("_row", first).where("_row = 1").select(docs.columns)
+    at = docs.columns.index("text")
+    names = [f"_{k}" for k in range(len(docs.columns))]
+    kinds = [docs.schema[c].dataType.simpleString() for c in docs.columns]
+    small = docs.toDF(*names).mapInArrow(
+        _with_text(at, squeezed), ", ".join(f"{n} {'binary' if k == at else t}" for k, (n, t) in enumerate(zip(names, kinds, strict=True)))
+    )
+    key = F.col(names[docs.columns.index("doc_id")])
+    left = small.join(others, key == F.col("_other"), "left_anti")
+    each = F.when(key.isNull(), F.monotonically_increasing_id())  # rows without id are not repeats
+    first = F.row_number().over(Window.partitionBy(key, each).orderBy(F.xxhash64(names[at])))
+    kept = left.withColumn("_row", first).where("_row = 1").select(names)
+    schema = ", ".join(f"{n} {t}" for n, t in zip(names, kinds, strict=True))
+    return kept.mapInArrow(_with_text(at, lambda x: restored(x).cast(pa.string())), schema).toDF(*docs.columns)
+
+
+def _with_text(at: int, change):
+    """Batches with the text column, the one at this place, changed; it travels compressed."""
+    def run(batches):
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[at] = change(columns[at])
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return run
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words that an earlier one has; those left without words go."""
-    shared.ready(spark)
     kept = substring_dedup.without_repeats(docs, size=50)
     changed = F.col("n_removed") > 0
     return kept.where("n_removed = 0 OR n_removed < n_words").select(
@@ -52,23 +73,38 @@ def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with each secret that the forest confirms masked; all documents stay."""
-    shared.ready(spark)
     found = shared.stored(secret_scan.scan(docs).where("is_secret"), "secrets")
     return secret_scan.masked(docs, found)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens."""
-    shared.ready(spark)
     return packing.packed(docs, word_bpe(), capacity=4096, end_id=2)
 
 
+_last: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """A stage whose intermediate tables go when the next stage begins: its rows are written by then."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        shared.ready(spark)
+        if spark in _last:
+            shared.delete(spark, _last.pop(spark))
+        with shared.scratch(spark) as path:
+            _last[spark] = path
+            return work(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality classifier", good_documents),
-    ("n-gram Jaccard join", distinct_documents),
-    ("substring dedup", fresh_passages),
-    ("secret scans", without_secrets),
-    ("packing", packed_sequences),
+    ("quality classifier", _stage(good_documents)),
+    ("n-gram Jaccard join", _stage(distinct_documents)),
+    ("substring dedup", _stage(fresh_passages)),
+    ("secret scans", _stage(without_secrets)),
+    ("packing", _stage(packed_sequences)),
 ]
 
 #: Its trained and tokenizing stages have no SQL form; tests/llm compares it with a brute-force version.

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 WINDOW = 1 << 19
 
@@ -49,6 +50,20 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (raw[at[0] : at[-1]], at - at[0]) if len(at) else (raw[:0], np.zeros(1, np.int64))
 
 
+def squeezed(column: pa.Array) -> pa.Array:
+    """Texts as they travel to a join: about half as large as Spark's own compression leaves them."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    raw, at = bytes_of(column)
+    texts = [squeeze(raw[s:e]) for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    return pa.array(texts, pa.binary(), mask=column.is_null().to_numpy(zero_copy_only=False))
+
+
+def restored(column: pa.Array) -> pa.Array:
+    """The texts again, as bytes; null stays null."""
+    restore = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if x is None else restore(x) for x in column.to_pylist()], pa.binary())
+
+
 class Words:
     """Where the words of texts lie (byte positions), their hashes, and each text's first word."""
 

@@ -6,8 +6,9 @@ that can hold a link are multiplied:
 
 1. Documents with the same set are one node (the smallest doc_id).
 2. Linked sets differ in at most d shingles, and d follows from their size. Each set is cut by hash into
-   d + 2 segments, so two linked sets agree in two whole segments at least. Sets that share a segment are
-   candidates. A common passage fills no segment by itself, so it makes no candidates.
+   d + s segments, so two linked sets agree in s whole segments at least. Sets that share a segment are
+   candidates. A common passage fills no segment by itself, so it makes no candidates. Empty segments
+   count only for a set that has s of them; s is three and three times the share that is expected empty.
 3. Connected candidates form clusters. Documents in order of cluster and size are cut into blocks of
    bounded weight, and each pair of blocks that shares a segment is one task. It adds up overlap counts
    over column slices and discards pairs whose sizes, or whose count plus what is left, cannot reach the
@@ -31,14 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.llm import shared
-from visitflow.llm.hashing import ShingleSets, Words, bytes_of, mix, text_groups
+from visitflow.llm.hashing import ShingleSets, Words, bytes_of, mix, restored, squeezed, text_groups
 
 #: Shingles in a block; a document counts ROW_WEIGHT more, which bounds the documents in a block.
 BLOCK_WEIGHT = 1 << 18
 ROW_WEIGHT = 512
 #: Bytes of one dense column slice.
 SLICE_BYTES = 32 << 20
-_SPARE = 2
 
 
 def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -60,9 +60,10 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     twofold = own.where("rep < last_rep").select("doc_id")
     known = of_class.join(twofold, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    rows = texts.where("doc_id IS NOT NULL").mapInArrow(_signatures(width, percent), "sig long, doc_id long")
-    hits = shared.stored(_repeated(rows).select("sig", "doc_id"), "hits")
-    groups = shared.stored(_repeated(hits.join(copies, "doc_id", "left_anti").select("sig", "doc_id")), "groups")
+    rows = texts.where("doc_id IS NOT NULL").mapInArrow(_signatures(width, percent), "sig long, doc_id long, tag int")
+    hits = shared.stored(_repeated(rows).drop("head").join(copies, "doc_id", "left_anti"), "hits")
+    groups = shared.stored(_repeated(_enough(_repeated(hits))), "groups")
+    shared.discard(hits)
     clusters = shared.components(groups.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
     nodes = clusters.join(own, F.col("node") == F.col("doc_id")).select(
         F.col("root").alias("cluster"), "n", "doc_id", (F.col("n") + ROW_WEIGHT).alias("weight")
@@ -73,14 +74,17 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         ),
         "placed",
     )
+    packed = texts.where("doc_id IS NOT NULL").mapInArrow(_compressed, "doc_id long, text binary")
     sets = shared.stored(
-        texts.join(placed, "doc_id").mapInArrow(
+        packed.join(placed, "doc_id").mapInArrow(
             _members(width), "block long, cluster long, doc_id long, grams binary"
         ),
         "sets",
     )
     found = _paired(sets, groups, placed).groupBy("p", "q", "part").applyInArrow(_product(percent), shared.EDGES)
     roots = shared.components(found.unionByName(known))
+    shared.discard(sets)  # what was found in them is stored
+    shared.discard(groups)
     lead = own.join(roots, F.col("rep") == F.col("node"), "left").select(
         "doc_id", F.coalesce("root", "rep").alias("lead")
     )
@@ -146,32 +150,38 @@ def _profiles(width: int):
     return run
 
 
+def _compressed(batches):
+    for batch in batches:
+        yield _batch(doc_id=batch.column("doc_id"), text=squeezed(batch.column("text")))
+
+
 def _members(width: int):
     def run(batches):
         for batch in batches:
-            for i, j, sets in _sets_of(batch, width):
-                begins = sets.ends - sets.sizes
+            for k in range(batch.num_rows):
+                own = batch.slice(k, 1)
+                raw, at = bytes_of(restored(own.column("text")))
+                sets = ShingleSets(Words(raw, at, lower=True), width)
                 yield _batch(
-                    block=batch.column("block").slice(i, j - i),
-                    cluster=batch.column("cluster").slice(i, j - i),
-                    doc_id=batch.column("doc_id").slice(i, j - i),
-                    grams=pa.array(
-                        [sets.values[s:e].tobytes() for s, e in zip(begins.tolist(), sets.ends.tolist(), strict=True)],
-                        pa.binary(),
-                    ),
-                )
+                    block=own.column("block"), cluster=own.column("cluster"), doc_id=own.column("doc_id"),
+                    grams=pa.array([sets.values.tobytes()], pa.binary()),
+                )
 
     return run
 
 
 def _signatures(width: int, percent: int):
-    """Rows (sig, doc_id): the hash of each segment of each set, under the labels of two size classes.
+    """Rows (sig, doc_id, tag): the hash of each segment of each set, under the labels of two size classes.
+
+    The tag holds the label and, in its last eight bits, how many rows of the label a set linked to another
+    shares at least.
 
     Sizes of class c lie in [bounds[c], bounds[c + 1]), and linked sets are in the same class or in
     neighbours. Label c serves sets of class c - 1 with each other and with class c; the smaller of two
     linked sets has under bounds[c] shingles, so they differ in at most (100 - percent) / percent of that.
     """
     ratio = 100 / percent
+    spare_share = 3 * np.exp(-percent / max(100 - percent, 1e-9))
     bounds = 0.917 * ratio ** np.arange(int(np.log(1 << 40) / np.log(ratio)) + 2) if percent < 100 else None
 
     def run(batches):
@@ -186,7 +196,8 @@ def _signatures(width: int, percent: int):
                 for label in (upper, upper + 1):
                     most = np.ceil(bounds[label]).astype(np.int64) - 1
                     differ = most * (100 - percent) // percent
-                    segments = np.where((differ > 0) & (sets.sizes > 0), differ + _SPARE, 0)
+                    spare = 3 + np.ceil(np.minimum(spare_share, 1) * differ).astype(np.int64)
+                    segments = np.where((differ > 0) & (sets.sizes > 0), differ + spare, 0)
                     base = np.cumsum(segments) - segments
                     wide = segments[owner]
                     used = wide > 0
@@ -201,40 +212,50 @@ def _signatures(width: int, percent: int):
                     filled[spot] = True
                     doc = np.repeat(np.arange(j - i), segments)
                     blank = segments - np.bincount(doc[filled], minlength=j - i)
-                    keep = filled | (blank[doc] >= _SPARE)  # so many empty segments may be all that two sets share
+                    keep = filled | (blank >= spare)[doc]  # so many empty segments may be all that two sets share
                     number = (np.arange(total) - base[doc]).astype(np.uint64)
                     tag = mix((label[doc].astype(np.uint64) << np.uint64(40)) + number + np.uint64(1))
                     sig = mix(sums + tag)[keep]
-                    yield _batch(sig=sig.view(np.int64), doc_id=ids[i:j][doc[keep]].astype(np.int64))
+                    need = np.clip(spare - blank, 1, 255)
+                    mark = (label * 256 + need).astype(np.int32)
+                    yield _batch(sig=sig.view(np.int64), doc_id=ids[i:j][doc[keep]].astype(np.int64), tag=mark[doc[keep]])
 
     return run
 
 
+def _enough(rows: DataFrame) -> DataFrame:
+    """Rows of the documents and labels that share as many rows as a link takes."""
+    rows = rows.drop("head")
+    few = (
+        rows.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n < tag % 256").select("doc_id", "tag")
+    )
+    return rows.join(shared.stored(few, "few"), ["doc_id", "tag"], "left_anti")
+
+
 def _repeated(rows: DataFrame) -> DataFrame:
-    """Rows (sig, doc_id, head) of signatures that more than one row has; head is the smallest doc_id.
+    """Rows (sig, doc_id, tag, head) of signatures that more than one row has; head is the smallest doc_id.
 
     Rows come sorted, and one pass over them keeps only the row before.
     """
     n = shared.parts(rows.sparkSession)
-    dealt = rows.repartition(n, "sig").sortWithinPartitions("sig", "doc_id")
-    return dealt.mapInArrow(_runs, "sig long, doc_id long, head long")
+    dealt = rows.select("sig", "doc_id", "tag").repartition(n, "sig").sortWithinPartitions("sig", "doc_id")
+    return dealt.mapInArrow(_runs, "sig long, doc_id long, tag int, head long")
 
 
 def _runs(batches):
-    sig = doc = np.zeros(0, np.int64)
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
     last, head = None, 0
     for batch in batches:
-        sig = np.concatenate([sig, batch.column("sig").to_numpy()])
-        doc = np.concatenate([doc, batch.column("doc_id").to_numpy()])
-        if len(sig) > 1:
-            out, last, head = _marked(sig, doc, len(sig) - 1, last, head)
+        held = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("sig", "doc_id", "tag"), strict=True)]
+        if len(held[0]) > 1:
+            out, last, head = _marked(*held, len(held[0]) - 1, last, head)
             yield out
-            sig, doc = sig[-1:], doc[-1:]
-    if len(sig):
-        yield _marked(sig, doc, len(sig), last, head)[0]
+            held = [h[-1:] for h in held]
+    if len(held[0]):
+        yield _marked(*held, len(held[0]), last, head)[0]
 
 
-def _marked(sig, doc, n, last, head):
+def _marked(sig, doc, tag, n, last, head):
     """The first n rows as output; the row after them, if any, tells whether the n-th is repeated."""
     same = np.empty(n, bool)
     same[0] = last is not None and sig[0] == last
@@ -244,7 +265,7 @@ def _marked(sig, doc, n, last, head):
     first = np.maximum.accumulate(np.where(same, -1, np.arange(n)))
     heads = np.where(first < 0, head, doc[np.maximum(first, 0)])
     keep = same | follows
-    out = _batch(sig=sig[:n][keep], doc_id=doc[:n][keep], head=heads[keep])
+    out = _batch(sig=sig[:n][keep], doc_id=doc[:n][keep], tag=tag[:n][keep], head=heads[keep])
     return out, sig[n - 1], heads[-1]
 
 

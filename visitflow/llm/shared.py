@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import weakref
@@ -12,12 +13,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Documents in one Arrow batch of the registered queries and the pipeline.
+BATCH_ROWS = 2000
+
+_scratch: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 _folders: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 _shipped: weakref.WeakSet = weakref.WeakSet()
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once, for sessions whose workers cannot import it."""
+    """What an application does once, as the registered queries and the pipeline do; operators do not.
+
+    It sends this package to the executors, for sessions whose workers cannot import it, and lets Arrow
+    batches hold fewer rows, as rows with texts are wide.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if spark not in _shipped:
         root = Path(__file__).resolve().parents[2]
         archive = Path(tempfile.mkdtemp(prefix="visitflow-code-")) / "visitflow_llm.zip"
@@ -50,9 +60,32 @@ def folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the rows as Parquet to the shared folder and read them back: lineage ends here."""
     spark = df.sparkSession
-    path = f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch.get(spark) or folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete a stored table that nothing will read again."""
+    delete(frame.sparkSession, frame._stored_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables stored in this block go to a folder of their own, whose path it gives."""
+    outer = _scratch.get(spark)
+    _scratch[spark] = f"{folder(spark)}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield _scratch[spark]
+    finally:
+        _scratch[spark] = outer
 
 
 def parts(spark: SparkSession) -> int:
@@ -131,7 +164,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        now = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        before, now = now, stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        discard(before)
         state = _state(now)
         if state == seen:
             break

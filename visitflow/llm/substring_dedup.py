@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.llm import shared
-from visitflow.llm.hashing import Words, bytes_of, runs, text_groups
+from visitflow.llm.hashing import Words, bytes_of, restored, runs, squeezed, text_groups
 
 MINIMISER_WORDS = 8
 BUCKET = 8192
@@ -43,7 +43,7 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
     With joined, `kept` is the kept words joined by one space; otherwise only the removed words and the
     white space after each removed stretch are cut out, and other texts stay as they are.
     """
-    keyed = docs.select(
+    keyed = docs.select(  # the row carries the text; only the first steps read it as a column
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("rank"),
         F.xxhash64("text").alias("twin"),
@@ -73,7 +73,7 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
     )
     of_text = unlike.groupBy("rank", "twin").agg(F.collect_list("mer").alias("mers"))
     unpacked = shared.stored(
-        texts.join(of_text, ["rank", "twin"]).mapInArrow(
+        texts.mapInArrow(_smaller, "rank long, twin long, text binary").join(of_text, ["rank", "twin"]).mapInArrow(
             _unpacked(size), "rank long, twin long, at int, n int, mini long, k1 long, k2 long, words binary"
         ),
         "unpacked",
@@ -91,7 +91,7 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
         F.collect_list(F.struct("at", "n")).alias("spans")
     )
     kind = docs.schema.simpleString()
-    return keyed.join(spans, ["rank", "twin"], "left").select("row", "text", "spans").mapInArrow(
+    return keyed.join(spans, ["rank", "twin"], "left").select("row", "spans").mapInArrow(
         _cut(size, joined), f"row {kind}, n_words long, n_removed long, kept string"
     )
 
@@ -159,12 +159,18 @@ _UNPACKED = pa.schema(
 )
 
 
+def _smaller(batches):
+    for batch in batches:
+        columns = [batch.column("rank"), batch.column("twin"), squeezed(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(columns, ["rank", "twin", "text"])
+
+
 def _unpacked(size: int):
     """The packed string of each super-k-mer asked for; its windows' digests where `own` is set."""
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
+            texts = restored(batch.column("text"))
             rank, twin, mers = batch.column("rank"), batch.column("twin"), batch.column("mers")
             for k in range(batch.num_rows):
                 words = texts[k].as_py().split()
@@ -259,7 +265,7 @@ def _pair_order(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _cut(size: int, joined: bool):
     def run(batches):
         for batch in batches:
-            raw, at = bytes_of(batch.column("text"))
+            raw, at = bytes_of(batch.column("row").field("text"))
             spans, kept = batch.column("spans"), []
             n_words, n_removed = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             for k in range(batch.num_rows):
