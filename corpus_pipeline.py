@@ -79,7 +79,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens."""
-    return packing.packed(docs, word_bpe(), capacity=4096, end_id=2)
+    return packing.packed(docs, word_bpe(), capacity=4096, end_id=2, special_as_text=False)
 
 
 _last: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()

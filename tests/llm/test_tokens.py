@@ -12,6 +12,7 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from visitflow.llm import byte_bpe, fingerprints, id_files, packing, tokens
 from visitflow.llm.queries import QUERIES
 
@@ -48,6 +49,28 @@ def test_words_give_the_ids_of_whole_texts(library, monkeypatch):
             assert got.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+SPECIAL = [
+    "x <|endoftext|> y", "a<|endoftext|>b <|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext| >", "don't<|endoftext|>é",
+    "<|endoftext|>\u0338 <|endoftext|>\u0301e", f"{'a' * 300}<|startoftext|>{'b' * 300}", "\x01<|endoftext|>\x01",
+]
+
+
+def test_added_tokens_are_found_as_the_library_finds_them(spark, tmp_path):
+    default = Tokenizer.from_file(PATH)
+    expected = [default.encode(t, add_special_tokens=False).ids for t in SPECIAL]
+    assert expected[0] == [343, 49407, 344]
+    encode = tokens.encoder(open(PATH, "rb").read(), special_as_text=False)
+    for _ in range(2):
+        assert [x.tolist() for x in encode.many([t.encode() for t in SPECIAL])] == expected
+    data = cases.rows(SPECIAL, range(len(SPECIAL)))
+    cases.frame(spark, data).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, QUERIES["op5_token_files"](spark, str(tmp_path)).collect()))
+    assert [(n, check) for _, _, n, check in got] == [(len(ids) + 1, crc([*ids, 2])) for ids in expected]
+    texts = {r[0]: r[1] for r in data}
+    check_pieces(QUERIES["op8_packing"](spark, str(tmp_path)).collect(), texts, default)
+    check_pieces(dict(corpus_pipeline.STAGES)["packing"](spark, cases.frame(spark, data), "").collect(), texts, default)
+
+
 @pytest.mark.parametrize("wide", [False, True])
 def test_codes_round_trip(wide):
     rng = np.random.default_rng(0)

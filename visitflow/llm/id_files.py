@@ -69,15 +69,18 @@ class Codes:
         return out
 
 
-def write(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> None:
-    """Encode each whole text, end it with end_id, and write the corpus folder."""
+def write(docs: DataFrame, path: str, folder: str, end_id: int = 2, special_as_text: bool = True) -> None:
+    """Encode each whole text, end it with end_id, and write the corpus folder.
+
+    special_as_text: a special token's string in a text is ordinary text; else it is that token.
+    """
     spark = docs.sparkSession
     vocabulary = tokens.vocabulary(spark, path)
     bounds = shared.range_bounds(docs, "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def encoded(batches):
-        encode = tokens.encoder(vocabulary.value)
+        encode = tokens.encoder(vocabulary.value, special_as_text)
         for batch in batches:
             raw, at = bytes_of(batch.column("text"))
             for i, j in text_groups(at):
@@ -92,8 +95,8 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> None:
                 )
 
     ids = shared.stored(texts.mapInArrow(encoded, "part int, doc_id long, ids binary"), "ids")
-    size = tokens.encoder(vocabulary.value).size
-    kind = tokens.encoder(vocabulary.value).kind
+    size = tokens.encoder(vocabulary.value, special_as_text).size
+    kind = tokens.encoder(vocabulary.value, special_as_text).kind
 
     def counted(batches):
         seen = np.zeros(size, np.int64)

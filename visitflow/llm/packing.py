@@ -36,16 +36,20 @@ PIECES = (
 
 
 def packed(
-    docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 1024
+    docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 1024,
+    special_as_text: bool = True,
 ) -> DataFrame:
-    """Rows of pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens)."""
+    """Rows of pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens).
+
+    special_as_text: a special token's string in a text is ordinary text; else it is that token.
+    """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     vocabulary = tokens.vocabulary(docs.sparkSession, path)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def run(batches):
-        encode = tokens.encoder(vocabulary.value)
+        encode = tokens.encoder(vocabulary.value, special_as_text)
         number = TaskContext.get().partitionId() << 32
         ids, held, total = [], [], 0
         for batch in batches:

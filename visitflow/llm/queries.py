@@ -40,7 +40,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.documents(spark, sf_dir)
     folder = f"{shared.folder(spark)}/corpus-{uuid.uuid4().hex}"
-    id_files.write(docs, word_bpe(), folder, end_id=2)
+    id_files.write(docs, word_bpe(), folder, end_id=2, special_as_text=False)
     return id_files.read(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -64,7 +64,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(shared.documents(spark, sf_dir), word_bpe(), capacity=4096, end_id=2)
+    return packing.packed(shared.documents(spark, sf_dir), word_bpe(), capacity=4096, end_id=2, special_as_text=False)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

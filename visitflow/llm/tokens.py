@@ -3,8 +3,10 @@
 All ids come from the library; what repeats is looked up. With a file whose normaliser and splitter are
 the known ones (KNOWN), neither looks beyond white space, so a text's ids are the ids of its words (runs of
 bytes other than space and \\t to \\r) one after another, and a plain ASCII word is split between letters,
-single digits and other marks. Words and such pieces are encoded once and remembered. Texts for any
-other file are encoded whole. Tests compare whole texts with the library's own result.
+single digits and other marks. Words and such pieces are encoded once and remembered. Words that hold an
+added token's string go to the library whole, as it finds such strings before it splits. Texts for any
+other file, or one whose added tokens hold white space, are encoded whole. Tests compare whole texts with
+the library's own result.
 """
 
 from __future__ import annotations
@@ -58,25 +60,28 @@ def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
-def encoder(content: bytes) -> Encoder:
+def encoder(content: bytes, special_as_text: bool = True) -> Encoder:
     """The worker's encoder for a tokenizer file; later tasks of the worker find its words again."""
-    key = hashlib.md5(content, usedforsecurity=False).digest()
+    key = hashlib.md5(content, usedforsecurity=False).digest() + bytes([special_as_text])
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(content)
+        _encoders[key] = Encoder(content, special_as_text)
     return _encoders[key]
 
 
 class Encoder:
-    def __init__(self, content: bytes) -> None:
+    def __init__(self, content: bytes, special_as_text: bool = True) -> None:
+        """special_as_text: a special token's string in a text is ordinary text. Registered queries leave it off."""
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_str(content.decode())
-        self._library.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        self._library.encode_special_tokens = special_as_text
         self.size = self._library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         stated = json.loads(content)
-        self._apart = all(stated.get(k) == v for k, v in KNOWN.items())
+        added = [t["content"] for t in stated.get("added_tokens") or [] if not (special_as_text and t["special"])]
+        self._apart = all(stated.get(k) == v for k, v in KNOWN.items()) and not any(re.search(r"\s", t) for t in added)
+        self._added = re.compile(b"|".join(re.escape(t.lower().encode()) for t in added) or b"(?!)").search
         self._mark = self._library.encode(MARK, add_special_tokens=False).ids
         self._known: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
@@ -109,10 +114,11 @@ class Encoder:
         parts, encode, letter = self._parts, self._library.model.tokenize, self.kind.char
         out, rest = {}, []
         for w in new:
-            if len(w) > LONGEST or not _plain(w):
+            low = w.lower()
+            if len(w) > LONGEST or not _plain(w) or self._added(low):
                 rest.append(w)
                 continue
-            own = _pieces(w.lower())
+            own = _pieces(low)
             for p in own:
                 if p not in parts:
                     ids = [t.id for t in encode(p.decode())]
