@@ -4,17 +4,20 @@ A candidate is a run of at least LEAST characters that keys and tokens are made
 length, its character transitions (changes between lower case, capitals and digits, and how usual its letter
 pairs and triples are), its dictionary coverage (triples that common words have), the path or
 source of the document, and the neighbouring words. It is trained from labelled findings: rows of
-candidates with a label. The registered query takes them from `known_findings`, which labels candidates
-by what is certain without the forest: a provider's fixed key format, or an assignment to a name such as
-password. Users pass their own reviewed findings instead.
+candidates with a label. The registered query takes them from `known_findings`: 1 for what has the form of
+a key by itself (`certain`) or is assigned to a name such as password, 0 for what is known to be harmless
+(words that the corpus's common words cover, numbers with a Luhn digit, hashes in trial paths). All others, and
+those with both signs, have no label: no fit sees them, and the forest decides. So that it does not only
+repeat the rule, each labelled secret is also shown without its name and assignment. A candidate of a
+certain form is a secret whatever its score. Users pass their own reviewed findings instead.
 
 All statistics of the corpus come from all documents: words are counted by documents, and the counts of letter
 triples (at most 26 ** 3 rows) follow from them. The fit uses at most MAX_LABELLED findings of each label,
-those with the smallest hashes. Everything runs as DataFrame operations.
+those with the smallest hashes, and the copies just named. Everything runs as DataFrame operations.
 
 Defined cases: null and empty texts have no candidates. Missing or null paths are empty. Repeated rows have their
-own findings. If all labels are alike or there are none, the score is that label, or 0. An empty table gives
-no findings.
+own findings. If all reviewed labels are alike, the score is that label. Without both of `known_findings`'s labels
+there is nothing to learn from: the score is a candidate's own label, or 0. An empty table gives no findings.
 """
 
 from __future__ import annotations
@@ -35,7 +38,18 @@ MAX_LABELLED = 20_000
 MASK = "[SECRET]"
 #: Names that secrets are assigned to, and formats of providers' keys.
 NAMES = "(?i)(passw|passphrase|secret|token|api.?key|credential|private.?key)"
-FORMATS = "^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[0-9A-Za-z_-]{35}$"
+FORMATS = (
+    "(?<![A-Za-z0-9])((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
+    "|npm_[A-Za-z0-9]{36}|[sr]k_(live|test)_[A-Za-z0-9]{16,}|whsec_[A-Za-z0-9]{24,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+    "|AIza[0-9A-Za-z_-]{35}|hf_[A-Za-z0-9]{34}|dop_v1_[0-9a-f]{64}|shp(at|ss|ca)_[0-9a-f]{32}|pypi-[A-Za-z0-9_-]{50,}"
+    "|sk-(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{32,})(?![A-Za-z0-9])"
+)
+#: Web tokens are three parts with dots between; the first two are JSON in base64. Keys in PEM stand between two lines.
+JWT_PART, JWT_LEAD = "^eyJ[A-Za-z0-9_-]+$", "eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.$"
+PEM = "(?s)-----BEGIN [A-Z ]*PRIVATE KEY[A-Z ]*-----(.*?)(?:-----END|\\z)"
+HASH = "^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128})$"
+#: Share of a word's triples that common words have, from which it counts as covered.
+COVERED = 0.8
 TRIAL_PATH = "(?i)(test|example|sample|mock|fixture|demo)"
 FEATURES = (
     "length", "changes", "digits", "capitals", "distinct", "hex", "pair_log", "triple_log", "coverage", "letters",
@@ -44,7 +58,7 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """Rows (doc_id, path, word_index, part, candidate, lead, before2, before, after) of all texts."""
+    """Rows (doc_id, path, word_index, part, candidate, lead, before2, before, after, in_key) of all texts."""
     words = shared.words_of(F.col("text"))
 
     def spots(w: Column) -> Column:
@@ -58,13 +72,15 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         )
 
     where = F.col(f"`{path}`").cast("string") if path in docs.columns else F.lit("")
+    keys = F.when(F.contains("text", F.lit("PRIVATE KEY")), F.regexp_extract_all("text", F.lit(PEM), F.lit(1)))
     hits = docs.where(F.col("text").rlike(RUN)).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"), keys.alias("_keys"),
         F.inline(F.transform(F.array(words), spots)[0]),
     )
     runs = hits.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1))).alias("part", "candidate"))
     lead = F.expr("substring(word, 1, locate(candidate, word) - 1)")
-    return runs.withColumn("lead", lead).drop("word")
+    in_key = F.coalesce(F.exists("_keys", lambda k: F.contains(k, F.col("candidate"))), F.lit(False))
+    return runs.withColumn("lead", lead).withColumn("in_key", in_key).drop("word", "_keys")
 
 
 def letter_statistics(docs: DataFrame) -> DataFrame:
@@ -77,10 +93,25 @@ def letter_statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def known_findings(found: DataFrame) -> DataFrame:
-    """Candidates with a label: 1 for a provider's format or an assignment to a telling name, else 0."""
-    named, assigned = _named(), _assigned()
-    return found.withColumn("label", (F.col("candidate").rlike(FORMATS) | (named & assigned)).cast("double"))
+def known_findings(rows: DataFrame) -> DataFrame:
+    """Described candidates with a label: 1 for secrets, 0 for what is harmless, null where neither is known."""
+    c = F.col("candidate")
+    harmless = (
+        (c.rlike("^[A-Za-z]+$") & (F.col("coverage") >= COVERED))
+        | (c.rlike("^[0-9]{13,19}$") & F.expr("luhn_check(candidate)"))
+        | (c.rlike(HASH) & (F.col("path_trial") == 1))
+    )
+    telling = _named() & _assigned()
+    label = F.when(certain() | (telling & ~harmless), 1.0).when(harmless & ~telling, 0.0)
+    return rows.withColumn("label", label)
+
+
+def certain() -> Column:
+    """Candidates that are secrets by their form: keys of providers and in PEM, web tokens, bearer tokens."""
+    c = F.col("candidate")
+    web = c.rlike(JWT_PART) | F.col("lead").rlike(JWT_LEAD)
+    bearer = F.concat_ws(" ", "before", "lead").rlike("(^|[\\s\"'`:=])Bearer\\s*[\"'`]?$") & c.rlike("[0-9]")
+    return c.rlike(FORMATS) | web | F.col("in_key") | bearer
 
 
 def _near() -> Column:
@@ -139,11 +170,11 @@ def described(found: DataFrame, letters: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, path: str = "source", findings: DataFrame | None = None, seed: int = 7) -> DataFrame:
     """Rows (doc_id, word_index, part, candidate, label, score, is_secret) of all candidates.
 
-    findings: candidates with a label, by default `known_findings` of these documents.
+    findings: candidates with a label (null for none), by default `known_findings` of these documents.
     """
     letters = shared.stored(letter_statistics(docs), "letters")
-    found = shared.stored(known_findings(candidates(docs, path)), "candidates")
-    rows = shared.stored(described(found, letters), "described")
+    found = shared.stored(candidates(docs, path), "candidates")
+    rows = shared.stored(known_findings(described(found, letters)), "described")
     known = rows if findings is None else described(findings, letters)
     order = [F.xxhash64("candidate", "_id"), "candidate", "_id"]
     columns = ["label", *FEATURES]
@@ -152,10 +183,14 @@ def scan(docs: DataFrame, path: str = "source", findings: DataFrame | None = Non
         .unionByName(known.where("label = 0").orderBy(*order).limit(MAX_LABELLED).select(columns)),
         "labelled",
     )
+    if findings is None:
+        bare = sample.where("label = 1").withColumns({"named": F.lit(0.0), "assigned": F.lit(0.0)})
+        sample = sample.unionByName(bare)
     sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     seen = sorted(sizes)
     if len(seen) < 2:
-        return _judged(rows.withColumn("score", F.lit(seen[0] if seen else 0.0)))
+        own = F.coalesce("label", F.lit(0.0)) if findings is None else F.lit(seen[0] if seen else 0.0)
+        return _judged(rows.withColumn("score", own))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="label", probabilityCol="_probability", rawPredictionCol="_raw",
@@ -170,7 +205,7 @@ def scan(docs: DataFrame, path: str = "source", findings: DataFrame | None = Non
 def _judged(rows: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "word_index", "part", "candidate", F.col("label").cast("int").alias("label"), "score",
-        (F.col("score") >= 0.5).alias("is_secret"),
+        ((F.col("score") >= 0.5) | certain()).alias("is_secret"),
     )
 
 
