@@ -58,7 +58,8 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """Rows (doc_id, path, word_index, part, candidate, lead, before2, before, after, in_key) of all texts."""
+    """Rows (doc_id, path, word_index, part, candidate, lead, before2, before, after, in_key,
+    text_key) of all texts."""
     words = shared.words_of(F.col("text"))
 
     def spots(w: Column) -> Column:
@@ -75,6 +76,7 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     keys = F.when(F.contains("text", F.lit("PRIVATE KEY")), F.regexp_extract_all("text", F.lit(PEM), F.lit(1)))
     hits = docs.where(F.col("text").rlike(RUN)).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"), keys.alias("_keys"),
+        F.xxhash64("text").alias("text_key"),
         F.inline(F.transform(F.array(words), spots)[0]),
     )
     runs = hits.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1))).alias("part", "candidate"))
@@ -168,7 +170,7 @@ def described(found: DataFrame, letters: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, path: str = "source", findings: DataFrame | None = None, seed: int = 7) -> DataFrame:
-    """Rows (doc_id, word_index, part, candidate, label, score, is_secret) of all candidates.
+    """Rows (doc_id, text_key, word_index, part, candidate, label, score, is_secret) of all candidates.
 
     findings: candidates with a label (null for none), by default `known_findings` of these documents.
     """
@@ -204,19 +206,23 @@ def scan(docs: DataFrame, path: str = "source", findings: DataFrame | None = Non
 
 def _judged(rows: DataFrame) -> DataFrame:
     return rows.select(
-        "doc_id", "word_index", "part", "candidate", F.col("label").cast("int").alias("label"), "score",
+        "doc_id", "text_key", "word_index", "part", "candidate", F.col("label").cast("int").alias("label"), "score",
         ((F.col("score") >= 0.5) | certain()).alias("is_secret"),
     )
 
 
 def masked(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents with each secret's characters replaced by MASK; other texts stay as they are."""
+    """The documents with each secret's characters replaced by MASK; other texts stay as they are.
+
+    A row is met by its doc_id, null or not, and its text, so rows without or with the same id have their own secrets.
+    """
     secrets = (
-        found.where("is_secret").groupBy(F.col("doc_id").alias("_secret_doc"))
+        found.where("is_secret").groupBy(F.col("doc_id").alias("_secret_doc"), F.col("text_key").alias("_secret_text"))
         .agg(F.array_sort(F.collect_set("candidate"), lambda a, b: F.length(b) - F.length(a)).alias("_secrets"))
     )
     clean = F.aggregate("_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
-    joined = docs.join(secrets, F.col("doc_id") == F.col("_secret_doc"), "left")
+    same = F.col("doc_id").eqNullSafe(F.col("_secret_doc")) & (F.xxhash64("text") == F.col("_secret_text"))
+    joined = docs.join(secrets, same, "left")
     has = F.col("_secrets").isNotNull()
     out = joined.withColumn("text", F.when(has, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
