@@ -1,6 +1,9 @@
-"""Secret scan: long runs of letters and digits, judged by a random forest that removes false positives.
+"""Secret scan: long runs of letters and digits, and values of telling names, judged by a random forest that
+removes false positives.
 
-A candidate is a run of at least LEAST characters that keys and tokens are made of. The forest sees its
+A candidate is a run of at least LEAST characters that keys and tokens are made of, or the whole value, of any
+length and alphabet, that is assigned to a telling name: what stands between quotes, or else up to white space
+without closing marks. A value that is one run is that run's candidate only. The forest sees a candidate's
 length, its character transitions (changes between lower case, capitals and digits, and how usual its letter
 pairs and triples are), its dictionary coverage (triples that common words have), the path or
 source of the document, and the neighbouring words. It is trained from labelled findings: rows of
@@ -36,8 +39,16 @@ RUN = f"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
 COMMON = 5
 MAX_LABELLED = 20_000
 MASK = "[SECRET]"
+#: Values that are masked in all of a text: no words of prose.
+TELLS = "^(?=.*[^A-Za-z])\\S{8,}$"
 #: Names that secrets are assigned to, and formats of providers' keys.
-NAMES = "(?i)(passw|passphrase|secret|token|api.?key|credential|private.?key)"
+NAMES = "(?i)(passw|passphrase|pwd|secret|token|api.?key|credential|private.?key)"
+#: A telling name and its assignment, up to the value; then the value with its quotes.
+HEAD = f"(?:{NAMES})[\\w.-]*+[\"'`\\]]{{0,2}}\\s*+(?-i:=>|:=|={{1,3}}|:)\\s*+"
+VALUE = HEAD + (
+    "(?:\"[^\\n]+?(?<!\\\\)\"|'[^\\n]+?(?<!\\\\)'|`[^\\n]+?`"
+    "|[\"'`]?[^\\s\"'`]\\S*?(?=[\"'`,;.)}\\]>]{0,8}(?:\\s|\\z)))"
+)
 FORMATS = (
     "(?<![A-Za-z0-9])((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
     "|npm_[A-Za-z0-9]{36}|[sr]k_(live|test)_[A-Za-z0-9]{16,}|whsec_[A-Za-z0-9]{24,}|xox[abprs]-[A-Za-z0-9-]{10,}"
@@ -46,6 +57,7 @@ FORMATS = (
 )
 #: Web tokens are three parts with dots between; the first two are JSON in base64. Keys in PEM stand between two lines.
 JWT_PART, JWT_LEAD = "^eyJ[A-Za-z0-9_-]+$", "eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.$"
+INK = "[^\\x20\\x09-\\x0D]"
 PEM = "(?s)-----BEGIN [A-Z ]*PRIVATE KEY[A-Z ]*-----(.*?)(?:-----END|\\z)"
 HASH = "^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128})$"
 #: Share of a word's triples that common words have, from which it counts as covered.
@@ -58,8 +70,29 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """Rows (doc_id, path, word_index, part, candidate, lead, before2, before, after, in_key,
-    text_key) of all texts."""
+    """Rows (doc_id, path, word_index, part, candidate, lead, before2, before, after, in_key, text_key) of all texts.
+
+    word_index is the place of the word in which the candidate begins. part numbers the runs of a word from 0 and
+    the values of a text from -1 downwards.
+    """
+    return _runs(docs, path).unionByName(_values(docs, path))
+
+
+def _row(docs: DataFrame, path: str) -> list[Column]:
+    where = F.col(f"`{path}`").cast("string") if path in docs.columns else F.lit("")
+    keys = F.when(F.contains("text", F.lit("PRIVATE KEY")), F.regexp_extract_all("text", F.lit(PEM), F.lit(1)))
+    return [
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"), keys.alias("_keys"),
+        F.xxhash64("text").alias("text_key"),
+    ]
+
+
+def _in_key(found: DataFrame) -> DataFrame:
+    inside = F.exists("_keys", lambda k: F.contains(k, F.col("candidate")))
+    return found.withColumn("in_key", F.coalesce(inside, F.lit(False))).drop("_keys")
+
+
+def _runs(docs: DataFrame, path: str) -> DataFrame:
     words = shared.words_of(F.col("text"))
 
     def spots(w: Column) -> Column:
@@ -72,17 +105,65 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
             ),
         )
 
-    where = F.col(f"`{path}`").cast("string") if path in docs.columns else F.lit("")
-    keys = F.when(F.contains("text", F.lit("PRIVATE KEY")), F.regexp_extract_all("text", F.lit(PEM), F.lit(1)))
-    hits = docs.where(F.col("text").rlike(RUN)).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"), keys.alias("_keys"),
-        F.xxhash64("text").alias("text_key"),
-        F.inline(F.transform(F.array(words), spots)[0]),
-    )
+    hits = docs.where(F.col("text").rlike(RUN)).select(*_row(docs, path), F.inline(F.transform(F.array(words), spots)[0]))
     runs = hits.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1))).alias("part", "candidate"))
     lead = F.expr("substring(word, 1, locate(candidate, word) - 1)")
-    in_key = F.coalesce(F.exists("_keys", lambda k: F.contains(k, F.col("candidate"))), F.lit(False))
-    return runs.withColumn("lead", lead).withColumn("in_key", in_key).drop("word", "_keys")
+    return _in_key(runs.withColumn("lead", lead).drop("word"))
+
+
+def _assignments(text: Column) -> tuple[Column, Column]:
+    """The pieces of a text around its assignments to telling names, and the assignments (one fewer)."""
+    return F.split(text, VALUE, -1), F.regexp_extract_all(text, F.lit(VALUE), F.lit(0))
+
+
+def _head(assignment: Column) -> Column:
+    """An assignment up to its value, with the opening quote."""
+    return F.regexp_extract(assignment, f"^{HEAD}[\"'`]?", 0)
+
+
+def _value(assignment: Column) -> Column:
+    head = _head(assignment)
+    rest = F.substring(assignment, F.length(head) + 1, F.length(assignment))
+    closed = head.rlike("[\"'`]$") & (F.right(rest, F.lit(1)) == F.right(head, F.lit(1)))
+    return F.when(closed, F.substring(rest, F.lit(1), F.length(rest) - 1)).otherwise(rest)
+
+
+def _values(docs: DataFrame, path: str) -> DataFrame:
+    assigns = (F.contains("text", F.lit("=")) | F.contains("text", F.lit(":"))) & F.col("text").rlike(VALUE)
+    pieces, hits = _assignments(F.col("text"))
+    rows = docs.where(assigns).select(
+        *_row(docs, path), shared.words_of(F.col("text")).alias("_words"), pieces.alias("_pieces"), hits.alias("_hits")
+    )
+    # Segments in turn: text up to a value, the value with what closes it, and so on. A word begins where white space
+    # or the text's begin is before it; a segment that goes on with a word has one begin fewer.
+    segments = F.flatten(
+        F.transform(
+            "_hits",
+            lambda h, k: F.array(
+                F.concat(F.get("_pieces", k), _head(h)), F.substring(h, F.length(_head(h)) + 1, F.length(h))
+            ),
+        )
+    )
+    starts = F.transform("_segments", lambda s: F.regexp_count(s, F.lit(f"(?<!{INK}){INK}")))
+    goes_on = F.transform(
+        "_segments",
+        lambda s, k: ((k > 0) & F.get("_segments", k - 1).rlike(f"{INK}\\z") & s.rlike(f"^{INK}")).cast("int"),
+    )
+    own = F.zip_with(starts, goes_on, lambda n, m: n - m)
+    sums = F.aggregate(own, F.array(F.lit(0)), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
+    rows = rows.withColumn("_segments", segments).withColumn("_sums", sums)
+    spots = F.transform(
+        "_hits",
+        lambda h, k: F.struct(
+            (F.get("_sums", 2 * k + 1) - F.get("_segments", 2 * k).rlike(f"{INK}\\z").cast("int")).alias("word_index"),
+            (-1 - k).alias("part"), _value(h).alias("candidate"),
+            F.regexp_extract(F.get("_segments", 2 * k), f"{INK}*\\z", 0).alias("lead"),
+        ),
+    )
+    found = rows.select("doc_id", "path", "_keys", "text_key", "_words", F.inline(spots))
+    i, last = F.col("word_index"), F.size(shared.words_of(F.concat("lead", "candidate")))
+    near = {"before2": F.get("_words", i - 2), "before": F.get("_words", i - 1), "after": F.get("_words", i + last)}
+    return _in_key(found.where(~F.col("candidate").rlike(f"^{RUN}\\z")).withColumns(near).drop("_words"))
 
 
 def letter_statistics(docs: DataFrame) -> DataFrame:
@@ -125,7 +206,7 @@ def _named() -> Column:
 
 
 def _assigned() -> Column:
-    return F.concat_ws(" ", "before", "lead").rlike("[:=]\\s*[\"']?$")
+    return F.concat_ws(" ", "before", "lead").rlike("([:=]|=>)\\s*[\"'`]?$")
 
 
 def described(found: DataFrame, letters: DataFrame) -> DataFrame:
@@ -155,7 +236,7 @@ def described(found: DataFrame, letters: DataFrame) -> DataFrame:
             "after_letters": F.coalesce(F.col("after").rlike("^\\p{L}+[.,;:]?$").cast("double"), F.lit(0.0)),
         }
     )
-    triples = F.transform(F.sequence(F.lit(1), size - 2), lambda i: F.substring(F.lower(c), i, F.lit(3)))
+    triples = F.transform(F.sequence(F.lit(1), F.greatest(size - 2, F.lit(1))), lambda i: F.substring(F.lower(c), i, F.lit(3)))
     pairs = letters.groupBy(F.substring("triple", 1, 2).alias("pair")).agg(F.sum("n").alias("pair_n"))
     table = letters.withColumn("pair", F.substring("triple", 1, 2)).join(pairs, "pair")
     looked = (
@@ -215,12 +296,29 @@ def masked(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents with each secret's characters replaced by MASK; other texts stay as they are.
 
     A row is met by its doc_id, null or not, and its text, so rows without or with the same id have their own secrets.
+    Values are masked where they are assigned, and those that match TELLS in all of the text, as runs are.
     """
+    anywhere = (F.col("part") >= 0) | F.col("candidate").rlike(TELLS)
     secrets = (
         found.where("is_secret").groupBy(F.col("doc_id").alias("_secret_doc"), F.col("text_key").alias("_secret_text"))
-        .agg(F.array_sort(F.collect_set("candidate"), lambda a, b: F.length(b) - F.length(a)).alias("_secrets"))
+        .agg(
+            F.array_sort(F.collect_set(F.when(anywhere, F.col("candidate"))), lambda a, b: F.length(b) - F.length(a)).alias("_secrets"),
+            F.collect_set(F.when(F.col("part") < 0, F.col("candidate"))).alias("_values"),
+        )
+    )
+    pieces, hits = _assignments(F.col("text"))
+    hidden = F.transform(
+        hits,
+        lambda h: F.when(
+            F.array_contains("_values", _value(h)),
+            F.concat(
+                _head(h), F.lit(MASK), F.substring(h, F.length(_head(h)) + F.length(_value(h)) + 1, F.length(h))
+            ),
+        ).otherwise(h),
     )
-    clean = F.aggregate("_secrets", F.col("text"), lambda t, s: F.replace(t, s, F.lit(MASK)))
+    parts = F.zip_with(pieces, hidden, lambda p, h: F.concat(p, F.coalesce(h, F.lit(""))))
+    text = F.when(F.size("_values") > 0, F.array_join(parts, "")).otherwise(F.col("text"))
+    clean = F.aggregate("_secrets", text, lambda t, s: F.replace(t, s, F.lit(MASK)))
     same = F.col("doc_id").eqNullSafe(F.col("_secret_doc")) & (F.xxhash64("text") == F.col("_secret_text"))
     joined = docs.join(secrets, same, "left")
     has = F.col("_secrets").isNotNull()
