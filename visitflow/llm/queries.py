@@ -3,12 +3,28 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import byte_bpe, fingerprints, id_files, ngram_join, packing, quality_rules, rule_ensemble, secret_scan, shared, sharding, substring_dedup
+from visitflow.llm import (
+    byte_bpe,
+    fingerprints,
+    id_files,
+    lexical_search,
+    ngram_join,
+    packing,
+    periodic_runs,
+    projection_forest,
+    quality_rules,
+    rule_ensemble,
+    secret_scan,
+    shared,
+    sharding,
+    substring_dedup,
+)
 from visitflow.llm.vocabularies import multi_bpe, split_pattern, word_bpe
 
 
@@ -78,6 +94,30 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_edits(shared.documents(spark, sf_dir))
 
 
+def op11_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.near_groups(shared.table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def planted(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """The words, made periodic from some word on in a tenth of the documents; rows without doc_id stay."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.found_runs(shared.documents(spark, sf_dir), power=4, least=6, edit=planted)
+    return periodic_runs.digests(found)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.best_documents(shared.documents(spark, sf_dir), shared.table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
@@ -89,6 +129,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_fingerprints": op10_fingerprints,
+    "op11_projection_forest": op11_projection_forest,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_sharding": sharding.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_sharding": sharding.ORACLE_SQL,
+    "op11_projection_forest": projection_forest.ORACLE_SQL,
+    "op13_lexical_search": lexical_search.ORACLE_SQL,
+}
