@@ -1,14 +1,16 @@
 """Contracts, key checks, loading and flat files."""
 
 import csv
-from datetime import datetime
+import shutil
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitflow.operators.checks import KeyViolation, assert_unique, duplicate_keys
 from visitflow.session import shared_dir
-from visitflow.sources import contracts, load
+from visitflow.sources import commits, contracts, load
 from visitflow.sources.staging import inline, verified, written
 from visitflow.sources.warehouse import Warehouse
 
@@ -182,3 +184,192 @@ def test_warehouse_sources(spark, tmp_path):
 
 def test_shared_dir_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+# --- The commit log -------------------------------------------------------------------------------
+
+VISITS = contracts.Contract(
+    "visits",
+    (
+        contracts.SinkColumn("id", T.LongType(), required=True),
+        contracts.SinkColumn("at", T.TimestampNTZType()),
+        contracts.SinkColumn("note", T.StringType(), 20),
+    ),
+    key=("id",),
+)
+
+
+def visits(spark, *rows):
+    """Rows (id, day of January 2024 or None, note)."""
+    data = [(i, None if d is None else datetime(2024, 1, d, 9), n) for i, d, n in rows]
+    return spark.createDataFrame(data, "id long, at timestamp_ntz, note string")
+
+
+def held(spark, path, **days):
+    return sorted((r.id, r["at"] and r["at"].day, r.note) for r in load.rows(spark, VISITS, path, **days).collect())
+
+
+class Stopped(Exception):
+    """The process ended here."""
+
+
+def stop_after(monkeypatch, n):
+    """File operations that change something fail from the n-th on, as if the process had been killed."""
+    done = [0]
+    for name in ("make", "move", "delete", "write"):
+        plain = getattr(commits.Files, name)
+
+        def step(self, *args, _plain=plain):
+            done[0] += 1
+            if done[0] > n:
+                raise Stopped
+            return _plain(self, *args)
+
+        monkeypatch.setattr(commits.Files, name, step)
+
+
+def _append(spark, path):
+    load.append(visits(spark, (4, 3, "d"), (5, None, "e")), VISITS, path)
+
+
+def _reload(spark, path):
+    load.reload(visits(spark, (1, 1, "x"), (9, 2, "y")), VISITS, path)
+
+
+def _refresh(spark, path):
+    moved = visits(spark, (2, 2, "moved in"), (3, 3, "stays"), (7, 3, "new"))
+    load.refresh(moved, VISITS, path, "at", date(2024, 1, 2), date(2024, 1, 3))
+
+
+FIRST = [(1, 1, "a"), (2, 1, "b"), (3, 2, "c")]
+AFTER = {
+    _append: [*FIRST, (4, 3, "d"), (5, None, "e")],
+    _reload: [(1, 1, "x"), (9, 2, "y")],
+    _refresh: [(1, 1, "a"), (2, 2, "moved in"), (3, 3, "stays"), (7, 3, "new")],
+}
+
+
+def by_day(spark, path):
+    load.refresh(visits(spark, *FIRST), VISITS, path, "at", date(2024, 1, 1), date(2024, 1, 4))
+
+
+def flat(spark, path):
+    load.append(visits(spark, *FIRST), VISITS, path)
+
+
+@pytest.mark.parametrize("begin, change", [(flat, _append), (flat, _reload), (by_day, _append), (by_day, _refresh)])
+def test_a_stopped_load_leaves_the_old_or_the_new_rows(spark, tmp_path, monkeypatch, begin, change):
+    outcomes, n = [], 0
+    begin(spark, str(tmp_path / "first"))
+    while True:
+        path = str(tmp_path / f"sink{n}")
+        shutil.copytree(tmp_path / "first", path)
+        with monkeypatch.context() as m:
+            stop_after(m, n)
+            try:
+                change(spark, path)
+                ended = True
+            except Stopped:
+                ended = False
+        rows = held(spark, path)
+        assert rows in (FIRST, AFTER[change]), n
+        outcomes.append(rows == AFTER[change])
+        load.vacuum(spark, path)
+        assert held(spark, path) == rows
+        if not outcomes[-1] and n % 3 == 1:  # what was left behind is no obstacle
+            change(spark, path)
+            assert held(spark, path) == AFTER[change]
+        if ended:
+            break
+        n += 1
+    assert n >= 4 and not outcomes[0] and outcomes[-1] and outcomes == sorted(outcomes)
+
+
+def test_two_loads_of_one_version_do_not_both_commit(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "sink")
+    flat(spark, path)
+    plain = commits.Log.move_in
+
+    def overtaken(self, *args):
+        monkeypatch.setattr(commits.Log, "move_in", plain)
+        load.append(visits(spark, (8, 1, "faster")), VISITS, path)
+        return plain(self, *args)
+
+    monkeypatch.setattr(commits.Log, "move_in", overtaken)
+    with pytest.raises(commits.ConcurrentLoad):
+        _append(spark, path)
+    expected = [*FIRST, (8, 1, "faster")]
+    assert held(spark, path) == expected
+    assert spark.read.parquet(path).count() == 4  # the slower load's files are gone
+
+
+def test_a_folder_without_log_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    load.conform(visits(spark, *FIRST), VISITS).write.parquet(path)
+    assert held(spark, path) == FIRST
+    with pytest.raises(KeyViolation, match="already stored"):
+        load.append(visits(spark, (2, 5, "again")), VISITS, path)
+    _append(spark, path)
+    assert held(spark, path) == AFTER[_append]
+    with pytest.raises(KeyViolation, match="already stored"):
+        load.append(visits(spark, (2, 5, "again")), VISITS, path)
+
+
+def test_refreshed_days(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    days = {"first": date(2024, 1, 2), "last": date(2024, 1, 3)}
+    start = [(k, 1 + k % 4, "old") for k in range(20)]
+    load.refresh(visits(spark, *start), VISITS, path, "at", date(2024, 1, 1), date(2024, 1, 4))
+    load.append(visits(spark, (50, None, "no day")), VISITS, path)
+
+    def files():
+        return {f.path: f.day for f in commits.Log(spark, path).newest().files}
+
+    before = files()
+    # 4 (day 1) and 50 (no day) move in; 1 and 5 (day 2) are cancelled; 9 moves within the window
+    now = [(4, 2, "new"), (50, 3, "new"), (9, 3, "new"), *[(k, 1 + k % 4, "new") for k in (2, 6, 10, 13, 14, 17, 18)]]
+    load.refresh(visits(spark, *now), VISITS, path, "at", **days)
+    stay = [r for r in start if r[1] not in (2, 3) and r[0] not in {n[0] for n in now}]
+    assert held(spark, path) == sorted(stay + now)
+    assert held(spark, path, **days) == sorted(r for r in stay + now if r[1] in (2, 3))
+    kept = {p for p, d in before.items() if d == "2024-01-04"}
+    assert kept and kept <= set(files()) and not (set(before) - kept) & set(files())
+    assert held(spark, path, first=date(2024, 1, 4), last=date(2024, 1, 4)) == [r for r in start if r[1] == 4]
+    # what left the sink is out of the index, what moved is in it
+    asked = visits(spark, (1, 1, ""), (5, 1, ""), (4, 1, ""), (50, 1, ""), (3, 1, ""), (99, 1, ""))
+    assert sorted(r.id for r in load.keys_stored(spark, VISITS, path, asked).collect()) == [3, 4, 50]
+    load.append(visits(spark, (1, 2, "again")), VISITS, path)
+    with pytest.raises(KeyViolation, match="already stored"):
+        load.append(visits(spark, (4, 1, "twice")), VISITS, path)
+    with pytest.raises(ValueError, match="2024-01-04 is not between"):
+        load.refresh(visits(spark, (60, 4, "outside")), VISITS, path, "at", **days)
+    with pytest.raises(ValueError, match="laid out by at"):
+        load.refresh(visits(spark), VISITS, path, "id", **days)
+    load.refresh(visits(spark), VISITS, path, "at", **days)
+    assert held(spark, path) == sorted(stay)
+
+
+def test_an_append_reads_the_buckets_of_its_keys(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    load.append(visits(spark, *[(k, 1 + k % 9, "old") for k in range(2000)]), VISITS, path)
+    new = visits(spark, (5000, 1, ""), (5001, 2, ""), (5002, 2, ""))
+    now = commits.Log(spark, path).newest()
+    assert len({k.bucket for k in now.keys}) == load.BUCKETS
+    wanted = {r[0] for r in new.select(load._bucket(VISITS)).collect()}
+    read = load.keys_stored(spark, VISITS, path, new).inputFiles()
+    index = [f for f in read if commits.KEYS in f]
+    assert {int(commits.partition_value(f, "_bucket")) for f in index} == wanted
+    assert not [f for f in read if path in f and commits.KEYS not in f]  # no data file is read
+    both = visits(spark, (5000, 1, ""), (7, 2, ""))
+    assert [r.id for r in load.keys_stored(spark, VISITS, path, both).collect()] == [7]
+
+
+def test_vacuum_keeps_what_counts(spark, tmp_path):
+    path = tmp_path / "sink"
+    by_day(spark, str(path))
+    _refresh(spark, str(path))
+    (path / "part-stray.parquet").write_text("left by a stopped load")
+    load.vacuum(spark, str(path))
+    assert not (path / "part-stray.parquet").exists()
+    assert [p.name for p in (path / "_log").glob("*.json")] == [f"{2:020d}.json"]
+    assert held(spark, str(path)) == AFTER[_refresh]
