@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from visitflow.functions.text import non_empty
 from visitflow.operators.cohort import left_to_many
 from visitflow.operators.lists import enumerate_lines
+from visitflow.operators.ordered import tally, with_neighbours
 
 
 def unresolved(conditions: DataFrame) -> DataFrame:
@@ -23,13 +24,32 @@ def active_conditions_asof(
     patient: str = "PAT_ID",
     day: str = "appt_date",
 ) -> DataFrame:
-    """Conditions of each (patient, visit day) added on or before that day; one row for each."""
-    days = visits.select(patient, day).distinct()
-    return (
-        unresolved(conditions)
-        .join(days, patient)
-        .filter(F.col(day) >= F.col("_added"))
-        .drop("_added")
+    """Conditions of each (patient, visit day) added on or before that day; one row for each.
+
+    A sweep, so that no other pair is formed: days and conditions of a patient go through one order of
+    time, in which a condition comes before the day it was added on. The days before a condition are those that
+    it is not active on; from the next one on it is, and those are joined by their number. A patient
+    with very many days and conditions is spread over ranges by the order, and over days by the join.
+    """
+    days = visits.select(patient, day).distinct().filter(F.col(patient).isNotNull() & F.col(day).isNotNull())
+    added = unresolved(conditions).filter(F.col(patient).isNotNull())
+    carried = F.struct(*[F.col(f"`{c}`") for c in conditions.columns])
+    swept = days.select(F.col(patient).alias("_patient"), F.col(day).alias("_at"), F.lit(1).alias("_kind")).unionByName(
+        added.select(
+            F.col(patient).alias("_patient"), F.col("_added").cast(days.schema[day].dataType).alias("_at"), F.lit(0).alias("_kind"),
+            carried.alias("_row"),
+        ),
+        allowMissingColumns=True,
+    )
+    is_day = F.col("_kind") == 1
+    placed = with_neighbours(swept, ["_patient"], ["_at", "_kind"], {"_days": tally(F.when(is_day, 1))})
+    numbered = placed.filter(is_day).select("_patient", "_at", F.col("_days").alias("_number"))
+    last = numbered.groupBy("_patient").agg(F.max("_number").alias("_last"))
+    opened = placed.filter("_kind = 0").join(last, "_patient").filter(F.col("_days") < F.col("_last"))
+    pairs = opened.select("_patient", "_row", F.explode(F.sequence(F.col("_days") + 1, "_last")).alias("_number"))
+    others = [F.col(f"_row.`{c}`") for c in conditions.columns if c != patient]
+    return pairs.join(numbered, ["_patient", "_number"]).select(
+        F.col("_patient").alias(patient), *others, F.col("_at").alias(day)
     )
 
 

@@ -60,6 +60,11 @@ def position_from_end() -> Neighbour:
     return Neighbour("position_from_end")
 
 
+def tally(value: Column) -> Neighbour:
+    """Number of non-null values in the rows of the group up to this one."""
+    return Neighbour("tally", value)
+
+
 _BACKWARD = ("following", "first_after", "position_from_end")
 
 
@@ -77,7 +82,7 @@ def with_neighbours(
     out = [F.col(c) for c in df.columns]
     for name, step in wanted.items():
         inside, outside = F.col(name), F.col(f"_c_{name}")
-        if step.value is None:
+        if step.value is None or step.kind == "tally":
             out.append((inside + F.coalesce(outside, F.lit(0))).cast("long").alias(name))
         else:
             out.append(F.coalesce(inside, outside).getField("v").alias(name))
@@ -110,6 +115,9 @@ def _windowed(df, keys, order, wanted) -> DataFrame:
         if step.value is None:
             columns[name] = F.row_number().over(window).cast("long")
             continue
+        if step.kind == "tally":
+            columns[name] = F.count(step.value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            continue
         value = F.struct(step.value.alias("v"))
         if step.kind in ("previous", "following"):
             columns[name] = F.lag(value).over(window)
@@ -127,6 +135,9 @@ def _carry(rows, keys, order, wanted) -> DataFrame:
         if step.value is None:
             edges.append(F.count(F.lit(1)).alias(name))
             continue
+        if step.kind == "tally":
+            edges.append(F.count(step.value).alias(name))
+            continue
         edge = F.min_by if step.kind in _BACKWARD else F.max_by
         counted = step.kind in ("previous", "following")
         when = at if counted else F.when(step.value.isNotNull(), at)
@@ -140,7 +151,7 @@ def _carry(rows, keys, order, wanted) -> DataFrame:
             .orderBy(direction)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        if step.value is None:
+        if step.value is None or step.kind == "tally":
             carried = F.sum(name).over(earlier)
         else:
             carried = F.last(name, ignorenulls=True).over(earlier)
