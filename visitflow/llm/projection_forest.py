@@ -141,7 +141,8 @@ def _forest(nodes: DataFrame, kind: str, cosine: float, trees: int) -> DataFrame
             ),
             "fits",
         )
-        moved = asked.join(fits, here).select("node", "d2", *here, "vector", "splits").mapInArrow(
+        routes = asked.join(fits, here).select("node", "d2", *here, "vector", "splits").sortWithinPartitions(*here)
+        moved = routes.mapInArrow(
             _routed(kind, cosine), "node long, d2 long, tree int, bucket long, whole boolean"
         )
         before, placed = placed, shared.stored(placed.join(large.select(*here), here, "left_anti").select(placed.columns).unionByName(moved), "placed")
@@ -205,7 +206,10 @@ def _routed(kind: str, cosine: float):
     """Each node in the leaves that the splits of its bucket lead it to; in one as large if there is no split."""
 
     def run(batches):
+        known: dict[int, np.ndarray] = {}  # directions; rows come sorted by bucket
         for batch in batches:
+            if len(known) > SAMPLE:
+                known = {}
             tree, bucket = batch.column("tree").to_numpy(), batch.column("bucket").to_numpy()
             order = np.lexsort((bucket, tree))
             cuts = np.flatnonzero((np.diff(tree[order]) != 0) | (np.diff(bucket[order]) != 0)) + 1
@@ -218,7 +222,10 @@ def _routed(kind: str, cosine: float):
                 while todo:
                     s, some = todo.pop()
                     if s >= 0:
-                        at = units[some] @ _direction(int(splits["seed"][s]), units.shape[1]) - splits["threshold"][s]
+                        seed = int(splits["seed"][s])
+                        if seed not in known or len(known[seed]) != units.shape[1]:
+                            known[seed] = _direction(seed, units.shape[1])
+                        at = units[some] @ known[seed] - splits["threshold"][s]
                         todo += [(int(splits["low"][s]), some[at <= margin]), (int(splits["high"][s]), some[at >= -margin])]
                         continue
                     child = mix(mix(name[None]) + np.uint64(-s)).view(np.int64)
