@@ -24,9 +24,7 @@ def listed(df):
 
 @pytest.fixture(scope="module")
 def library():
-    out = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +43,7 @@ def test_stages_are_registered():
     assert names == ["quality classifier", "n-gram Jaccard join", "substring dedup", "secret scans", "packing"]
     queries = entry_point.queries()
     assert queries["pipeline"] is corpus_pipeline.run and set(QUERIES) <= set(queries)
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(ORACLE_SQL) <= set(entry_point.oracle_sql())
 
 

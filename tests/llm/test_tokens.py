@@ -23,9 +23,7 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 @pytest.fixture(scope="module")
 def library():
-    out = Tokenizer.from_file(PATH)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(library, text):
@@ -59,7 +57,7 @@ def test_added_tokens_are_found_as_the_library_finds_them(spark, tmp_path):
     default = Tokenizer.from_file(PATH)
     expected = [default.encode(t, add_special_tokens=False).ids for t in SPECIAL]
     assert expected[0] == [343, 49407, 344]
-    encode = tokens.encoder(open(PATH, "rb").read(), special_as_text=False)
+    encode = tokens.encoder(open(PATH, "rb").read())
     for _ in range(2):
         assert [x.tolist() for x in encode.many([t.encode() for t in SPECIAL])] == expected
     data = cases.rows(SPECIAL, range(len(SPECIAL)))

@@ -45,7 +45,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     """Rows (doc_id, n_shingles, component_id), one for each row of docs."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = shared.stored(
-        texts.mapInArrow(_profiles(width), "doc_id long, n_shingles long, d1 long, d2 long"), "profile"
+        texts.mapInArrow(shared.released(_profiles(width)), "doc_id long, n_shingles long, d1 long, d2 long"), "profile"
     )
     named = profile.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
@@ -60,7 +60,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     twofold = own.where("rep < last_rep").select("doc_id")
     known = of_class.join(twofold, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    rows = texts.where("doc_id IS NOT NULL").mapInArrow(_signatures(width, percent), "sig long, doc_id long, tag int")
+    rows = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_signatures(width, percent)), "sig long, doc_id long, tag int")
     hits = shared.stored(_repeated(rows).drop("head").join(copies, "doc_id", "left_anti"), "hits")
     groups = shared.stored(_repeated(_enough(_repeated(hits))), "groups")
     shared.discard(hits)
@@ -74,10 +74,10 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         ),
         "placed",
     )
-    packed = texts.where("doc_id IS NOT NULL").mapInArrow(_compressed, "doc_id long, text binary")
+    packed = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_compressed), "doc_id long, text binary")
     sets = shared.stored(
         packed.join(placed, "doc_id").mapInArrow(
-            _members(width), "block long, cluster long, doc_id long, grams binary"
+            shared.released(_members(width)), "block long, cluster long, doc_id long, grams binary"
         ),
         "sets",
     )
@@ -95,6 +95,51 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     )
 
 
+def without_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, one of each group of linked texts and of texts with the same shingles, as they are.
+
+    What links is a text, whatever its doc_id. Of a group the row with the smallest key stays. A row's key
+    is its doc_id; rows without one, and rows of a doc_id that other rows have too, get keys below zero
+    from doc_id and text, so unlike texts under one doc_id are told apart and all stay. Of rows alike in
+    doc_id and text one stays. Texts without words are alike to none, but for such repeated rows.
+    """
+    columns = [f"_{k}" for k in range(len(docs.columns))]
+    at_id, at_text = (columns[docs.columns.index(c)] for c in ("doc_id", "text"))
+    rows = docs.toDF(*columns)
+    name = F.col(at_id).cast("long")
+    shared_ids = shared.stored(
+        rows.groupBy(name.alias("_name")).agg(F.count("*").alias("n")).where("n > 1 OR _name IS NULL").select("_name"), "shared-ids"
+    )
+    single = rows.where(name.isNotNull()).join(shared_ids, name == F.col("_name"), "left_anti").withColumn("_key", name)
+    key = -1 - F.shiftrightunsigned(F.xxhash64(F.coalesce(name, F.lit(0)), name.isNull(), F.coalesce(at_text, F.lit("")), F.col(at_text).isNull()), 1)
+    several = (
+        rows.join(shared_ids, name.eqNullSafe(F.col("_name")), "left_semi").withColumn("_key", key).groupBy("_key")
+        .agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row")).select(*[f"_row.{c}" for c in columns], "_key")
+    )
+    rows = single.unionByName(shared.stored(several, "several"))
+    groups = similar_groups(rows.select(F.col("_key").alias("doc_id"), F.col(at_text).alias("text")), width, percent)
+    others = shared.stored(groups.where("component_id < doc_id").select(F.col("doc_id").alias("_other")).distinct(), "others")
+    spot = columns.index(at_text)
+    kinds = [f.dataType.simpleString() for f in docs.schema]
+    packed = ", ".join(f"{c} {'binary' if c == at_text else t}" for c, t in zip(columns, kinds, strict=True))
+    small = rows.mapInArrow(shared.released(_with_text(spot, squeezed)), f"{packed}, _key long")
+    left = small.join(others, F.col("_key") == F.col("_other"), "left_anti").drop("_key")
+    plain = ", ".join(f"{c} {t}" for c, t in zip(columns, kinds, strict=True))
+    return left.mapInArrow(shared.released(_with_text(spot, lambda x: restored(x).cast(pa.string()))), plain).toDF(*docs.columns)
+
+
+def _with_text(at: int, change):
+    """Batches with the text column, the one at this place, changed; texts travel compressed."""
+
+    def run(batches):
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[at] = change(columns[at])
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return run
+
+
 def _paired(sets: DataFrame, groups: DataFrame, placed: DataFrame) -> DataFrame:
     """Rows of sets for each pair of blocks (p, q) to multiply; side says which of the two a row is from.
 
@@ -239,7 +284,7 @@ def _repeated(rows: DataFrame) -> DataFrame:
     """
     n = shared.parts(rows.sparkSession)
     dealt = rows.select("sig", "doc_id", "tag").repartition(n, "sig").sortWithinPartitions("sig", "doc_id")
-    return dealt.mapInArrow(_runs, "sig long, doc_id long, tag int, head long")
+    return dealt.mapInArrow(shared.released(_runs), "sig long, doc_id long, tag int, head long")
 
 
 def _runs(batches):

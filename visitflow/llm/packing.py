@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitflow.llm import tokens
+from visitflow.llm import shared, tokens
 from visitflow.llm.hashing import bytes_of, text_groups
 
 #: Tokens packed together, at most, but for one document more. Bounds a task's memory.
@@ -36,20 +36,16 @@ PIECES = (
 
 
 def packed(
-    docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 1024,
-    special_as_text: bool = True,
+    docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 1024
 ) -> DataFrame:
-    """Rows of pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens).
-
-    special_as_text: a special token's string in a text is ordinary text; else it is that token.
-    """
+    """Rows of pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens)."""
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     vocabulary = tokens.vocabulary(docs.sparkSession, path)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def run(batches):
-        encode = tokens.encoder(vocabulary.value, special_as_text)
+        encode = tokens.encoder(vocabulary.value)
         number = TaskContext.get().partitionId() << 32
         ids, held, total = [], [], 0
         for batch in batches:
@@ -69,7 +65,7 @@ def packed(
             yield from _pieces(ids, held, number, capacity, linear, quadratic)
         encode.forget()
 
-    return texts.mapInArrow(run, PIECES)
+    return texts.mapInArrow(shared.released(run), PIECES)
 
 
 def placed(sizes: np.ndarray, capacity: int, linear: float, quadratic: float) -> Iterator[tuple[int, int, int, int, int]]:

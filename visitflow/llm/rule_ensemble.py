@@ -93,16 +93,19 @@ def scored(docs: DataFrame, labels: DataFrame, usable: Column, target: str = "qu
 
 def accepted(docs: DataFrame, labels: DataFrame, usable: Column, target: str = "quality") -> DataFrame:
     """The rows of docs, as they are, whose score is 0.5 or more. Texts are measured as they pass, not joined."""
-    score = _fit(_measured(docs), labels, usable, target)
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    learnt = _chosen(_known(labels, target).where(usable).join(named, "doc_id")).select("doc_id").distinct()
+    texts = docs.join(F.broadcast(learnt), "doc_id", "left_semi")  # MAX_LABELLED ids at most
+    score = _fit(_measured(texts), labels, usable, target)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = "row " + docs.schema.simpleString() + "".join(f", {m} double" for m in MEASURES)
-    return whole.mapInArrow(_carrying, schema).where(score >= 0.5).select("row.*")
+    return whole.mapInArrow(shared.released(_carrying), schema).where(score >= 0.5).select("row.*")
 
 
 def _measured(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, " + ", ".join(f"{m} double" for m in MEASURES)
-    return shared.stored(texts.mapInArrow(measures, schema), "measures")
+    return shared.stored(texts.mapInArrow(shared.released(measures), schema), "measures")
 
 
 def _carrying(batches):
@@ -115,14 +118,19 @@ def _carrying(batches):
             done += found.num_rows
 
 
-def _fit(measured: DataFrame, labels: DataFrame, usable: Column, target: str) -> Column:
-    known = labels.where(F.col(target).isNotNull()).select(
+def _known(labels: DataFrame, target: str) -> DataFrame:
+    return labels.where(F.col(target).isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("_label")
     )
-    rows = (
-        measured.where(usable).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-        .select("_label", *MEASURES).collect()
-    )
+
+
+def _chosen(labelled: DataFrame) -> DataFrame:
+    """The labelled rows that a fit uses."""
+    return labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+
+
+def _fit(measured: DataFrame, labels: DataFrame, usable: Column, target: str) -> Column:
+    rows = _chosen(measured.where(usable).join(_known(labels, target), "doc_id")).select("_label", *MEASURES).collect()
     table = np.array([tuple(r) for r in rows], np.float64).reshape(len(rows), 1 + len(MEASURES))
     return expression(*fitted(table[:, 1:], table[:, 0] > 0))
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
 import weakref
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +90,24 @@ def scratch(spark: SparkSession):
         _scratch[spark] = outer
 
 
+def released(run):
+    """A task function that gives memory back to the system when it ends.
+
+    Workers are used again, and what a task's buffers leave in the allocators would add up over the steps
+    of a long run.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -52,7 +52,7 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
     texts = keyed.select("rank", "twin", "text")
     mers = shared.stored(
         texts.mapInArrow(
-            _super_mers(size), "rank long, twin long, at int, n int, mini long, k1 long, k2 long"
+            shared.released(_super_mers(size)), "rank long, twin long, at int, n int, mini long, k1 long, k2 long"
         ),
         "mers",
     )
@@ -73,8 +73,8 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
     )
     of_text = unlike.groupBy("rank", "twin").agg(F.collect_list("mer").alias("mers"))
     unpacked = shared.stored(
-        texts.mapInArrow(_smaller, "rank long, twin long, text binary").join(of_text, ["rank", "twin"]).mapInArrow(
-            _unpacked(size), "rank long, twin long, at int, n int, mini long, k1 long, k2 long, words binary"
+        texts.mapInArrow(shared.released(_smaller), "rank long, twin long, text binary").join(of_text, ["rank", "twin"]).mapInArrow(
+            shared.released(_unpacked(size)), "rank long, twin long, at int, n int, mini long, k1 long, k2 long, words binary"
         ),
         "unpacked",
     )
@@ -82,7 +82,7 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
     ranked = (
         unpacked.where("words IS NOT NULL").select("rank", "twin", "at", "mini", "words")
         .repartition(n, "mini").sortWithinPartitions("mini")
-        .mapInArrow(_ranked(size), "rank long, twin long, at int, n int")
+        .mapInArrow(shared.released(_ranked(size)), "rank long, twin long, at int, n int")
     )
     single = unpacked.where("words IS NULL")
     least = single.groupBy("k1", "k2").agg(F.min("rank").alias("lo"))
@@ -92,7 +92,7 @@ def without_repeats(docs: DataFrame, size: int = 50, joined: bool = False) -> Da
     )
     kind = docs.schema.simpleString()
     return keyed.join(spans, ["rank", "twin"], "left").select("row", "spans").mapInArrow(
-        _cut(size, joined), f"row {kind}, n_words long, n_removed long, kept string"
+        shared.released(_cut(size, joined)), f"row {kind}, n_words long, n_removed long, kept string"
     )
 
 
