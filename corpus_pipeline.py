@@ -1,8 +1,7 @@
 """A pipeline over the documents table; each stage's rows are written as Parquet and read by the next.
 
 Stages take (spark, docs, sf_dir). All but the last return the columns of documents. Rows without doc_id
-are kept by every stage that filters by group; rows that repeat a doc_id are one document, of which the near-duplicate
-stage keeps one.
+and rows that repeat a doc_id with another text are documents of their own.
 """
 
 from __future__ import annotations
@@ -10,12 +9,10 @@ from __future__ import annotations
 import weakref
 from collections.abc import Callable
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitflow.llm import ngram_join, packing, rule_ensemble, secret_scan, shared, substring_dedup
-from visitflow.llm.hashing import restored, squeezed
 from visitflow.llm.queries import held_out
 from visitflow.llm.vocabularies import word_bpe
 
@@ -26,35 +23,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group alike in 5-word shingles by 0.8."""
-    groups = ngram_join.similar_groups(docs, width=5, percent=80)
-    others = shared.stored(
-        groups.where("component_id < doc_id").select(F.col("doc_id").alias("_other")).distinct(), "others"
-    )
-    at = docs.columns.index("text")
-    names = [f"_{k}" for k in range(len(docs.columns))]
-    kinds = [docs.schema[c].dataType.simpleString() for c in docs.columns]
-    small = docs.toDF(*names).mapInArrow(
-        _with_text(at, squeezed), ", ".join(f"{n} {'binary' if k == at else t}" for k, (n, t) in enumerate(zip(names, kinds, strict=True)))
-    )
-    key = F.col(names[docs.columns.index("doc_id")])
-    left = small.join(others, key == F.col("_other"), "left_anti")
-    each = F.when(key.isNull(), F.monotonically_increasing_id())  # rows without id are not repeats
-    first = F.row_number().over(Window.partitionBy(key, each).orderBy(F.xxhash64(names[at])))
-    kept = left.withColumn("_row", first).where("_row = 1").select(names)
-    schema = ", ".join(f"{n} {t}" for n, t in zip(names, kinds, strict=True))
-    return kept.mapInArrow(_with_text(at, lambda x: restored(x).cast(pa.string())), schema).toDF(*docs.columns)
-
-
-def _with_text(at: int, change):
-    """Batches with the text column, the one at this place, changed; it travels compressed."""
-    def run(batches):
-        for batch in batches:
-            columns = list(batch.columns)
-            columns[at] = change(columns[at])
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-    return run
+    """One document, the one with the smallest doc_id, of each group of texts alike in 5-word shingles by 0.8."""
+    return ngram_join.without_copies(docs, width=5, percent=80)
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +49,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens."""
-    return packing.packed(docs, word_bpe(), capacity=4096, end_id=2, special_as_text=False)
+    return packing.packed(docs, word_bpe(), capacity=4096, end_id=2)
 
 
 _last: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
