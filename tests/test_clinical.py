@@ -1,6 +1,6 @@
 """Administrations, milestones, conditions, events and cohort edges."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -178,6 +178,21 @@ def test_active_conditions(spark):
     assert [r.LINE for r in found.collect()] == [1]
 
 
+def test_no_pair_outside_the_result_is_formed(spark):
+    """One patient with many days and conditions: the join gives the result's rows and no others."""
+    days = [date(2024, 1, 1) + timedelta(days=k) for k in range(60)]
+    visits = spark.createDataFrame([(1, d) for d in days] + [(2, days[0]), (None, days[0])], "PAT_ID int, appt_date date")
+    rows = [(1, k, f"c{k}", f"{days[k % 60]} 08:00", None) for k in range(90)] + [(None, 1, "no patient", "2024-01-01 00:00", None)]
+    found = active_conditions_asof(visits, conditions(spark, rows))
+    got = sorted((r.appt_date, r.LINE) for r in found.collect())
+    assert got == sorted((d, k) for d in days for k in range(90) if days[k % 60] <= d)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "appt_date" in plan and ">= _added" not in plan and "Generate explode" in plan
+    counted = found.groupBy().count().collect()[0][0]
+    pairs = found._jdf.queryExecution().toRdd().count()
+    assert counted == pairs == len(got)
+
+
 def test_condition_list_keeps_what_each_day_shows(spark):
     """Cutting conditions per day added must not change any later day's clipped text."""
     days = [date(2024, 1, d) for d in (1, 3, 6)]

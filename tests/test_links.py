@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from visitflow.operators import ranges as ranges_of
 from visitflow.operators.linking import link_next, link_previous
 from visitflow.operators.ordered import (
     first_after,
@@ -14,6 +15,7 @@ from visitflow.operators.ordered import (
     position,
     position_from_end,
     previous,
+    tally,
     with_neighbours,
 )
 
@@ -170,12 +172,48 @@ def test_one_group_is_spread_over_many_windows(spark, ranges):
     ranges(10)
     df = visits(spark, [(0, START, csn, 2, 1) for csn in range(3000)])
     n = F.count(F.lit(1)).alias("n")
-    dealt = df.repartitionByRange(10, "pat", "t", "csn").groupBy(F.spark_partition_id()).agg(n)
+    cuts = ranges_of.borders(df, ["pat", "t", "csn"], 10)
+    dealt = ranges_of.with_range(df, ["pat", "t", "csn"], cuts, "part").groupBy("part").agg(n)
     sizes = [r.n for r in dealt.collect()]
     assert len(sizes) >= 8 and max(sizes) < 900
     numbered = with_neighbours(df, ["pat"], ["t", "csn"], {"n": position()})
     assert sorted((r.csn, r.n) for r in numbered.collect()) == [(k, k + 1) for k in range(3000)]
 
 
+@pytest.mark.parametrize("together", [2, 32])
+def test_ranges_follow_the_order(spark, monkeypatch, together):
+    """Nulls, ties and many borders; a row's range grows with its columns, and no range is much larger than others."""
+    monkeypatch.setattr(ranges_of, "TOGETHER", together)
+    rows = [r[:3] for r in random_rows(5)]
+    df = spark.createDataFrame(rows, "pat int, t timestamp_ntz, csn long")
+    cuts = ranges_of.borders(df, ["pat", "t", "csn"], 30)
+    assert 20 <= len(cuts) <= 29
+    found = ranges_of.with_range(df, ["pat", "t", "csn"], cuts, "part").sort("pat", "t", "csn").collect()
+    parts = [r.part for r in found]
+    assert parts == sorted(parts) and set(parts) == set(range(len(cuts) + 1))
+    assert max(parts.count(p) for p in set(parts)) < 5 * len(rows) / 30
+    assert ranges_of.borders(df.limit(0), ["pat"], 5) == [] and ranges_of.borders(df, ["pat"], 1) == []
+
+
+def test_tally_counts_up_to_each_row(spark, ranges):
+    rows = random_rows(6)
+    wanted = {"n": tally(F.when(F.col("dep") == 9, 1))}
+    for parts in (1, 25):
+        ranges(parts)
+        found = with_neighbours(visits(spark, rows), ["pat"], ["t", "csn"], wanted).collect()
+        for r in found:
+            mine = [x for x in rows if x[0] == r.pat and x[4] == 9 and (x[1], x[2]) <= (r.t, r.csn)]
+            assert r.n == len(mine)
+
+
+def test_no_job_beside_the_borders(spark):
+    """Building the plan reads the ordered columns once and stores nothing."""
+    status = spark.sparkContext.statusTracker()
+    before = len(status.getJobIdsForGroup(None))
+    linked = link_previous(visits(spark, random_rows(7)), ["pat"], ["t", "csn"], "status", {"link": F.col("csn")})
+    assert len(status.getJobIdsForGroup(None)) - before <= 4
+    assert "parquet" not in linked._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_empty_input(spark):
     assert linked_previous(visits(spark, [])) == {}

@@ -9,6 +9,7 @@ from visitflow.functions.text import non_empty
 from visitflow.operators.cohort import left_to_many
 from visitflow.operators.lists import enumerate_lines
 from visitflow.operators.ordered import tally, with_neighbours
+from visitflow.session import stored
 
 
 def unresolved(conditions: DataFrame) -> DataFrame:
@@ -42,7 +43,8 @@ def active_conditions_asof(
         allowMissingColumns=True,
     )
     is_day = F.col("_kind") == 1
-    placed = with_neighbours(swept, ["_patient"], ["_at", "_kind"], {"_days": tally(F.when(is_day, 1))})
+    swept = with_neighbours(swept, ["_patient"], ["_at", "_kind"], {"_days": tally(F.when(is_day, 1))})
+    placed = stored(swept, "swept")
     numbered = placed.filter(is_day).select("_patient", "_at", F.col("_days").alias("_number"))
     last = numbered.groupBy("_patient").agg(F.max("_number").alias("_last"))
     opened = placed.filter("_kind = 0").join(last, "_patient").filter(F.col("_days") < F.col("_last"))

@@ -2,7 +2,7 @@
 
 Lists are whole. A list is folded in two levels: lines that are near each other in the order (a slice)
 become one text, then the texts of a parent's slices are joined in order. Slices are ranges of whole
-line numbers or days, so a parent with very many lines is folded by many tasks, and the second level
+line numbers or days, or, for other orders, ranges of parent and order (see `ranges`), so a parent with very many lines is folded by many tasks, and the second level
 moves one text per slice. A `width`, for a sink column that has one, clips every piece on the way; the
 result is the same as clipping the whole list.
 """
@@ -17,21 +17,26 @@ from pyspark.sql import types as T
 
 from visitflow.functions.stamps import stamp_text
 from visitflow.functions.text import clip, escape_markup
+from visitflow.operators import ranges
 from visitflow.operators.cohort import left_to_many
 
 #: Line numbers in a slice.
 SLICE = 256
+#: Days in a slice of lists ordered by dates.
+DAYS = 8
 _SLICE, _PIECE = "_slice", "_piece"
 
 
-def _slice(df: DataFrame, column: str) -> Column:
-    """A value that is the same for neighbouring values of the column and grows with it."""
+def _slice(df: DataFrame, column: str) -> Column | None:
+    """A value that is the same for neighbouring values of the column and grows with it, if its kind has one."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.NumericType):
         return F.floor(F.col(column) / SLICE)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(column)
-    return F.lit(0)
+    if isinstance(kind, T.DateType):
+        return F.floor(F.unix_date(column) / DAYS)
+    return None
 
 
 def _clipped(text: Column, width: int | None) -> Column:
@@ -61,7 +66,13 @@ def _folded(
     width: int | None,
 ) -> DataFrame:
     columns = [F.col(c) for c in order]
-    pieces = lines.groupBy(*keys, _slice(lines, order[0]).alias(_SLICE)).agg(
+    near = _slice(lines, order[0])
+    if near is None:
+        cuts = ranges.borders(lines, [*keys, *order], int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        sliced = ranges.with_range(lines, [*keys, *order], cuts, _SLICE)
+    else:
+        sliced = lines.withColumn(_SLICE, near)
+    pieces = sliced.groupBy(*keys, _SLICE).agg(
         _joined(columns, item, sep, width).alias(_PIECE)
     )
     whole = _joined([F.col(_SLICE)], F.col(_PIECE), sep, width)

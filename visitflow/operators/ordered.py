@@ -1,13 +1,12 @@
 """Values of neighbouring rows within ordered groups of any size.
 
-Rows are dealt once into ranges of (keys, order) of about equal size, so a group that holds a large share
-of the rows spans many ranges. Each range runs its own windows. Only the first and the last group of
-a range can go on in another one; for those, one summary row per range carries what a range needs from
-the ranges before or after it. There is one plan for every size, and nothing is collected.
-
-The dealt rows are stored with their range's number before they are read again. The range borders come
-from a sample of the rows, so a second computation could draw others; stored, the numbers stay the same
-when a task is repeated or an executor is lost.
+Rows are dealt into ranges of (keys, order) of about equal size (see `ranges`), so a group that holds a large
+share of the rows spans many ranges. Each range runs its own windows. Only groups that a border cuts go on
+in another range; for those, one summary row per range carries what a range needs from the ranges before or
+after it. There is one plan for every size, and no row is collected but the sampled borders.
+
+The rows are read once for the borders, their ordered columns only, once for the windows, and once, the
+cut groups only, for the summaries. A caller whose rows are costly to compute stores them first.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitflow.session import stored
+from visitflow.operators import ranges
 
 _PART = "_part"
 
@@ -72,13 +71,16 @@ def with_neighbours(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], wanted: Mapping[str, Neighbour]
 ) -> DataFrame:
     """Add the wanted neighbour values; `order` must be unique within a group."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *keys, *order).withColumn(_PART, F.spark_partition_id())
-    placed = stored(dealt, "ordered")
-    local = _windowed(placed, [_PART, *keys], order, wanted)
-    carried = _carry(_spanning(placed, keys), list(keys), order, wanted)
-    same = [local[k].eqNullSafe(carried[f"_k_{k}"]) for k in [*keys, _PART]]
-    joined = local.join(carried, same, "left")
+    columns = [*keys, *order]
+    cuts = ranges.borders(df, columns, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = ranges.with_range(df, columns, cuts, _PART)
+    joined = _windowed(placed, [_PART, *keys], order, wanted)
+    if cuts:
+        carried = _carry(_spanning(placed, keys, cuts), list(keys), order, wanted)
+        same = [joined[k].eqNullSafe(carried[f"_k_{k}"]) for k in [*keys, _PART]]
+        joined = joined.join(carried, same, "left")
+    else:
+        joined = joined.withColumns({f"_c_{name}": F.lit(None).cast(joined.schema[name].dataType) for name in wanted})
     out = [F.col(c) for c in df.columns]
     for name, step in wanted.items():
         inside, outside = F.col(name), F.col(f"_c_{name}")
@@ -89,17 +91,9 @@ def with_neighbours(
     return joined.select(*out)
 
 
-def _spanning(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of groups that lie in more than one range: at most one group for each border."""
-    key = F.struct(*keys)
-    ends = placed.groupBy(_PART).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    groups = (
-        ends.select(_PART, F.explode(F.array("lo", "hi")).alias("_key"))
-        .groupBy("_key")
-        .agg(F.min(_PART).alias("a"), F.max(_PART).alias("b"))
-        .filter("a < b")
-        .select(*[F.col(f"_key.`{k}`").alias(f"_s_{k}") for k in keys])
-    )
+def _spanning(placed: DataFrame, keys: Sequence[str], cuts: Sequence[ranges.Border]) -> DataFrame:
+    """The rows of the groups that a border cuts."""
+    groups = ranges.groups_cut(placed, keys, cuts)
     same = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
     return placed.join(groups, same, "left_semi")
 

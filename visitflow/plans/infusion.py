@@ -40,6 +40,7 @@ FLAT_ORDER = ("PAT_MRN_ID", "Appointment Time")
 CSN = "PAT_ENC_CSN_ID"
 STAGE_KEYS = {
     "cohort": ("PAT_ID", "appt_date"),
+    "day_visits": (CSN,),
     "visits": (CSN,),
     "administrations": ("ORDER_MED_ID", "TAKEN_TIME"),
     "orders": ("MAR_ENC_CSN", "ORDER_MED_ID"),
@@ -72,7 +73,7 @@ def linked_visits(
     cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
     near = appt.filter(on_window_days("APPT_DTTM", start, end))
     linked = link_previous(
-        expand_cohort(near, cohort),
+        stage("day_visits", expand_cohort(near, cohort)),
         LINK_PART,
         LINK_ORDER,
         "APPT_STATUS_C",

@@ -86,7 +86,7 @@ def linked_visits(
     linkable = scope | F.col("DEPARTMENT_ID").isin(*target) if keep_target else scope
     near = appt.filter(on_window_days("APPT_DTTM", start, end))
     linked = link_next(
-        expand_cohort(near, cohort, linkable),
+        stage("link_visits", expand_cohort(near, cohort, linkable)),
         LINK_PART,
         LINK_ORDER,
         "APPT_STATUS_C",
