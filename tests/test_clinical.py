@@ -2,6 +2,7 @@
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from visitflow.operators.administrations import (
@@ -28,6 +29,7 @@ from visitflow.operators.events import (
     visit_timeline,
 )
 from visitflow.operators.milestones import first_per, last_per, milestone_pivot, with_counts
+from visitflow.sources.warehouse import Warehouse
 
 
 def frame(spark, rows, schema, *times):
@@ -278,3 +280,21 @@ def test_slots(spark):
     appt = spark.createDataFrame([(1, date(2024, 1, 1))], "PAT_ENC_CSN_ID long, CONTACT_DATE date")
     out = open_and_used_slots(slots, appt.select("PAT_ENC_CSN_ID"), appt)
     assert out.count() == 4  # a used slot that also looks unbooked appears twice
+
+
+def test_collated_columns_ignore_case_and_blanks(spark):
+    """Binary by default; by a collation where one is declared."""
+    rows = spark.createDataFrame([(1, "Yes"), (2, "yes "), (3, "YES"), (4, "no"), (5, None)], "id int, v string")
+
+    def found(**options):
+        tables = Warehouse(spark, frames={"T": rows, "U": spark.createDataFrame([("yes", "a")], "v string, w string")}, **options)
+        table, other = tables["T"], tables["U"]
+        equal = {r.id for r in table.filter(F.col("v") == "yes").collect()}
+        among = {r.id for r in table.filter(F.col("v").isin("YES", "x")).collect()}
+        joined = {r.id for r in table.join(other, table["v"] == other["v"]).collect()}
+        return equal, among, joined, table.select("v").distinct().count()
+
+    assert found() == (set(), {3}, set(), 5)
+    assert found(collations={t: {"v": "UTF8_LCASE_RTRIM"} for t in "TU"}) == ({1, 2, 3}, {1, 2, 3}, {1, 2, 3}, 3)
+    with pytest.raises(KeyError, match="absent"):
+        Warehouse(spark, frames={"T": rows}, collations={"T": {"absent": "UTF8_LCASE"}})["T"]

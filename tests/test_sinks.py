@@ -3,15 +3,16 @@
 import csv
 import shutil
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitflow.operators.checks import KeyViolation, assert_unique, duplicate_keys
-from visitflow.session import shared_dir
+from visitflow.session import shared_dir, stored
 from visitflow.sources import commits, contracts, load
-from visitflow.sources.staging import inline, verified, written
+from visitflow.sources.staging import inline, resumable, verified, written
 from visitflow.sources.warehouse import Warehouse
 
 
@@ -171,6 +172,47 @@ def test_stages(spark, tmp_path):
     assert verified({"other": ("k",)}, inline)("pairs", df) is df
 
 
+def test_a_stopped_run_resumes(spark, tmp_path):
+    """Finished stages are read again, unless what they were made from has changed; success leaves nothing."""
+    source, runs = str(tmp_path / "T.parquet"), tmp_path / "runs"
+    spark.range(5).write.parquet(source)
+    made = []
+
+    def extract(stage, fail):
+        def kept(name, df):
+            path = list(runs.glob(f"*/{name}.parquet"))
+            before = sorted(p.stat().st_mtime_ns for p in path[0].glob("part-*")) if path else None
+            out = stage(name, df)
+            after = sorted(p.stat().st_mtime_ns for p in next(runs.glob(f"*/{name}.parquet")).glob("part-*"))
+            made.append((name, before != after))
+            return out
+
+        one = kept("one", spark.read.parquet(source).filter("id > 1"))
+        two = kept("two", one.groupBy().count())
+        if fail:
+            raise Stopped
+        return stored(kept("three", two.union(one.groupBy().count())), "helper").collect()
+
+    def run(day, fail=False):
+        made.clear()
+        with resumable(spark, str(runs), "extract", {"day": day}) as stage:
+            return extract(stage, fail)
+
+    shared = set(Path(shared_dir(spark)).iterdir())
+    with pytest.raises(Stopped):
+        run(1, fail=True)
+    assert made == [("one", True), ("two", True)] and len(list(runs.iterdir())) == 1
+    with pytest.raises(Stopped):
+        run(2, fail=True)  # another day's run keeps its stages apart
+    assert made == [("one", True), ("two", True)] and len(list(runs.iterdir())) == 2
+    assert [r[0] for r in run(1)] == [3, 3]
+    assert made == [("one", False), ("two", False), ("three", True)] and len(list(runs.iterdir())) == 1
+    spark.range(9, 11).write.mode("append").parquet(source)
+    assert [r[0] for r in run(2)] == [5, 5]
+    assert made == [("one", True), ("two", True), ("three", True)] and list(runs.iterdir()) == []
+    assert set(Path(shared_dir(spark)).iterdir()) == shared  # nor does what was stored on the way stay
+
+
 def test_warehouse_sources(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "T.parquet"))
     assert Warehouse(spark, folder=str(tmp_path))["T"].count() == 3

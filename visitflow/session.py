@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import weakref
@@ -21,6 +22,7 @@ SETTINGS = {
 }
 
 _own: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+_scratch: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -41,12 +43,32 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[spark]
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables that `stored` writes in this block go to a folder of their own, which is deleted at its end.
+
+    So frames made in the block are read, or written, in it.
+    """
+    outer, files = _scratch.get(spark), spark._jvm.org.apache.hadoop.fs.Path
+    path = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _scratch[spark] = path
+    try:
+        yield path
+    finally:
+        if outer is None:
+            del _scratch[spark]
+        else:
+            _scratch[spark] = outer
+        files(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(files(path), True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write rows to a path of their own in the shared folder and read them back.
 
-    Later readers neither recompute them nor lose them with an executor. The application clears the
-    shared folder when its run is over.
+    Later readers neither recompute them nor lose them with an executor. They stay until the application clears
+    the shared folder, or until the end of the `scratch` block that they were written in.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{_scratch.get(spark) or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
