@@ -128,3 +128,26 @@ def test_stages_take_hard_rows(spark, stage, library):
         assert len(rows) == len(data)
     empty = corpus_pipeline.STAGES[stage][1](spark, cases.frame(spark, []), SF)
     assert empty.collect() == []
+
+
+def test_join_stage_tells_texts_of_one_id_apart(spark):
+    """Unlike, alike and equal texts under one doc_id and under none: one of each group of alike texts stays."""
+    long = cases.passage(40, 60)
+    texts = [
+        (1, long), (1, long + " end"), (1, cases.passage(41, 50)), (1, cases.passage(42, 50)), (None, cases.passage(43, 50)),
+        (None, cases.passage(43, 50)), (None, long + " more"), (None, cases.passage(44, 50)), (None, None), (None, ""), (2, "few"),
+        (2, "few"), (2, None), (3, cases.passage(45, 50)), (4, cases.passage(45, 50) + " x"), (5, cases.passage(42, 50)), (6, ""),
+    ]
+    docs = cases.frame(spark, cases.rows([t for _, t in texts], [i for i, _ in texts]))
+    kept = [(r[0], r[1]) for r in listed(dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF))]
+    assert set(kept) <= set(texts) and len(kept) == len(set(kept))
+    sets = {t: cases.shingle_set(t, 5) for _, t in texts}
+
+    def alike(a, b):
+        x, y = sets[a], sets[b]
+        return bool(x and y) and 100 * len(x & y) >= 80 * len(x | y)
+
+    for i, t in set(texts):
+        stands = [k for k in kept if alike(k[1], t)]
+        assert len(stands) == 1 if sets[t] else (i, t) in kept  # here every group is one of mutual links
+    assert {(3, texts[13][1]), (None, texts[4][1]), (2, "few"), (2, None), (6, "")} <= set(kept)

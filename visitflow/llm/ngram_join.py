@@ -397,3 +397,26 @@ def _spanning(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int,
             lead[max(p, q)] = min(p, q)
             out.append((x, y))
     return out
+
+
+#: For DuckDB: overlaps of all pairs of sets of three-word shingles that share one.
+ORACLE_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM split WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM grams x JOIN grams y USING (gram) WHERE x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs o JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    WHERE 100 * o.n >= 90 * (s.n + t.n - o.n)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, root) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM reach JOIN both_ways ON a = node
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(root) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach ON node = d.doc_id GROUP BY d.doc_id, s.n
+"""

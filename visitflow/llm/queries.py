@@ -135,7 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op4_sharding": sharding.ORACLE_SQL,
+    "op6_substring_dedup": substring_dedup.ORACLE_SQL,
     "op11_projection_forest": projection_forest.ORACLE_SQL,
     "op13_lexical_search": lexical_search.ORACLE_SQL,
 }

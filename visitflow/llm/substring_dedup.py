@@ -303,3 +303,23 @@ def _without(text: bytes, gone: np.ndarray) -> bytes:
         out.append(text[last:s])
         last = e
     return b"".join([*out, text[last:]])
+
+
+#: For DuckDB: every window of 50 words of every document, and the smallest doc_id that each starts in.
+ORACLE_SQL = r"""
+WITH split AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS w
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM split WHERE len(words) >= 50)
+), firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN firsts USING (w) WHERE first < doc_id
+), placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT split.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept ON kept.doc_id = split.doc_id
+"""
