@@ -35,11 +35,12 @@ def crc(ids):
 
 
 def test_words_give_the_ids_of_whole_texts(library, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    monkeypatch.setattr(tokens, "RECENT", 20)
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
     odd = [
         "", " ", "á ́b", "x\x85y \xa0 z", "　a b c", "don't I'LL 's 's", "ΑΣ Σ ΑΣΑΣ", "İstanbul ǅ",
         "\x1c a\x1cb\x1f", "<|endoftext|>", "각 가", "1234 ½ ²³", "​‍", "👍🏽🇩🇪", "a" * 300 + " b",
-        "\x00", "a \x01 b\x01c", *[t or "" for t in cases.TEXTS],
+        "\x00", "a \x01 b\x01c", "H̱ ẖ straße,Größe-12é ÷× ß' Ÿ", "a<|ENDOFTEXT|>b x", *[t or "" for t in cases.TEXTS],
     ]
     encode = tokens.Encoder(open(PATH, "rb").read())
     for _ in range(2):

@@ -102,7 +102,8 @@ def compared_with_edits(docs: DataFrame) -> DataFrame:
     """
     least = -(1 << 63)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = np.array(shared.range_bounds(rows, "doc_id"), np.int64)
+    n = 4 * shared.parts(docs.sparkSession)
+    bounds = np.array(shared.range_bounds(rows, "doc_id", n), np.int64)
 
     def first_ids(batches):
         for batch in batches:
@@ -131,7 +132,7 @@ def compared_with_edits(docs: DataFrame) -> DataFrame:
 
     sorted_rows = (
         rows.mapInArrow(dealt, "part int, guest boolean, doc_id long, text string")
-        .repartition(4 * shared.parts(docs.sparkSession), "part")
+        .repartitionById(n, "part")  # a range is a task
         .sortWithinPartitions("part", "guest", F.asc_nulls_first("doc_id"), "text")
     )
     return sorted_rows.mapInArrow(_compared, OUT)

@@ -73,7 +73,8 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> None:
     """Encode each whole text, end it with end_id, and write the corpus folder."""
     spark = docs.sparkSession
     vocabulary = tokens.vocabulary(spark, path)
-    bounds = shared.range_bounds(docs, "doc_id")
+    n = 4 * shared.parts(spark)
+    bounds = shared.range_bounds(docs, "doc_id", n)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def encoded(batches):
@@ -127,7 +128,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> None:
             )
 
     rows = ids.mapInArrow(coded, "part int, doc_id long, n long, control binary, data binary")
-    dealt = rows.repartition(shared.parts(spark), "part").sortWithinPartitions("part", F.asc_nulls_first("doc_id"))
+    dealt = rows.repartitionById(n, "part").sortWithinPartitions("part", F.asc_nulls_first("doc_id"))
     dealt.mapInArrow(_blocks, BLOCKS).write.option("compression", "zstd").parquet(f"{folder}/blocks")
 
 

@@ -159,9 +159,8 @@ def with_rank(df: DataFrame, keys: list[str], weight: str | None = None) -> Data
 EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def range_bounds(df: DataFrame, key: str) -> list[int]:
-    """Whole numbers that cut the values of key into about as many equal ranges as shuffle partitions."""
-    n = parts(df.sparkSession)
+def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
+    """Whole numbers that cut the values of key into about n equal ranges."""
     shares = ", ".join(str(k / n) for k in range(1, n)) or "0.5"
     row = df.select(F.expr(f"percentile_approx(cast(`{key}` AS long), array({shares}), {max(10_000, 10 * n)})")).first()
     return sorted(set(row[0] or []))

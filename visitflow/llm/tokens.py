@@ -163,7 +163,7 @@ class Encoder:
         closes[:-1] &= ~inside[1:]
         begins[breaks], closes[breaks - 1] = inside[breaks], inside[breaks - 1]
         word = np.cumsum(begins) - 1
-        plain = np.ones(int(begins.sum()), bool)
+        plain = np.ones(max(1, int(begins.sum())), bool)
         plain[word[kinds == _ODD]] = False
         lower = np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint8)
         small = lower.tobytes() if self._added else b""
