@@ -25,9 +25,9 @@ SAMPLE_SQL = f"""
              AND CONTACT_DATE >= DATE '2024-01-02' AND APPT_STATUS_C = 2)"""
 # Events of the encounters in `csns`; one catalogue names the event's and the patient's template.
 EVENTS_SQL = f"""
-    catalogue AS (SELECT RECORD_ID, RECORD_NAME, EVT_TMPLT_CLASS_C AS class, NAME AS class_name
-                  FROM ZC_EVT_TMPLT_CLASS RIGHT JOIN ED_LEV_EVENT_INFO USING (EVT_TMPLT_CLASS_C)
-                    RIGHT JOIN ED_EVENT_TMPL_INFO USING (RECORD_ID)),
+    catalogue AS (SELECT t.RECORD_ID, t.RECORD_NAME, l.EVT_TMPLT_CLASS_C AS class, c.NAME AS class_name
+                  FROM ED_EVENT_TMPL_INFO t LEFT JOIN ED_LEV_EVENT_INFO l ON l.RECORD_ID = t.RECORD_ID
+                    LEFT JOIN ZC_EVT_TMPLT_CLASS c ON c.EVT_TMPLT_CLASS_C = l.EVT_TMPLT_CLASS_C),
     happened AS (SELECT * FROM ED_IEV_EVENT_INFO WHERE EVENT_TYPE IN {ids(BOARD_EVENT_TYPES)}),
     iev AS (SELECT p.PAT_ID, p.{CSN}, p.TYPE_ID AS "TYPE_ID_pat", EVENT_ID AS "EVENT_ID_pat",
         EVENT_TYPE AS "EVENT_TYPE_iev", EVENT_ID AS "EVENT_ID_iev",
