@@ -19,7 +19,7 @@ from visitflow.sources import commits
 from visitflow.sources.contracts import Contract, SinkColumn
 
 #: Buckets of a sink's key index.
-BUCKETS = 64
+BUCKETS = 16
 
 
 def with_audit(df: DataFrame, tag: str, load_ts: datetime) -> DataFrame:
