@@ -22,7 +22,6 @@ from visitflow.operators.administrations import (
 from visitflow.operators.cohort import (
     expand_cohort,
     in_scope,
-    on_window_days,
     patient_day_cohort,
     rows_of,
 )
@@ -66,14 +65,13 @@ def linked_visits(
     Links are found among all of the patient's visits that day; only then are the visits reduced
     to the departments in scope and looked up elsewhere.
     """
-    appt = wh["V_SCHED_APPT"].select(*_APPT)
+    appt = wh.on_days("V_SCHED_APPT", "APPT_DTTM", start, end).select(*_APPT)
     scope = in_scope(departments)
     if patient is not None:
         appt = appt.filter(F.col("PAT_ID") == patient)
     cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
-    near = appt.filter(on_window_days("APPT_DTTM", start, end))
     linked = link_previous(
-        stage("day_visits", expand_cohort(near, cohort)),
+        stage("day_visits", expand_cohort(appt, cohort)),
         LINK_PART,
         LINK_ORDER,
         "APPT_STATUS_C",
@@ -94,7 +92,8 @@ def medication_spans(
     given = stage(
         "administrations",
         infusion_administrations(
-            wh["MAR_ADMIN_INFO"], wh["ORDER_MEDINFO"], wh["PAT_ENC"], departments, start, end
+            wh.on_days("MAR_ADMIN_INFO", "SCHEDULED_TIME", start, end), wh["ORDER_MEDINFO"], wh["PAT_ENC"],
+            departments, start, end,
         ),
     )
     orders = attach_treatment_plan(

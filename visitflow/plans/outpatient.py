@@ -16,7 +16,6 @@ from visitflow.functions.text import blank, comma_safe, non_empty, pseudonym, sa
 from visitflow.operators.cohort import (
     expand_cohort,
     in_scope,
-    on_window_days,
     patient_day_cohort,
     rows_of,
 )
@@ -58,11 +57,10 @@ def scoped_visits(
     stage: Stage = inline,
 ) -> DataFrame:
     """Scoped visits on the days of the cohort's patients."""
-    appt = wh["V_SCHED_APPT"].select(*_APPT)
+    appt = wh.on_days("V_SCHED_APPT", "APPT_DTTM", start, end).select(*_APPT)
     scope = in_scope(departments, providers)
     cohort = stage("cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
-    near = appt.filter(on_window_days("APPT_DTTM", start, end))
-    return stage("visits", expand_cohort(near, cohort, scope))
+    return stage("visits", expand_cohort(appt, cohort, scope))
 
 
 def linked_visits(
@@ -80,13 +78,12 @@ def linked_visits(
     The current rule looks for the link among scoped visits only. `keep_target` is the earlier
     rule, which also considers visits to the target departments before scoping.
     """
-    appt = wh["V_SCHED_APPT"].select(*_APPT)
+    appt = wh.on_days("V_SCHED_APPT", "APPT_DTTM", start, end).select(*_APPT)
     scope = in_scope(departments, providers)
     cohort = stage("link_cohort", patient_day_cohort(appt, wh["PATIENT"], start, end, scope))
     linkable = scope | F.col("DEPARTMENT_ID").isin(*target) if keep_target else scope
-    near = appt.filter(on_window_days("APPT_DTTM", start, end))
     linked = link_next(
-        stage("link_visits", expand_cohort(near, cohort, linkable)),
+        stage("link_visits", expand_cohort(appt, cohort, linkable)),
         LINK_PART,
         LINK_ORDER,
         "APPT_STATUS_C",

@@ -18,7 +18,6 @@ from visitflow.operators.cohort import (
     expand_cohort,
     in_scope,
     left_to_many,
-    on_window_days,
     patient_day_cohort,
     rows_of,
 )
@@ -61,7 +60,7 @@ def scoped_visits(
     wh: Warehouse, departments: Sequence, start: datetime, end: datetime, stage: Stage = inline
 ) -> tuple[DataFrame, DataFrame]:
     """The cohort of encounters, and the scoped visits on its patient-days."""
-    appt = wh["V_SCHED_APPT"].select(*_APPT)
+    appt = wh.on_days("V_SCHED_APPT", "APPT_DTTM", start, end).select(*_APPT)
     scope = in_scope(departments)
     cohort = stage(
         "cohort",
@@ -71,8 +70,7 @@ def scoped_visits(
         ),
     )
     days = cohort.select("PAT_ID", "appt_date", "PAT_MRN_ID", "LANGUAGE_C").distinct()
-    near = appt.filter(on_window_days("APPT_DTTM", start, end))
-    return cohort, stage("visits", expand_cohort(near, days, scope))
+    return cohort, stage("visits", expand_cohort(appt, days, scope))
 
 
 def visit_details(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitflow.operators.cohort import on_window_days
+
 
 class Warehouse(Mapping):
     """Source tables by name, from a folder of parquet tables, a catalog schema, or given frames.
@@ -45,6 +48,14 @@ class Warehouse(Mapping):
             self._frames[name] = _collated(frame, self._collations.get(name, {}))
         return self._frames[name]
 
+    def on_days(self, name: str, time: str, start: datetime, end: datetime) -> DataFrame:
+        """A table's rows on the days that the window touches; a layout by that time reads no other periods."""
+        return self._within(self[name], time, start, end)
+
+    @staticmethod
+    def _within(rows: DataFrame, time: str, start: datetime, end: datetime) -> DataFrame:
+        return rows.filter(on_window_days(time, start, end))
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._frames | self._given)
 
