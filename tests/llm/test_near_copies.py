@@ -54,6 +54,69 @@ def test_many_blocks_and_slices_change_nothing(spark, monkeypatch):
     assert {r[0]: r[1:] for r in cut} == cases.groups(data, 3, 90)
 
 
+def overlapping(n, step, size):
+    """Texts of which each is alike to its next neighbours only, in an order of ids that scatters them."""
+    every = cases.passage(77, step * n + size).split()
+    ids = list(range(n))
+    random.Random(4).shuffle(ids)
+    return cases.rows([" ".join(every[k * step : k * step + size]) for k in range(n)], ids)
+
+
+@pytest.mark.parametrize("few", [None, 1])
+def test_documents_go_to_blocks_that_they_can_link_with(spark, monkeypatch, few):
+    """A cluster over 30 blocks in which a document is alike to few others; with one block followed, blocks meet whole."""
+    sent, paired = [], ngram_join._paired
+
+    def counted(*tables):
+        sent.append(paired(*tables))
+        return sent[-1]
+
+    monkeypatch.setattr(ngram_join, "_paired", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 3000)
+    monkeypatch.setattr(shared, "discard", lambda frame: None)
+    if few:
+        monkeypatch.setattr(ngram_join, "FEW_BLOCKS", few)
+    data = overlapping(120, 7, 150)
+    got = found_groups(cases.frame(spark, data), width=3, percent=90)
+    assert {r[0]: r[1:] for r in got} == cases.groups(data, 3, 90) and {r[2] for r in got} == {0}
+    assert sent[0].where("p = q").count() == 120
+    if not few:
+        assert sent[0].where("p < q").count() < 120 * 9
+
+
+@pytest.mark.parametrize("rows_a_batch, most", [(1000, 1 << 16), (7, 1 << 16), (7, 3)])
+def test_rows_shared_with_one_party(monkeypatch, rows_a_batch, most):
+    """Against counting for each pair: no row that a pair shares often enough goes, whatever the size of a group."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "WIDE_GROUP", most)
+    rng = np.random.default_rng(3)
+    rows = sorted({(int(s), int(d)) for s, d in zip(rng.integers(0, 300, 900), rng.integers(0, 150, 900), strict=True)} | {(5, d) for d in range(40)})
+
+    def batches(columns):
+        table = pa.table({k: pa.array(v, t) for k, (v, t) in columns.items()})
+        return table.to_batches(max_chunksize=rows_a_batch)
+
+    def listed(out):
+        return [x for b in out for x in b.to_pylist()]
+
+    met = listed(ngram_join._met(batches({
+        "sig": ([s for s, _ in rows], pa.int64()), "doc_id": ([d for _, d in rows], pa.int64()), "tag": ([256 + 2] * len(rows), pa.int32()),
+    })))
+    met.sort(key=lambda r: (r["doc_id"], r["tag"]))
+    kept = listed(ngram_join._sharing(batches({
+        c: ([r[c] for r in met], pa.int32() if c == "tag" else pa.int64()) for c in ("sig", "doc_id", "tag", "others")
+    })))
+    of = {}
+    for s, d in rows:
+        of.setdefault(d, set()).add(s)
+    needed = {(s, a) for a in of for b in of if a != b and len(of[a] & of[b]) >= 2 for s in of[a] & of[b]}
+    got = {(r["sig"], r["doc_id"]) for r in kept}
+    assert needed <= got <= set(rows) and len(got) == len(kept)
+    if most > 100:
+        assert len(got) < 0.8 * len(rows)
+
+
 @pytest.mark.parametrize("slice_bytes", [64, 4096, 1 << 20])
 def test_column_slices_find_the_same_pairs(monkeypatch, slice_bytes):
     monkeypatch.setattr(ngram_join, "SLICE_BYTES", slice_bytes)

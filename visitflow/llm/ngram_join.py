@@ -9,10 +9,12 @@ that can hold a link are multiplied:
    d + s segments, so two linked sets agree in s whole segments at least. Sets that share a segment are
    candidates. A common passage fills no segment by itself, so it makes no candidates. Empty segments
    count only for a set that has s of them; s is three and three times the share that is expected empty.
+   A set is a candidate only if it shares as many segments with the documents of one of 64 parties.
 3. Connected candidates form clusters. Documents in order of cluster and size are cut into blocks of
-   bounded weight, and each pair of blocks that shares a segment is one task. It adds up overlap counts
-   over column slices and discards pairs whose sizes, or whose count plus what is left, cannot reach the
-   bound. A task returns links that span what it found linked, not all pairs.
+   bounded weight, and each pair of blocks that shares a segment is one task. To another block go the
+   documents that share s segments with it. The task adds up overlap counts over column slices and
+   discards pairs whose sizes, or whose count plus what is left, cannot reach the bound. It returns
+   links that span what it found linked, not all pairs.
 
 No link between different sets is lost, and no group is gathered beyond one block.
 
@@ -37,6 +39,10 @@ from visitflow.llm.hashing import ShingleSets, Words, bytes_of, mix, restored, s
 #: Shingles in a block; a document counts ROW_WEIGHT more, which bounds the documents in a block.
 BLOCK_WEIGHT = 1 << 18
 ROW_WEIGHT = 512
+#: Blocks of one signature up to which each document is followed to the other blocks.
+FEW_BLOCKS = 16
+#: Rows of one signature that are held to see who they are from; more are let through as met by all.
+WIDE_GROUP = 1 << 16
 #: Bytes of one dense column slice.
 SLICE_BYTES = 32 << 20
 
@@ -62,7 +68,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
     rows = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_signatures(width, percent)), "sig long, doc_id long, tag int")
     hits = shared.stored(_repeated(rows).drop("head").join(copies, "doc_id", "left_anti"), "hits")
-    groups = shared.stored(_repeated(_enough(_repeated(hits))), "groups")
+    groups = shared.stored(_repeated(_enough(hits)), "groups")
     shared.discard(hits)
     clusters = shared.components(groups.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
     nodes = clusters.join(own, F.col("node") == F.col("doc_id")).select(
@@ -74,17 +80,18 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         ),
         "placed",
     )
+    partners, pairs = _partners(groups, placed)
+    shared.discard(groups)
     packed = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_compressed), "doc_id long, text binary")
     sets = shared.stored(
-        packed.join(placed, "doc_id").mapInArrow(
-            shared.released(_members(width)), "block long, cluster long, doc_id long, grams binary"
+        packed.join(placed, "doc_id").join(partners, "doc_id", "left").select("block", "cluster", "doc_id", "text", "others").mapInArrow(
+            shared.released(_members(width)), "block long, cluster long, doc_id long, grams binary, others array<long>"
         ),
         "sets",
     )
-    found = _paired(sets, groups, placed).groupBy("p", "q", "part").applyInArrow(_product(percent), shared.EDGES)
+    found = _paired(sets, pairs).groupBy("p", "q", "part").applyInArrow(_product(percent), shared.EDGES)
     roots = shared.components(found.unionByName(known))
     shared.discard(sets)  # what was found in them is stored
-    shared.discard(groups)
     lead = own.join(roots, F.col("rep") == F.col("node"), "left").select(
         "doc_id", F.coalesce("root", "rep").alias("lead")
     )
@@ -140,27 +147,53 @@ def _with_text(at: int, change):
     return run
 
 
-def _paired(sets: DataFrame, groups: DataFrame, placed: DataFrame) -> DataFrame:
-    """Rows of sets for each pair of blocks (p, q) to multiply; side says which of the two a row is from.
+def _partners(groups: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What meets across blocks: (doc_id, others), the blocks a document goes to, and pairs (p, q, part) that meet whole.
 
-    A block meets itself as a whole (part is null), another block only in a cluster that both hold.
+    A document goes to another block if it shares as many rows with it as a link takes. Signatures in over
+    FEW_BLOCKS blocks are not followed for each document; all of the cluster in two blocks that share one meets.
     """
-    spots = groups.join(placed, "doc_id").select("sig", "cluster", "block").distinct()
-    other = spots.select("sig", F.col("block").alias("q"))
+    wide = placed.groupBy("cluster").agg(F.min("block").alias("s"), F.max("block").alias("e")).where("s < e").select("cluster")
+    spots = groups.join(placed.join(wide, "cluster"), "doc_id").select("sig", "doc_id", "tag", "cluster", "block")
+    spots = shared.stored(spots, "spots")
+    held = (
+        spots.groupBy("sig").agg(F.min("cluster").alias("part"), F.collect_set("block").alias("blocks"))
+        .where("size(blocks) > 1")
+    )
+    followed = spots.join(held.where(f"size(blocks) <= {FEW_BLOCKS}").drop("part"), "sig")
+    partners = (
+        followed.select("doc_id", "tag", F.explode(F.array_remove("blocks", F.col("block"))).alias("other"))
+        .groupBy("doc_id", "tag", "other").agg(F.count("*").alias("n")).where("n >= tag % 256")
+        .groupBy("doc_id").agg(F.collect_set("other").alias("others"))
+    )
     pairs = (
-        spots.withColumnRenamed("block", "p").join(other, "sig").where("p < q")
-        .select("p", "q", F.col("cluster").alias("part")).distinct()
+        held.where(f"size(blocks) > {FEW_BLOCKS}").select("part", "blocks", F.explode("blocks").alias("p"))
+        .select("part", "p", F.explode("blocks").alias("q")).where("p < q").distinct()
     )
-    pairs = shared.stored(pairs, "pairs")
+    out = shared.stored(partners, "partners"), shared.stored(pairs, "pairs")
+    shared.discard(spots)
+    return out
+
+
+def _paired(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of sets for each pair of blocks (p, q) to multiply; side says which of the two a row is from.
+
+    A block meets itself as a whole (part is null), another block only in a cluster that both hold.
+    """
     columns = ["p", "q", "part", "side", "cluster", "doc_id", "grams"]
     same = sets.select(
         F.col("block").alias("p"), F.col("block").alias("q"), F.lit(None).cast("long").alias("part"),
         F.lit(0).alias("side"), "cluster", "doc_id", "grams",
     )
+    sent = sets.select("block", "cluster", "doc_id", "grams", F.explode("others").alias("other")).select(
+        F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), F.col("cluster").alias("part"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "cluster", "doc_id", "grams",
+    )
     left = sets.join(pairs, (F.col("block") == F.col("p")) & (F.col("cluster") == F.col("part")))
     right = sets.join(pairs, (F.col("block") == F.col("q")) & (F.col("cluster") == F.col("part")))
     return (
-        same.unionByName(left.withColumn("side", F.lit(0)).select(columns))
+        same.unionByName(sent)
+        .unionByName(left.withColumn("side", F.lit(0)).select(columns))
         .unionByName(right.withColumn("side", F.lit(1)).select(columns))
     )
 
@@ -209,7 +242,7 @@ def _members(width: int):
                 sets = ShingleSets(Words(raw, at, lower=True), width)
                 yield _batch(
                     block=own.column("block"), cluster=own.column("cluster"), doc_id=own.column("doc_id"),
-                    grams=pa.array([sets.values.tobytes()], pa.binary()),
+                    grams=pa.array([sets.values.tobytes()], pa.binary()), others=own.column("others"),
                 )
 
     return run
@@ -260,7 +293,7 @@ def _signatures(width: int, percent: int):
                     keep = filled | (blank >= spare)[doc]  # so many empty segments may be all that two sets share
                     number = (np.arange(total) - base[doc]).astype(np.uint64)
                     tag = mix((label[doc].astype(np.uint64) << np.uint64(40)) + number + np.uint64(1))
-                    sig = mix(sums + tag)[keep]
+                    sig = (mix(sums + tag) >> np.uint64(16))[keep]  # 48 bits, for short rows; what collides is told apart by the product
                     need = np.clip(spare - blank, 1, 255)
                     mark = (label * 256 + need).astype(np.int32)
                     yield _batch(sig=sig.view(np.int64), doc_id=ids[i:j][doc[keep]].astype(np.int64), tag=mark[doc[keep]])
@@ -269,12 +302,69 @@ def _signatures(width: int, percent: int):
 
 
 def _enough(rows: DataFrame) -> DataFrame:
-    """Rows of the documents and labels that share as many rows as a link takes."""
-    rows = rows.drop("head")
-    few = (
-        rows.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n < tag % 256").select("doc_id", "tag")
+    """Rows of the documents and labels that share as many rows as a link takes with the documents of one party.
+
+    Documents are dealt by hash into 64 parties. What a document shares with many others, a row with each, as
+    a common passage makes it do, grows with the table; what it shares with one party does so 64 times less.
+    """
+    n = shared.parts(rows.sparkSession)
+    met = (
+        rows.select("sig", "doc_id", "tag").repartition(n, "sig").sortWithinPartitions("sig")
+        .mapInArrow(shared.released(_met), "sig long, doc_id long, tag int, others long")
     )
-    return rows.join(shared.stored(few, "few"), ["doc_id", "tag"], "left_anti")
+    by_doc = met.repartition(n, "doc_id").sortWithinPartitions("doc_id", "tag")
+    return by_doc.mapInArrow(shared.released(_sharing), "sig long, doc_id long, tag int")
+
+
+def _whole_groups(batches, names: tuple[str, ...], keys: int, most: int | None = None):
+    """Columns of sorted rows, cut where the first `keys` columns change; True after a cut inside a group of over `most` rows."""
+    held = None
+    for batch in batches:
+        fresh = [batch.column(c).to_numpy() for c in names]
+        held = fresh if held is None else [np.concatenate(x) for x in zip(held, fresh, strict=True)]
+        changes = np.flatnonzero(np.any([k[1:] != k[:-1] for k in held[:keys]], axis=0))
+        if len(changes):
+            cut = int(changes[-1]) + 1
+            yield [x[:cut] for x in held], False
+            held = [x[cut:] for x in held]
+        if most is not None and len(held[0]) > most:
+            yield held, True
+            held = None
+    if held is not None and len(held[0]):
+        yield held, False
+
+
+def _met(batches):
+    """Rows whose signature other rows have too, with the parties (bits) of those; all bits in very large groups."""
+    wide = None
+    for (sig, doc, tag), inside in _whole_groups(batches, ("sig", "doc_id", "tag"), 1, WIDE_GROUP):
+        fresh = np.ones(len(sig), bool)
+        fresh[1:] = sig[1:] != sig[:-1]
+        group = np.cumsum(fresh) - 1
+        party = (mix(doc.view(np.uint64)) & np.uint64(63)).astype(np.int64)
+        bit = np.uint64(1) << party.astype(np.uint64)
+        together = np.bitwise_or.reduceat(bit, np.flatnonzero(fresh))
+        _, of, count = np.unique(group * 64 + party, return_inverse=True, return_counts=True)
+        others = together[group] & ~np.where(count[of] > 1, np.uint64(0), bit)
+        open_end = sig == wide if wide is not None else np.zeros(len(sig), bool)
+        if inside:
+            wide = sig[-1]
+            open_end |= sig == wide
+        others[open_end] = ~np.uint64(0)
+        keep = others > 0
+        yield _batch(sig=sig[keep], doc_id=doc[keep], tag=tag[keep], others=others[keep].view(np.int64))
+
+
+def _sharing(batches):
+    """Rows met by a party that meets enough rows of the document and label."""
+    for (doc, tag, sig, others), _ in _whole_groups(batches, ("doc_id", "tag", "sig", "others"), 2):
+        fresh = np.ones(len(doc), bool)
+        fresh[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
+        begins = np.flatnonzero(fresh)
+        bits = np.unpackbits(others.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        enough = np.add.reduceat(bits, begins, axis=0, dtype=np.int64) >= (tag[begins] % 256)[:, None]
+        keep = (bits & enough[np.cumsum(fresh) - 1]).any(axis=1)
+        yield _batch(sig=sig[keep], doc_id=doc[keep], tag=tag[keep])
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
@@ -316,6 +406,7 @@ def _marked(sig, doc, tag, n, last, head):
 
 def _product(percent: int):
     def run(table: pa.Table) -> pa.Table:
+        across = table.column("part").null_count == 0
         table = table.select(["side", "cluster", "doc_id", "grams"]).sort_by([("cluster", "ascending"), ("doc_id", "ascending")])
         side = table.column("side").to_numpy()
         cluster = table.column("cluster").to_numpy()
@@ -328,7 +419,7 @@ def _product(percent: int):
                 continue
             values = [np.frombuffer(grams[k].as_buffer(), np.uint64) for k in range(s, e)]
             left, right = np.flatnonzero(side[s:e] == 0), np.flatnonzero(side[s:e] == 1)
-            i, j = linked_pairs(values, left, right if len(right) else left, percent)
+            i, j = linked_pairs(values, left, right if across else left, percent)
             edges += _spanning(ids[s:e], i, j)
         return pa.table(
             {"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())}
