@@ -84,6 +84,59 @@ def test_documents_go_to_blocks_that_they_can_link_with(spark, monkeypatch, few)
         assert sent[0].where("p < q").count() < 120 * 9
 
 
+def sent_across(monkeypatch):
+    """Rows that go to a pair of unlike blocks, counted when the function it gives is called; blocks are small."""
+    sent, paired = [], ngram_join._paired
+
+    def counted(*tables):
+        sent.append(paired(*tables))
+        return sent[-1]
+
+    monkeypatch.setattr(ngram_join, "_paired", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 3000)
+    monkeypatch.setattr(shared, "discard", lambda frame: None)
+    return lambda: sum(frame.where("p < q").count() for frame in sent)
+
+
+@pytest.mark.parametrize("kind", ["copies of one text", "texts with a common passage"])
+def test_rows_sent_do_not_grow_with_the_square_of_a_cluster(spark, monkeypatch, kind):
+    """Over about 30 blocks, which documents once met one by one; a row for each and block would be over 2000."""
+    rng = random.Random(11)
+    if kind == "copies of one text":
+        base = cases.passage(60, 130)
+        words = [base.split() for _ in range(140)]
+        for k, w in enumerate(words):
+            w[rng.randrange(130)] = f"new{k}"
+        data = cases.rows([" ".join(w) for w in words])
+    else:
+        common = cases.passage(61, 130)
+        data = cases.rows([common + " " + cases.passage(2000 + k, 22) for k in range(140)])
+    rows = sent_across(monkeypatch)
+    got = found_groups(cases.frame(spark, data), width=3, percent=90)
+    expected = cases.groups(data, 3, 90)
+    assert {r[0]: r[1:] for r in got} == expected
+    assert len({c for _, c in expected.values()}) == (1 if kind == "copies of one text" else 140)
+    assert rows() <= 2 * 140
+
+
+@pytest.mark.parametrize("few", [1, 1000])
+def test_clusters_over_many_blocks_equal_all_pairs(spark, monkeypatch, few):
+    """Several groups that share passages, with documents just above and below the share of a link, and one id with two texts."""
+    rng = random.Random(12)
+    bases = [cases.passage(62, 90) + " " + cases.passage(63 + k, 50) for k in range(4)]
+    texts = [edited(rng, rng.choice(bases), rng.choice([0.002, 0.01, 0.017, 0.03])) for _ in range(140)]
+    data = cases.rows(texts)
+    twice = cases.rows([edited(rng, bases[0], 0), edited(rng, bases[1], 0)], [5, 5])
+    monkeypatch.setattr(ngram_join, "FEW_BLOCKS", few)
+    sent_across(monkeypatch)
+    plain = found_groups(cases.frame(spark, data), width=3, percent=90)
+    assert {r[0]: r[1:] for r in plain} == cases.groups(data, 3, 90)
+    both = dict((r[0], r[2]) for r in found_groups(cases.frame(spark, data + twice), width=3, percent=90))
+    one = cases.groups([*data, *cases.rows([twice[0][1]], [5]), *cases.rows([twice[1][1]], [6])], 3, 90)
+    joined = {one[5][1], one[6][1]}
+    assert {i: c for i, c in both.items()} == {i: 5 if c in joined else c for i, (_, c) in one.items() if i != 6}
+
+
 @pytest.mark.parametrize("rows_a_batch, most", [(1000, 1 << 16), (7, 1 << 16), (7, 3)])
 def test_rows_shared_with_one_party(monkeypatch, rows_a_batch, most):
     """Against counting for each pair: no row that a pair shares often enough goes, whatever the size of a group."""

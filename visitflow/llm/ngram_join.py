@@ -11,12 +11,17 @@ that can hold a link are multiplied:
    count only for a set that has s of them; s is three and three times the share that is expected empty.
    A set is a candidate only if it shares as many segments with the documents of one of 64 parties.
 3. Connected candidates form clusters. Documents in order of cluster and size are cut into blocks of
-   bounded weight, and each pair of blocks that shares a segment is one task. To another block go the
-   documents that share s segments with it. The task adds up overlap counts over column slices and
-   discards pairs whose sizes, or whose count plus what is left, cannot reach the bound. It returns
-   links that span what it found linked, not all pairs.
-
-No link between different sets is lost, and no group is gathered beyond one block.
+   bounded weight, and each block is one task. It adds up overlap counts over column slices and discards
+   pairs whose sizes, or whose count plus what is left, cannot reach the bound. It returns the smallest
+   document of those it found connected for each of them, not all pairs.
+4. In clusters over several blocks a set is put in order of how many sets hold a shingle, rarest first.
+   Two linked sets share one of their first shingles, and what follows the first shared one in each
+   bounds their overlap; what many sets hold comes last and makes no candidates. First each document is
+   compared with one document of the largest group known so far that it shares such a shingle with. Then
+   it goes to the blocks that hold a candidate not yet known to be connected with it, as both would find
+   nothing new otherwise; each pair of blocks is a task as above.
+
+No link that connects different sets is lost, and no group is gathered beyond one block.
 
 Defined cases: a null or wordless text has no shingles and links with nothing. A row without doc_id
 links with nothing and has a null component. Rows that repeat a doc_id are one node. Columns other than
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.llm import shared
@@ -39,8 +44,8 @@ from visitflow.llm.hashing import ShingleSets, Words, bytes_of, mix, restored, s
 #: Shingles in a block; a document counts ROW_WEIGHT more, which bounds the documents in a block.
 BLOCK_WEIGHT = 1 << 18
 ROW_WEIGHT = 512
-#: Blocks of one signature up to which each document is followed to the other blocks.
-FEW_BLOCKS = 16
+#: Blocks of a cluster up to which documents go to the other blocks without a comparison with one document first.
+FEW_BLOCKS = 2
 #: Rows of one signature that are held to see who they are from; more are let through as met by all.
 WIDE_GROUP = 1 << 16
 #: Bytes of one dense column slice.
@@ -80,16 +85,16 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         ),
         "placed",
     )
-    partners, pairs = _partners(groups, placed)
     shared.discard(groups)
     packed = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_compressed), "doc_id long, text binary")
     sets = shared.stored(
-        packed.join(placed, "doc_id").join(partners, "doc_id", "left").select("block", "cluster", "doc_id", "text", "others").mapInArrow(
-            shared.released(_members(width)), "block long, cluster long, doc_id long, grams binary, others array<long>"
+        packed.join(placed, "doc_id").select("block", "cluster", "doc_id", "text").mapInArrow(
+            shared.released(_members(width)), "block long, cluster long, doc_id long, grams binary"
         ),
         "sets",
     )
-    found = _paired(sets, pairs).groupBy("p", "q", "part").applyInArrow(_product(percent), shared.EDGES)
+    found = shared.stored(_multiplied(_paired(sets), percent), "found")
+    found = _across(sets, placed, found, percent)
     roots = shared.components(found.unionByName(known))
     shared.discard(sets)  # what was found in them is stored
     lead = own.join(roots, F.col("rep") == F.col("node"), "left").select(
@@ -147,57 +152,139 @@ def _with_text(at: int, change):
     return run
 
 
-def _partners(groups: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What meets across blocks: (doc_id, others), the blocks a document goes to, and pairs (p, q, part) that meet whole.
+def _paired(sets: DataFrame, meets: DataFrame | None = None) -> DataFrame:
+    """Rows of sets for each pair of blocks (p, q) to multiply; side says which of the two a row is from.
 
-    A document goes to another block if it shares as many rows with it as a link takes. Signatures in over
-    FEW_BLOCKS blocks are not followed for each document; all of the cluster in two blocks that share one meets.
+    Without meets, rows (doc_id, other), a block meets itself as a whole and part is null. With them a document
+    goes to the other block, and only a cluster that both hold meets.
     """
-    wide = placed.groupBy("cluster").agg(F.min("block").alias("s"), F.max("block").alias("e")).where("s < e").select("cluster")
-    spots = groups.join(placed.join(wide, "cluster"), "doc_id").select("sig", "doc_id", "tag", "cluster", "block")
-    spots = shared.stored(spots, "spots")
-    held = (
-        spots.groupBy("sig").agg(F.min("cluster").alias("part"), F.collect_set("block").alias("blocks"))
-        .where("size(blocks) > 1")
-    )
-    followed = spots.join(held.where(f"size(blocks) <= {FEW_BLOCKS}").drop("part"), "sig")
-    partners = (
-        followed.select("doc_id", "tag", F.explode(F.array_remove("blocks", F.col("block"))).alias("other"))
-        .groupBy("doc_id", "tag", "other").agg(F.count("*").alias("n")).where("n >= tag % 256")
-        .groupBy("doc_id").agg(F.collect_set("other").alias("others"))
-    )
-    pairs = (
-        held.where(f"size(blocks) > {FEW_BLOCKS}").select("part", "blocks", F.explode("blocks").alias("p"))
-        .select("part", "p", F.explode("blocks").alias("q")).where("p < q").distinct()
+    if meets is None:
+        return sets.select(
+            F.col("block").alias("p"), F.col("block").alias("q"), F.lit(None).cast("long").alias("part"),
+            F.lit(0).alias("side"), "cluster", "doc_id", "grams",
+        )
+    return sets.join(meets, "doc_id").select(
+        F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), F.col("cluster").alias("part"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "cluster", "doc_id", "grams",
     )
-    out = shared.stored(partners, "partners"), shared.stored(pairs, "pairs")
-    shared.discard(spots)
-    return out
 
 
-def _paired(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows of sets for each pair of blocks (p, q) to multiply; side says which of the two a row is from.
+def _multiplied(paired: DataFrame, percent: int) -> DataFrame:
+    return paired.groupBy("p", "q", "part").applyInArrow(_product(percent), shared.EDGES)
+
+
+def _across(sets: DataFrame, placed: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The links found in blocks, with those that connect more across the blocks of a cluster."""
+    blocks = (F.max("block") - F.min("block") + 1).alias("blocks")
+    wide = placed.groupBy("cluster").agg(blocks).where("blocks > 1")
+    spread = shared.stored(sets.join(wide, "cluster"), "spread")
+    first = shared.stored(_first_shingles(spread, percent), "first")
+
+    in_blocks = found.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))  # a block's links lead to one document
+    leads = _leads(first.join(_grouped(spread, in_blocks).where(f"blocks > {FEW_BLOCKS}"), "doc_id"), percent)
+    a = spread.select(F.col("doc_id").alias("a"), F.col("grams").alias("a_grams"))
+    b = spread.select(F.col("doc_id").alias("b"), F.col("grams").alias("b_grams"))
+    led = leads.join(a, "a").join(b, "b").mapInArrow(shared.released(_linked(percent)), shared.EDGES)
+    found = shared.stored(found.unionByName(led), "found")
 
-    A block meets itself as a whole (part is null), another block only in a cluster that both hold.
+    meets = _meets(first.join(_grouped(spread, shared.components(found)), "doc_id"), percent)
+    met = shared.stored(_multiplied(_paired(spread, shared.stored(meets, "meets")), percent), "found")
+    shared.discard(first)
+    shared.discard(spread)
+    return found.unionByName(met)
+
+
+def _first_shingles(spread: DataFrame, percent: int) -> DataFrame:
+    """Rows (gram, doc_id, n, rest) of the shingles, hashed with the cluster, by which a set may find a linked one.
+
+    In one order of a cluster's shingles, the rarest first, `rest` of a set's n shingles are this one or
+    later. Linked sets share a shingle which has at least the share of a link left in both of them.
+    Shingles that no other row has come first and are only counted. Rows that repeat a document and its
+    text count twice, which lets more through.
     """
-    columns = ["p", "q", "part", "side", "cluster", "doc_id", "grams"]
-    same = sets.select(
-        F.col("block").alias("p"), F.col("block").alias("q"), F.lit(None).cast("long").alias("part"),
-        F.lit(0).alias("side"), "cluster", "doc_id", "grams",
+    rows = spread.mapInArrow(shared.released(_shingle_rows), "gram long, doc_id long, own long, n long")
+    often = rows.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1")
+    one = Window.partitionBy("doc_id", "own")
+    rest = F.count("*").over(one) - F.row_number().over(one.orderBy("often", "gram")) + 1
+    return (
+        rows.join(often, "gram").withColumn("rest", rest).where(f"100 * rest >= {percent} * n")
+        .select("gram", "doc_id", "n", "rest")
     )
-    sent = sets.select("block", "cluster", "doc_id", "grams", F.explode("others").alias("other")).select(
-        F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), F.col("cluster").alias("part"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"), "cluster", "doc_id", "grams",
+
+
+def _grouped(spread: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (doc_id, block, blocks, root, size): which documents are known to be connected, and how many."""
+    named = spread.select("doc_id", "block", "blocks").distinct().join(roots, F.col("doc_id") == F.col("node"), "left")
+    named = shared.stored(named.withColumn("root", F.coalesce("root", "doc_id")).drop("node"), "named")
+    return named.join(named.groupBy("root").agg(F.count("*").alias("size")), "root")
+
+
+def _may_link(percent: int, n: Column, least: Column, most: Column, rest: Column, other_rest: Column) -> Column:
+    """Whether a set of n shingles may link with one of least to most, with so many left in each at a shared one."""
+    sizes = (100 * n >= percent * least) & (100 * most >= percent * n)
+    return sizes & ((100 + percent) * F.least(rest, other_rest) >= percent * (n + least))
+
+
+def _leads(first: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), one for each document a that has one: b is of a larger group and shares the most first shingles."""
+    heads = (
+        first.groupBy("gram").agg(
+            F.max(F.struct("size", "root", "rest", "doc_id", "n")).alias("head"), F.min("root").alias("least"), F.max("root").alias("most")
+        )
+        .where("least < most").select("gram", "head")
+    )
+    head = F.col("head")
+    near = _may_link(percent, F.col("n"), head.n, head.n, F.col("rest"), head.rest)
+    return (
+        first.join(heads, "gram").where((F.col("root") != head.root) & near)
+        .groupBy("doc_id", F.col("head.doc_id").alias("b")).agg(F.count("*").alias("k"))
+        .groupBy(F.col("doc_id").alias("a")).agg(F.max(F.struct("k", "b")).alias("best")).select("a", "best.b")
     )
-    left = sets.join(pairs, (F.col("block") == F.col("p")) & (F.col("cluster") == F.col("part")))
-    right = sets.join(pairs, (F.col("block") == F.col("q")) & (F.col("cluster") == F.col("part")))
+
+
+def _meets(first: DataFrame, percent: int) -> DataFrame:
+    """Rows (doc_id, other): the other blocks with documents that it may link with and is not yet connected to."""
+    open_grams = (
+        first.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low < high").select("gram")
+    )
+    left = shared.stored(first.join(open_grams, "gram"), "open")
+    there = left.groupBy("gram", F.col("block").alias("other"), F.col("root").alias("other_root")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("other_rest")
+    )
+    near = _may_link(percent, *map(F.col, ("n", "least", "most", "rest", "other_rest")))
     return (
-        same.unionByName(sent)
-        .unionByName(left.withColumn("side", F.lit(0)).select(columns))
-        .unionByName(right.withColumn("side", F.lit(1)).select(columns))
+        left.join(there, "gram")
+        .where((F.col("block") != F.col("other")) & (F.col("root") != F.col("other_root")) & near)
+        .select("doc_id", "other").distinct()
     )
 
 
+def _shingle_rows(batches):
+    for batch in batches:
+        for cluster, doc_id, own in zip(*(batch.column(c) for c in ("cluster", "doc_id", "grams")), strict=True):
+            values = np.frombuffer(own.as_buffer(), np.uint64)
+            gram = mix(values ^ mix(np.array([cluster.as_py()], np.int64).view(np.uint64)))
+            mark = gram.sum(dtype=np.uint64).view(np.int64)  # tells the texts of a doc_id apart
+            one = np.ones(len(values), np.int64)
+            yield _batch(gram=gram.view(np.int64), doc_id=one * doc_id.as_py(), own=one * mark, n=one * len(values))
+
+
+def _linked(percent: int):
+    """The pairs (a, b) whose sets link."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("a_grams"), batch.column("b_grams"), strict=True):
+                one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                keep.append(100 * both >= percent * (len(one) + len(two) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _sets_of(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, ShingleSets]]:
     raw, at = bytes_of(batch.column("text"))
     for i, j in text_groups(at):
@@ -242,7 +329,7 @@ def _members(width: int):
                 sets = ShingleSets(Words(raw, at, lower=True), width)
                 yield _batch(
                     block=own.column("block"), cluster=own.column("cluster"), doc_id=own.column("doc_id"),
-                    grams=pa.array([sets.values.tobytes()], pa.binary()), others=own.column("others"),
+                    grams=pa.array([sets.values.tobytes()], pa.binary()),
                 )
 
     return run
@@ -421,6 +508,8 @@ def _product(percent: int):
             left, right = np.flatnonzero(side[s:e] == 0), np.flatnonzero(side[s:e] == 1)
             i, j = linked_pairs(values, left, right if across else left, percent)
             edges += _spanning(ids[s:e], i, j)
+            del values, i, j
+        shared.release()
         return pa.table(
             {"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())}
         )
@@ -472,7 +561,7 @@ def linked_pairs(values: list[np.ndarray], left: np.ndarray, right: np.ndarray,
 
 
 def _spanning(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """As few of the links as connect the same documents."""
+    """Pairs (a, b) for each document b that links connect with a smaller one; a is the smallest of them."""
     lead: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -481,13 +570,11 @@ def _spanning(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int,
             x = up
         return x
 
-    out = []
     for x, y in zip(ids[i].tolist(), ids[j].tolist(), strict=True):
         p, q = top(x), top(y)
         if p != q:
             lead[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
+    return [(top(x), x) for x in list(lead) if top(x) != x]
 
 
 #: For DuckDB: overlaps of all pairs of sets of three-word shingles that share one.

@@ -101,13 +101,18 @@ def released(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # not every C library has it
-                ctypes.CDLL(None).malloc_trim(0)
+            release()
 
     return wrapped
 
 
+def release() -> None:
+    """Give memory that this process no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
