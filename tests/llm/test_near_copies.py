@@ -7,6 +7,7 @@ import cases
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from visitflow.llm import ngram_join, shared, substring_dedup
 from visitflow.llm.hashing import Words, bytes_of, span_hashes
@@ -119,6 +120,36 @@ def test_rows_sent_do_not_grow_with_the_square_of_a_cluster(spark, monkeypatch,
     assert rows() <= 2 * 140
 
 
+@pytest.mark.parametrize("kind", ["copies of one text", "texts with a common passage"])
+def test_rows_joined_by_shingles_do_not_grow_with_the_square_of_a_cluster(spark, monkeypatch, kind):
+    """Over 7 blocks of 20 documents, a shingle that all have is one row a block; groups that have it are not met one by one."""
+    base, rng = cases.passage(64, 130), random.Random(13)
+    if kind == "copies of one text":
+        words = [base.split() for _ in range(140)]
+        for k, w in enumerate(words):
+            w[rng.randrange(130)] = f"new{k}"
+        data = cases.rows([" ".join(w) for w in words])
+    else:  # alike by less than a link takes: each stays alone
+        data = cases.rows([base + " " + cases.passage(3000 + k, 10) for k in range(140)])
+    joined, join = [], DataFrame.join
+
+    def counted(one, other, on=None, how=None):
+        out = join(one, other, on, how)
+        if isinstance(on, str) and on == "gram":
+            joined.append(out)
+        return out
+
+    monkeypatch.setattr(DataFrame, "join", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 13_000)
+    monkeypatch.setattr(shared, "discard", lambda frame: None)
+    got = found_groups(cases.frame(spark, data), width=3, percent=90)
+    expected = cases.groups(data, 3, 90)
+    assert {r[0]: r[1:] for r in got} == expected
+    assert len({c for _, c in expected.values()}) == (1 if kind == "copies of one text" else 140)
+    rows = [frame.count() for frame in joined]
+    assert rows and max(rows) < sum(n for n, _ in expected.values()) / 2
+
+
 @pytest.mark.parametrize("few", [1, 1000])
 def test_clusters_over_many_blocks_equal_all_pairs(spark, monkeypatch, few):
     """Several groups that share passages, with documents just above and below the share of a link, and one id with two texts."""

@@ -178,7 +178,7 @@ def _across(sets: DataFrame, placed: DataFrame, found: DataFrame, percent: int)
     blocks = (F.max("block") - F.min("block") + 1).alias("blocks")
     wide = placed.groupBy("cluster").agg(blocks).where("blocks > 1")
     spread = shared.stored(sets.join(wide, "cluster"), "spread")
-    first = shared.stored(_first_shingles(spread, percent), "first")
+    first = _first_shingles(spread, percent)
 
     in_blocks = found.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))  # a block's links lead to one document
     leads = _leads(first.join(_grouped(spread, in_blocks).where(f"blocks > {FEW_BLOCKS}"), "doc_id"), percent)
@@ -195,21 +195,24 @@ def _across(sets: DataFrame, placed: DataFrame, found: DataFrame, percent: int)
 
 
 def _first_shingles(spread: DataFrame, percent: int) -> DataFrame:
-    """Rows (gram, doc_id, n, rest) of the shingles, hashed with the cluster, by which a set may find a linked one.
+    """Stored rows (gram, doc_id, n, rest) of the shingles, hashed with the cluster, by which a set may find a linked one.
 
     In one order of a cluster's shingles, the rarest first, `rest` of a set's n shingles are this one or
     later. Linked sets share a shingle which has at least the share of a link left in both of them.
-    Shingles that no other row has come first and are only counted. Rows that repeat a document and its
-    text count twice, which lets more through.
+    Shingles that no other row has come first and are only counted. Shingles are counted in each block, and
+    a block gets their numbers in the cluster back: one row for each of its different shingles, however many
+    of its documents have it. Rows that repeat a document count twice, which lets more through.
     """
-    rows = spread.mapInArrow(shared.released(_shingle_rows), "gram long, doc_id long, own long, n long")
-    often = rows.groupBy("gram").agg(F.count("*").alias("often")).where("often > 1")
-    one = Window.partitionBy("doc_id", "own")
-    rest = F.count("*").over(one) - F.row_number().over(one.orderBy("often", "gram")) + 1
-    return (
-        rows.join(often, "gram").withColumn("rest", rest).where(f"100 * rest >= {percent} * n")
-        .select("gram", "doc_id", "n", "rest")
-    )
+    here = shared.stored(
+        spread.groupBy("block", "cluster").applyInArrow(_counted, "block long, cluster long, gram long, here long"), "counted"
+    )
+    often = here.groupBy("gram").agg(F.sum("here").alias("often")).where("often > 1")
+    known = here.join(often, "gram").select("block", "cluster", "gram", "often")
+    docs = spread.select("block", "cluster", "doc_id", "grams")
+    both = docs.groupBy("block", "cluster").cogroup(known.groupBy("block", "cluster"))
+    first = shared.stored(both.applyInArrow(_rarest(percent), "gram long, doc_id long, n long, rest long"), "first")
+    shared.discard(here)
+    return first
 
 
 def _grouped(spread: DataFrame, roots: DataFrame) -> DataFrame:
@@ -243,15 +246,26 @@ def _leads(first: DataFrame, percent: int) -> DataFrame:
 
 
 def _meets(first: DataFrame, percent: int) -> DataFrame:
-    """Rows (doc_id, other): the other blocks with documents that it may link with and is not yet connected to."""
+    """Rows (doc_id, other): the other blocks with documents that it may link with and is not yet connected to.
+
+    Of the groups that have a shingle in a block, the two with the most left at it stand for all: one of them
+    is not the document's own, and no other has more left. So a document meets two rows a block, not every group.
+    """
     open_grams = (
         first.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low < high").select("gram")
     )
     left = shared.stored(first.join(open_grams, "gram"), "open")
-    there = left.groupBy("gram", F.col("block").alias("other"), F.col("root").alias("other_root")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("other_rest")
-    )
+    one = Window.partitionBy("gram", "other")
+    there = (
+        left.groupBy("gram", F.col("block").alias("other"), F.col("root").alias("other_root"))
+        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("other_rest"))
+        .select(
+            "gram", "other", "other_root", "other_rest", F.min("least").over(one).alias("least"), F.max("most").over(one).alias("most"),
+            F.row_number().over(one.orderBy(F.desc("other_rest"), "other_root")).alias("place"),
+        )
+        .where("place <= 2").drop("place")
+    )
     near = _may_link(percent, *map(F.col, ("n", "least", "most", "rest", "other_rest")))
     return (
         left.join(there, "gram")
@@ -260,14 +274,41 @@ def _meets(first: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _shingle_rows(batches):
-    for batch in batches:
-        for cluster, doc_id, own in zip(*(batch.column(c) for c in ("cluster", "doc_id", "grams")), strict=True):
-            values = np.frombuffer(own.as_buffer(), np.uint64)
-            gram = mix(values ^ mix(np.array([cluster.as_py()], np.int64).view(np.uint64)))
-            mark = gram.sum(dtype=np.uint64).view(np.int64)  # tells the texts of a doc_id apart
-            one = np.ones(len(values), np.int64)
-            yield _batch(gram=gram.view(np.int64), doc_id=one * doc_id.as_py(), own=one * mark, n=one * len(values))
+def _grams(table: pa.Table) -> list[np.ndarray]:
+    """The shingles of each row of one cluster, hashed with the cluster."""
+    cluster = mix(table.column("cluster").to_numpy()[:1].view(np.uint64))
+    column = table.column("grams").combine_chunks()
+    return [mix(np.frombuffer(own.as_buffer(), np.uint64) ^ cluster).view(np.int64) for own in column]
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """How many rows of a block and cluster have a shingle."""
+    gram, here = np.unique(np.concatenate(_grams(table)), return_counts=True)
+    block, cluster = (np.full(len(gram), table.column(c)[0].as_py(), np.int64) for c in ("block", "cluster"))
+    shared.release()
+    return pa.table({"block": block, "cluster": cluster, "gram": gram, "here": here.astype(np.int64)})
+
+
+def _rarest(percent: int):
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        known = known.sort_by([("often", "ascending"), ("gram", "ascending")])
+        ordered = known.column("gram").to_numpy()
+        by_gram = np.argsort(ordered)
+        found = ordered[by_gram]
+        out = [np.zeros((4, 0), np.int64)]
+        for doc_id, own in zip(docs.column("doc_id").to_pylist(), _grams(docs), strict=True):
+            spot = np.searchsorted(found, own)
+            spot = spot[np.append(found, 0)[spot] == own]
+            spot = np.sort(by_gram[spot[spot < len(found)]])
+            rest = len(spot) - np.arange(len(spot))
+            spot, rest = (x[100 * rest >= percent * len(own)] for x in (spot, rest))
+            one = np.ones(len(spot), np.int64)
+            out.append(np.stack([ordered[spot], one * doc_id, one * len(own), rest]))
+        gram, doc_id, n, rest = np.concatenate(out, axis=1)
+        shared.release()
+        return pa.table({"gram": gram, "doc_id": doc_id, "n": n, "rest": rest})
+
+    return run
 
 
 def _linked(percent: int):
