@@ -150,6 +150,51 @@ def test_rows_joined_by_shingles_do_not_grow_with_the_square_of_a_cluster(spark,
     assert rows and max(rows) < sum(n for n, _ in expected.values()) / 2
 
 
+def test_common_passages_far_from_a_link_make_no_clusters(spark, monkeypatch):
+    """Texts that have three fifths from a few passages come together in one cluster no more; pairs that link stay."""
+    rng = random.Random(17)
+    commons = [cases.passage(70 + k, 30) for k in range(5)]
+    texts = [" ".join([*rng.sample(commons, 2), cases.passage(5000 + k, 40)]) for k in range(300)]
+    texts += [edited(rng, t, 0.005) + " more" for t in texts[:20]]
+    data = cases.rows(texts)
+    seen, stored = {}, shared.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        seen.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(shared, "stored", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 3000)
+    got = found_groups(cases.frame(spark, data), width=5, percent=80)
+    expected = cases.groups(data, 5, 80)
+    assert {r[0]: r[1:] for r in got} == expected
+    assert 300 <= len({c for _, c in expected.values()}) < 320
+    assert seen["sets"][0] <= 60 and seen["counted"][0] <= 60 * 100
+
+
+@pytest.mark.parametrize("most", [1 << 16, 3])
+def test_without_common_rows_linked_sets_share_one(monkeypatch, most):
+    """Pairs that share as many rows as a link takes still share one, with groups of any size."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "WIDE_GROUP", most)
+    rng = np.random.default_rng(8)
+    rows = sorted({(int(s * s // 300), int(d)) for s, d in zip(rng.integers(0, 300, 2000), rng.integers(0, 100, 2000), strict=True)})
+    columns = {"sig": pa.int64(), "doc_id": pa.int64(), "tag": pa.int32()}
+    table = pa.table({c: pa.array([(s, d, 256 + 1 + d % 4)[k] for s, d in rows], t) for k, (c, t) in enumerate(columns.items())})
+    met = pa.Table.from_batches(list(ngram_join._met(table.to_batches(max_chunksize=7)))).sort_by([("doc_id", "ascending"), ("tag", "ascending")])
+    of, left = {}, {}
+    for s, d in rows:
+        of.setdefault(d, set()).add(s)
+    for batch in ngram_join._without_common(ngram_join._sharing(met.to_batches(max_chunksize=11), "many")):
+        for r in batch.to_pylist():
+            left.setdefault(r["doc_id"], set()).add(r["sig"])
+    linked = [(a, b) for a in of for b in of if a < b and len(of[a] & of[b]) >= 1 + max(a % 4, b % 4)]
+    assert len(linked) > 100 and all(left[a] & left[b] for a, b in linked)
+    assert sum(map(len, left.values())) < len(rows)
+
+
 @pytest.mark.parametrize("few", [1, 1000])
 def test_clusters_over_many_blocks_equal_all_pairs(spark, monkeypatch, few):
     """Several groups that share passages, with documents just above and below the share of a link, and one id with two texts."""

@@ -10,6 +10,10 @@ that can hold a link are multiplied:
    candidates. A common passage fills no segment by itself, so it makes no candidates. Empty segments
    count only for a set that has s of them; s is three and three times the share that is expected empty.
    A set is a candidate only if it shares as many segments with the documents of one of 64 parties.
+   Of the segments that it shares, those that most sets have are left out, one less than a link takes, as
+   two linked sets still share one. The candidates are then cut once more, into d more segments, of which
+   a link takes over half: by a share of common passages that is far from a link a set is no candidate,
+   however many sets have them, so clusters do not grow together as the table grows.
 3. Connected candidates form clusters. Documents in order of cluster and size are cut into blocks of
    bounded weight, and each block is one task. It adds up overlap counts over column slices and discards
    pairs whose sizes, or whose count plus what is left, cannot reach the bound. It returns the smallest
@@ -48,8 +52,11 @@ ROW_WEIGHT = 512
 FEW_BLOCKS = 2
 #: Rows of one signature that are held to see who they are from; more are let through as met by all.
 WIDE_GROUP = 1 << 16
+#: Times the d that the second cut of the candidates has as segments; the first has it once.
+FINER = 2
 #: Bytes of one dense column slice.
 SLICE_BYTES = 32 << 20
+SIGNATURES = "sig long, doc_id long, tag int"
 
 
 def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -71,10 +78,14 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     twofold = own.where("rep < last_rep").select("doc_id")
     known = of_class.join(twofold, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    rows = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_signatures(width, percent)), "sig long, doc_id long, tag int")
-    hits = shared.stored(_repeated(rows).drop("head").join(copies, "doc_id", "left_anti"), "hits")
-    groups = shared.stored(_repeated(_enough(hits)), "groups")
-    shared.discard(hits)
+    rows = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_signatures(width, percent)), SIGNATURES)
+    coarse = _alike(_repeated(rows).drop("head").join(copies, "doc_id", "left_anti"))
+    packed = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_compressed), "doc_id long, text binary")
+    near = shared.stored(packed.join(coarse.select("doc_id").distinct(), "doc_id"), "near")
+    shared.discard(coarse)
+    finer = _signatures(width, percent, FINER)
+    again = near.mapInArrow(shared.released(lambda batches: finer(_with_text(1, restored)(batches))), SIGNATURES)
+    groups = _alike(_repeated(again).drop("head"))
     clusters = shared.components(groups.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
     nodes = clusters.join(own, F.col("node") == F.col("doc_id")).select(
         F.col("root").alias("cluster"), "n", "doc_id", (F.col("n") + ROW_WEIGHT).alias("weight")
@@ -86,13 +97,13 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         "placed",
     )
     shared.discard(groups)
-    packed = texts.where("doc_id IS NOT NULL").mapInArrow(shared.released(_compressed), "doc_id long, text binary")
     sets = shared.stored(
-        packed.join(placed, "doc_id").select("block", "cluster", "doc_id", "text").mapInArrow(
+        near.join(placed, "doc_id").select("block", "cluster", "doc_id", "text").mapInArrow(
             shared.released(_members(width)), "block long, cluster long, doc_id long, grams binary"
         ),
         "sets",
     )
+    shared.discard(near)
     found = shared.stored(_multiplied(_paired(sets), percent), "found")
     found = _across(sets, placed, found, percent)
     roots = shared.components(found.unionByName(known))
@@ -376,7 +387,7 @@ def _members(width: int):
     return run
 
 
-def _signatures(width: int, percent: int):
+def _signatures(width: int, percent: int, finer: int = 1):
     """Rows (sig, doc_id, tag): the hash of each segment of each set, under the labels of two size classes.
 
     The tag holds the label and, in its last eight bits, how many rows of the label a set linked to another
@@ -385,6 +396,7 @@ def _signatures(width: int, percent: int):
     Sizes of class c lie in [bounds[c], bounds[c + 1]), and linked sets are in the same class or in
     neighbours. Label c serves sets of class c - 1 with each other and with class c; the smaller of two
     linked sets has under bounds[c] shingles, so they differ in at most (100 - percent) / percent of that.
+    There are `finer` times as many segments as that, and some to spare; all but that many agree.
     """
     ratio = 100 / percent
     spare_share = 3 * np.exp(-percent / max(100 - percent, 1e-9))
@@ -402,7 +414,7 @@ def _signatures(width: int, percent: int):
                 for label in (upper, upper + 1):
                     most = np.ceil(bounds[label]).astype(np.int64) - 1
                     differ = most * (100 - percent) // percent
-                    spare = 3 + np.ceil(np.minimum(spare_share, 1) * differ).astype(np.int64)
+                    spare = 3 + np.ceil(np.minimum(spare_share, 1) * differ).astype(np.int64) + (finer - 1) * differ
                     segments = np.where((differ > 0) & (sets.sizes > 0), differ + spare, 0)
                     base = np.cumsum(segments) - segments
                     wide = segments[owner]
@@ -429,19 +441,29 @@ def _signatures(width: int, percent: int):
     return run
 
 
+def _alike(rows: DataFrame) -> DataFrame:
+    """Stored rows (sig, doc_id, tag, head) that connect what may link, from rows that other documents have too."""
+    hits = shared.stored(rows, "hits")
+    groups = shared.stored(_repeated(_enough(hits)), "groups")
+    shared.discard(hits)
+    return groups
+
+
 def _enough(rows: DataFrame) -> DataFrame:
     """Rows of the documents and labels that share as many rows as a link takes with the documents of one party.
 
+    Of these, the rows that most documents have are left out, see _without_common.
+
     Documents are dealt by hash into 64 parties. What a document shares with many others, a row with each, as
     a common passage makes it do, grows with the table; what it shares with one party does so 64 times less.
     """
     n = shared.parts(rows.sparkSession)
     met = (
         rows.select("sig", "doc_id", "tag").repartition(n, "sig").sortWithinPartitions("sig")
-        .mapInArrow(shared.released(_met), "sig long, doc_id long, tag int, others long")
+        .mapInArrow(shared.released(_met), f"{SIGNATURES}, others long, many int")
     )
     by_doc = met.repartition(n, "doc_id").sortWithinPartitions("doc_id", "tag")
-    return by_doc.mapInArrow(shared.released(_sharing), "sig long, doc_id long, tag int")
+    return by_doc.mapInArrow(shared.released(lambda batches: _without_common(_sharing(batches, "many"))), SIGNATURES)
 
 
 def _whole_groups(batches, names: tuple[str, ...], keys: int, most: int | None = None):
@@ -463,7 +485,10 @@ def _whole_groups(batches, names: tuple[str, ...], keys: int, most: int | None =
 
 
 def _met(batches):
-    """Rows whose signature other rows have too, with the parties (bits) of those; all bits in very large groups."""
+    """Rows whose signature other rows have too, with the parties (bits) of those; all bits in very large groups.
+
+    `many` is how many rows have the signature, WIDE_GROUP at most, the same in each of them.
+    """
     wide = None
     for (sig, doc, tag), inside in _whole_groups(batches, ("sig", "doc_id", "tag"), 1, WIDE_GROUP):
         fresh = np.ones(len(sig), bool)
@@ -479,19 +504,37 @@ def _met(batches):
             wide = sig[-1]
             open_end |= sig == wide
         others[open_end] = ~np.uint64(0)
+        many = np.where(open_end, WIDE_GROUP, np.minimum(np.bincount(group)[group], WIDE_GROUP)).astype(np.int32)
         keep = others > 0
-        yield _batch(sig=sig[keep], doc_id=doc[keep], tag=tag[keep], others=others[keep].view(np.int64))
+        yield _batch(sig=sig[keep], doc_id=doc[keep], tag=tag[keep], others=others[keep].view(np.int64), many=many[keep])
 
 
-def _sharing(batches):
-    """Rows met by a party that meets enough rows of the document and label."""
-    for (doc, tag, sig, others), _ in _whole_groups(batches, ("doc_id", "tag", "sig", "others"), 2):
+def _sharing(batches, *more: str):
+    """Rows met by a party that meets enough rows of the document and label, whole in a batch; with more columns, if named."""
+    for (doc, tag, sig, others, *rest), _ in _whole_groups(batches, ("doc_id", "tag", "sig", "others", *more), 2):
         fresh = np.ones(len(doc), bool)
         fresh[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
         begins = np.flatnonzero(fresh)
         bits = np.unpackbits(others.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         enough = np.add.reduceat(bits, begins, axis=0, dtype=np.int64) >= (tag[begins] % 256)[:, None]
         keep = (bits & enough[np.cumsum(fresh) - 1]).any(axis=1)
+        yield _batch(sig=sig[keep], doc_id=doc[keep], tag=tag[keep], **{c: x[keep] for c, x in zip(more, rest, strict=True)})
+
+
+def _without_common(batches):
+    """Rows less those that most rows share, one less of a document and label than a link takes.
+
+    All documents have the signatures in the same order, so of those that two linked sets share the rarest
+    is left in both. What many sets have connects none that do not share something rarer, or more of it.
+    """
+    for batch in batches:
+        doc, tag, sig, many = (batch.column(c).to_numpy() for c in ("doc_id", "tag", "sig", "many"))
+        order = np.lexsort((sig, -many, tag, doc))
+        doc, tag, sig = doc[order], tag[order], sig[order]
+        fresh = np.ones(len(doc), bool)
+        fresh[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
+        place = np.arange(len(doc)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+        keep = place >= tag % 256 - 1
         yield _batch(sig=sig[keep], doc_id=doc[keep], tag=tag[keep])
 
 
