@@ -1,6 +1,9 @@
 """Ordered lists: delimiters, nulls, escaping, width, and large groups."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +89,65 @@ def test_long_list_is_whole_and_folded_by_slices(spark):
     }
 
 
+@pytest.mark.parametrize("trailing", [True, False])
+@pytest.mark.parametrize("width", [7, 1200, None])
+@pytest.mark.parametrize("kind", ["int", "string", "string collate UTF8_LCASE"])
+def test_huge_lists_are_the_same_lists(spark, kind, width, trailing):
+    """Parents with many lines, the null key among them, are folded apart; each list is there once and whole."""
+    df = spark.range(0, 6_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, None)
+        .when(F.col("id") % 3 == 1, F.lit("10"))
+        .otherwise(F.col("id").cast("string"))
+        .cast(kind)
+        .alias("id"),
+        F.col("id").cast("int").alias("line"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("<"), "id")).alias("text"),
+    )
+    out = enumerate_lines(df, ["id"], "line", "text", "items", width, trailing=trailing, huge=True)
+    got = [(r.id, r["items"]) for r in out.collect()]
+    assert len(got) == len({k for k, _ in got}) == 2 + 2_000 and dict(got) == folded(df, width, trailing=trailing)
+    assert out._jdf.queryExecution().analyzed().toString().count("Union") == (kind in ("int", "string"))
+
+
+def test_huge_lists_of_keys_that_differ_in_case(spark):
+    """Keys that a collation takes for one have different hashes and must not be folded apart."""
+    df = spark.range(0, 3_000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, "A").otherwise("a").cast("string collate UTF8_LCASE").alias("id"),
+        F.col("id").cast("int").alias("line"),
+        F.col("id").cast("string").alias("text"),
+    )
+    out = enumerate_lines(df, ["id"], "line", "text", "items", huge=True)
+    assert [r["items"] for r in out.collect()] == ["".join(f"{k}|" for k in range(3_000))]
+
+
+#: A list of 96 MB and 10,000 short ones, from lines to a Parquet file.
+BUSY_PARENT = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession, functions as F
+import __spark_entry__
+conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.host": "127.0.0.1",
+        "spark.sql.shuffle.partitions": "8", "spark.local.dir": f"{sys.argv[2]}/local"}
+spark = SparkSession.builder.master("local[1]").config(map=conf).getOrCreate()
+times = F.when(F.col("id") % 3 == 0, F.lit(300)).otherwise(F.lit(32))
+docs = spark.range(0, 15_000, 1, 8).select(
+    F.col("id").alias("doc_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), times).alias("text"))
+docs.write.parquet(f"{sys.argv[2]}/documents.parquet")
+lists = __spark_entry__.queries()["list_lines_busy_parent"](spark, sys.argv[2])
+lists.write.parquet(f"{sys.argv[2]}/lists")
+found = spark.read.parquet(f"{sys.argv[2]}/lists").agg(F.count("*"), F.max(F.octet_length("items"))).first()
+print("FOUND", *found)
+"""
+
+
+def test_long_list_is_written_in_a_small_heap(tmp_path):
+    """The heap is about ten times the list; copies of a list at every step needed more."""
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--driver-memory 1g pyspark-shell", "PYSPARK_PYTHON": sys.executable}
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-B", "-c", BUSY_PARENT, repo, str(tmp_path)], env=env, capture_output=True, text=True, timeout=240)
+    assert f"FOUND 10001 {5_000 * (300 * 64 + 1)}" in done.stdout, done.stderr[-3000:]
+
+
 def test_lists_leave_session_settings_alone(spark):
     before = dict(spark.sparkContext.getConf().getAll()) | {
         r.key: r.value for r in spark.sql("SET").collect()
